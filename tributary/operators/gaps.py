@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tributary.config import TableSpec
 from tributary.functions.ddl import spark_type
-from tributary.operators.skew import same_keys
 
 # Fields the source does not offer, and how much each one matters.
 FIELD_IMPACT = {"items_substituted_qty": "medium", "items_qty_missing": "high", "total_changes": "low"}
@@ -173,11 +172,13 @@ def _spans(df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str],
         .orderBy(F.col("_day").desc() if backward else F.col("_day").asc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = daily.withColumn("_carry", F.last("_edge", ignorenulls=True).over(across)).drop("_edge")
-    joined = near.join(carried, same_keys(near, carried, [*keys, "_day"]), "left")
-    return joined.select(
-        *df.columns, F.coalesce(near[f"_{tag}"], carried["_carry"]).alias(f"_{tag}_{column}")
+    parts = [*keys, "_day"]
+    carried = daily.withColumn("_carry", F.last("_edge", ignorenulls=True).over(across)).select(
+        *[F.col(c).alias(f"_c_{c}") for c in parts], "_carry"
     )
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in parts])
+    joined = near.join(carried, match, "left")
+    return joined.select(*df.columns, F.coalesce(F.col(f"_{tag}"), F.col("_carry")).alias(f"_{tag}_{column}"))
 
 
 def forward_fill(df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str] | None = None) -> DataFrame:

@@ -14,14 +14,6 @@ HOT_ROWS = 2_000_000
 HOT_KEYS = 1_000
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality on every key: null keys form one group."""
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
-
-
 def hot_keys(counts: DataFrame, keys: list[str], rows: str, min_rows: int = HOT_ROWS) -> DataFrame:
     """The heaviest keys. At most ``HOT_KEYS`` rows, so broadcasting it is safe.
 
