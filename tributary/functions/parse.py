@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ TIMESTAMP_FORMATS = [
     "MM/dd/yyyy HH:mm:ss",
 ]
 DATE_SHAPE = r"^(\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{4}/\d{2}/\d{2})$"
+NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 TIMESTAMP_SHAPE = r"^(\d{4}-\d{2}-\d{2}(\s+|T)|\d{2}/\d{2}/\d{4}\s+)\d{2}:\d{2}:\d{2}"
 
 
@@ -24,12 +27,34 @@ def bool_text(c: Column) -> Column:
     return F.when(word.isin(TRUE_WORDS), F.lit(True)).when(word.isin(FALSE_WORDS), F.lit(False))
 
 
+def _fixed_width(fmt: str) -> tuple[str, list[tuple[str, int]]]:
+    """Shape of a fixed-width format, and where each of its parts starts (from 1)."""
+    plain = fmt.replace("'", "")
+    shape = "".join("\\d" if ch in "yMdHms" else re.escape(ch) for ch in plain)
+    parts = [(p, plain.index(p) + 1) for p in ("yyyy", "MM", "dd", "HH", "mm", "ss") if p in plain]
+    return f"^{shape}$", parts
+
+
+def _by_format(c: Column, fmt: str, target: str) -> Column:
+    """Text of exactly this shape, put into ISO order and cast; anything else is null.
+
+    Checking the shape first keeps text that does not match away from the
+    parser, which is slow when it fails.
+    """
+    shape, parts = _fixed_width(fmt)
+    at = {p: F.substring(c, start, len(p)) for p, start in parts}
+    iso = [at["yyyy"], F.lit("-"), at["MM"], F.lit("-"), at["dd"]]
+    if "HH" in at:
+        iso += [F.lit(" "), at["HH"], F.lit(":"), at["mm"], F.lit(":"), at["ss"]]
+    return F.when(c.rlike(shape), F.concat(*iso).try_cast(target))
+
+
 def date_text(c: Column, formats: list[str] = DATE_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("date") for f in formats])
+    return F.coalesce(*[_by_format(c, f, "date") for f in formats])
 
 
 def timestamp_text(c: Column, formats: list[str] = TIMESTAMP_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[_by_format(c, f, "timestamp") for f in formats])
 
 
 def flag_01(c: Column) -> Column:
@@ -43,7 +68,9 @@ def flag_nonzero(c: Column) -> Column:
 
 
 def number_text(c: Column) -> Column:
-    return F.trim(c).try_cast("double")
+    """Decimal or exponent notation to double; other text, also ``nan``, is null."""
+    text = F.trim(c)
+    return F.when(text.rlike(NUMBER_SHAPE), text.try_cast("double"))
 
 
 def decimal_of(c: Column, precision: int = 12, scale: int = 9) -> Column:

@@ -11,6 +11,10 @@ PHONE_PATTERN = r"^[\d\s\-\+\(\)]+$"
 COUNTRY_CODE = "51"
 NULL_TOKENS = ("null",)
 MAX_VARCHAR = 65535
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def blank_to_null(c: Column) -> Column:
@@ -18,8 +22,14 @@ def blank_to_null(c: Column) -> Column:
 
 
 def repair_encoding(c: Column) -> Column:
-    """Replace characters outside the basic plane (U+0000 to U+FFFF) by ``?``."""
-    return F.regexp_replace(c, "[^\\x{0000}-\\x{FFFF}]", "?")
+    """Replace characters outside the basic plane (U+0000 to U+FFFF) by ``?``.
+
+    Plain ASCII, the usual case, has as many bytes as characters and skips the
+    pattern.
+    """
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(
+        F.regexp_replace(c, "[^\\x{0000}-\\x{FFFF}]", "?")
+    )
 
 
 def tokens_to_null(c: Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
@@ -34,7 +44,7 @@ def drop_control_chars(c: Column) -> Column:
 
 def strip_spaces(c: Column) -> Column:
     """Trim every kind of white space, not just blanks."""
-    return F.regexp_replace(c, "^\\s+|\\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def collapse_spaces(c: Column) -> Column:
@@ -42,8 +52,8 @@ def collapse_spaces(c: Column) -> Column:
 
 
 def valid_email(c: Column) -> Column:
-    candidate = F.lower(strip_spaces(c))
-    return F.when(candidate.rlike(EMAIL_PATTERN), candidate)
+    """Trimmed and lower-cased; null when it is not an address."""
+    return F.regexp_substr(F.lower(strip_spaces(c)), F.lit(EMAIL_PATTERN))
 
 
 def phone_digits(c: Column) -> Column:
@@ -52,9 +62,8 @@ def phone_digits(c: Column) -> Column:
 
 def phone_international(c: Column, country_code: str = COUNTRY_CODE) -> Column:
     """``+<country><digits>``; a number that already starts with the code keeps it."""
-    digits = blank_to_null(phone_digits(c))
-    prefix = F.when(digits.startswith(country_code), F.lit("+")).otherwise(F.lit("+" + country_code))
-    return F.concat(prefix, digits)
+    prefixed = F.regexp_replace(phone_digits(c), f"^(?=.)({country_code})?", f"+{country_code}")
+    return blank_to_null(prefixed)
 
 
 def title_case(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.functions import clock, text
+from tributary.functions import clock, parse, text
 
 
 def clean(
@@ -23,6 +23,9 @@ def clean(
     """
 
     def one(c: Column) -> Column:
+        # The repair neither makes nor removes blanks, so it may come first, where its input is a plain column.
+        if fix_encoding:
+            c = text.repair_encoding(c)
         if drop_controls:
             c = text.strip_spaces(text.drop_control_chars(c))
         if trim:
@@ -31,8 +34,6 @@ def clean(
             c = text.tokens_to_null(c, null_tokens)
         if empty_to_null:
             c = text.blank_to_null(c)
-        if fix_encoding:
-            c = text.repair_encoding(c)
         return c
 
     return df.select(
@@ -48,8 +49,8 @@ RULES = {
     "email": lambda c: text.valid_email(c),
     "phone_digits": lambda c: text.phone_digits(c),
     "phone": lambda c, country_code=text.COUNTRY_CODE: text.phone_international(c, country_code),
-    "date": lambda c: F.try_to_timestamp(c, F.lit("yyyy-MM-dd")).cast("date"),
-    "timestamp": lambda c: F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")),
+    "date": lambda c: parse.date_text(c, parse.DATE_FORMATS[:1]),
+    "timestamp": lambda c: parse.timestamp_text(c, parse.TIMESTAMP_FORMATS[:1]),
     "timestamp_to_utc": lambda c: clock.iso_to_utc(c),
     "trim": lambda c: text.strip_spaces(c),
     "case": lambda c, case="lower": text.change_case(c, case),

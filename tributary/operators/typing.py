@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,28 +18,13 @@ FLAG_WORDS = (
 EXTRACT_NULLS = ("", "None", "nan", "NaN")
 
 
-@dataclass(frozen=True)
-class Inferred:
-    column: str
-    type: str
-    share: float
-
-
-def _shares(c: Column, ints_as_bool: bool) -> dict[str, Column]:
-    """Share of the non-null values that each type accepts."""
-    value = F.trim(c)
-    words = [w for w in parse.TRUE_WORDS + parse.FALSE_WORDS if ints_as_bool or w not in ("0", "1")]
-    tests = {
-        "boolean": F.lower(value).isin(words),
-        "date": value.rlike(parse.DATE_SHAPE) & parse.date_text(value).isNotNull(),
-        "timestamp": value.rlike(parse.TIMESTAMP_SHAPE),
-        "number": parse.number_text(value).isNotNull(),
-    }
-    return {n: F.avg(F.when(c.isNotNull(), F.coalesce(t, F.lit(False)).cast("int"))) for n, t in tests.items()}
-
-
 def inference_profile(df: DataFrame, exclude: tuple[str, ...] = (), ints_as_bool: bool = True) -> DataFrame:
-    """One row per string column with its match shares; all columns in one scan."""
+    """One row per string column with the share of its values that each type accepts.
+
+    Columns become rows inside the scan's own task, so one grouped aggregate
+    with one set of tests serves any number of columns, and only one line per
+    task and column is shuffled.
+    """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
     if not names:
         return df.sparkSession.createDataFrame(
@@ -49,21 +32,30 @@ def inference_profile(df: DataFrame, exclude: tuple[str, ...] = (), ints_as_bool
             "column string, filled bigint, boolean double, date double, timestamp double, number double, "
             "any_decimal boolean, max_abs double",
         )
-    parts = []
-    for n in names:
-        c = F.col(f"`{n}`")
-        number = parse.number_text(c)
-        parts.append(
-            F.struct(
-                F.lit(n).alias("column"),
-                F.count(c).alias("filled"),
-                *[a.alias(k) for k, a in _shares(c, ints_as_bool).items()],
-                F.bool_or(number.isNotNull() & (c.contains(".") | (number != F.floor(number)))).alias("any_decimal"),
-                F.max(F.abs(number)).alias("max_abs"),
-            ).alias(f"p{len(parts)}")
-        )
-    wide = df.agg(*parts)
-    return wide.select(F.explode(F.array(*[F.col(f"p{i}") for i in range(len(parts))])).alias("p")).select("p.*")
+    words = [w for w in parse.TRUE_WORDS + parse.FALSE_WORDS if ints_as_bool or w not in ("0", "1")]
+    tall = df.select(*[F.col(f"`{n}`") for n in names]).unpivot([], names, "column", "value")
+    value = F.trim("value")
+    tested = tall.select(
+        "column",
+        "value",
+        F.lower(value).isin(words).alias("boolean"),
+        (value.rlike(parse.DATE_SHAPE) & parse.date_text(value).isNotNull()).alias("date"),
+        value.rlike(parse.TIMESTAMP_SHAPE).alias("timestamp"),
+        parse.number_text(value).alias("number"),
+    )
+
+    def share(test: Column) -> Column:
+        return F.avg(F.when(F.col("value").isNotNull(), F.coalesce(test, F.lit(False)).cast("int")))
+
+    number = F.col("number")
+    fraction = number.isNotNull() & (F.col("value").contains(".") | (number != F.floor(number)))
+    return tested.groupBy("column").agg(
+        F.count("value").alias("filled"),
+        *[share(F.col(t)).alias(t) for t in ("boolean", "date", "timestamp")],
+        share(number.isNotNull()).alias("number"),
+        F.bool_or(fraction).alias("any_decimal"),
+        F.max(F.abs(number)).alias("max_abs"),
+    )
 
 
 def decided_type(threshold: float = 0.9) -> Column:
@@ -101,7 +93,7 @@ def _to_inferred(c: Column, target: str) -> Column:
         return parse.timestamp_text(c)
     if target == "string":
         return c
-    return F.trim(c).try_cast(target)
+    return F.when(F.trim(c).rlike(parse.NUMBER_SHAPE), F.trim(c).try_cast(target))
 
 
 def apply_types(df: DataFrame, plan: dict[str, str]) -> DataFrame:

@@ -38,7 +38,9 @@ def to_silver(bronze: DataFrame, spec: SilverSpec, meter: lineage.StageMeter | N
     df = watch(clean.normalize(df, spec.normalize), "normalize")
     df = typing.convert(df, spec.convert)
     if spec.infer:
-        fixed = tuple(spec.exclude) + tuple(spec.convert) + tuple(spec.keys)
+        # Contacts are text whatever they look like: a phone number must not become a number.
+        contacts = tuple(c for c, rule in spec.normalize.items() if rule["type"].startswith(("email", "phone")))
+        fixed = tuple(spec.exclude) + contacts + tuple(spec.convert) + tuple(spec.keys)
         df = typing.apply_types(df, typing.infer_types(df, exclude=fixed))
     df = watch(df, "types")
     df = watch(dedup.resolve_conflicts(df, list(spec.keys), spec.order_column), "resolve")

@@ -15,7 +15,6 @@ SILVER = SilverSpec(
     order_column="modified",
     normalize={"customer_email": {"type": "email"}, "customer_phone": {"type": "phone"}},
     convert={"modified": {"type": "bigint_to_timestamp"}},
-    exclude=("customer_phone",),
     critical=("customer_email", "status"),
     defaults={"status": "UNKNOWN"},
 )
