@@ -14,15 +14,17 @@ HOT_ROWS = 2_000_000
 HOT_KEYS = 1_000
 
 
-def hot_keys(counts: DataFrame, keys: list[str], rows: str, min_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(summary: DataFrame, keys: list[str], rows: str, min_rows: int = HOT_ROWS) -> DataFrame:
     """The heaviest keys. At most ``HOT_KEYS`` rows, so broadcasting it is safe.
 
     Keys beyond that number are not lost: they only keep their natural
-    partition.
+    partition. The order names every column of the summary, so nothing of it is
+    pruned and Spark reuses the shuffle that computes it for the lookup.
     """
+    others = [c for c in summary.columns if c != rows]
     return (
-        counts.filter(F.col(rows) >= min_rows)
-        .orderBy(F.col(rows).desc(), *keys)
+        summary.filter(F.col(rows) >= min_rows)
+        .orderBy(F.col(rows).desc(), *others)
         .limit(HOT_KEYS)
         .select(*keys)
     )
@@ -33,39 +35,42 @@ def salted_lookup(
     lookup: DataFrame,
     keys: list[str],
     hot: DataFrame,
+    rows: str,
+    min_rows: int = HOT_ROWS,
     salts: int = 64,
-    how: str = "left",
 ) -> DataFrame:
-    """Join ``big`` to a ``lookup`` with one row per key, spreading the hot keys.
+    """Left join ``big`` to a ``lookup`` with one row per key, spreading the hot keys.
 
     Rows of a hot key get a salt from their own content; the lookup row of
-    that key is copied once per salt. Every other key keeps salt 0.
+    that key is copied once per salt. Every other key keeps salt 0. ``rows`` is
+    the lookup's row count per key; it is dropped from the result.
     """
     marked = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
 
     def flag(df: DataFrame) -> DataFrame:
         condition = F.lit(True)
         for k in keys:
-            condition = condition & df[k].eqNullSafe(marked[f"_hot_{k}"])
+            condition = condition & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
         return df.join(F.broadcast(marked), condition, "left").drop(*[f"_hot_{k}" for k in keys])
 
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*big.columns), F.lit(salts))).otherwise(F.lit(0))
+    hashable = [f.name for f in big.schema.fields if not f.dataType.simpleString().startswith("map")]
+    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashable), F.lit(salts))).otherwise(F.lit(0))
     left = flag(big).withColumn("_salt", spread.cast("int")).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    busy = F.col("_hot") & (F.col(rows) >= min_rows)
+    copies = F.when(busy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    kept = [c for c in lookup.columns if c not in keys and c != rows]
     right = (
         flag(lookup)
         .withColumn("_rsalt", F.explode(copies))
-        .drop("_hot")
-        .select(*[F.col(k).alias(f"_r_{k}") for k in keys], "_rsalt", *[c for c in lookup.columns if c not in keys])
+        .select(*[F.col(k).alias(f"_r_{k}") for k in keys], "_rsalt", *kept)
     )
     condition = F.col("_salt") == F.col("_rsalt")
     for k in keys:
-        condition = condition & left[k].eqNullSafe(right[f"_r_{k}"])
-    return left.join(right, condition, how).drop("_salt", "_rsalt", *[f"_r_{k}" for k in keys])
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(right, condition, "left").drop("_salt", "_rsalt", *[f"_r_{k}" for k in keys])
 
 
 def with_group_stats(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, **stats: Column) -> DataFrame:
     """Add group aggregates to every row without a window over the group."""
     summary = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()], F.count(F.lit(1)).alias("_rows"))
-    hot = hot_keys(summary, keys, "_rows", min_rows)
-    return salted_lookup(df, summary.drop("_rows"), keys, hot)
+    return salted_lookup(df, summary, keys, hot_keys(summary, keys, "_rows", min_rows), "_rows", min_rows)

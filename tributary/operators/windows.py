@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.operators.skew import HOT_ROWS, hot_keys, salted_lookup
+from tributary.operators.skew import hot_keys, salted_lookup
 from tributary.session import materialize
 
 
@@ -55,6 +55,6 @@ def dense_group_id(df: DataFrame, keys: list[str], name: str = "duplicate_group_
     """Smallest global row number of each key, attached to every row of the key."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     first = _numbered(sizes, keys, F.col("_rows")).select(
-        *keys, (F.col("_end") - F.col("_rows") + 1).cast("bigint").alias(name)
+        *keys, "_rows", (F.col("_end") - F.col("_rows") + 1).cast("bigint").alias(name)
     )
-    return salted_lookup(df, first, keys, hot_keys(sizes, keys, "_rows", HOT_ROWS))
+    return salted_lookup(df, first, keys, hot_keys(first, keys, "_rows"), "_rows")

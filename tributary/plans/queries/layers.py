@@ -116,9 +116,7 @@ ORDER_TABLE = TableSpec(
 )
 
 
-@query(
-    "validate_table",
-    """
+_VALIDATE_SQL = """
     WITH n AS (SELECT count(*) AS a, count(nullif(o_orderstatus, 'P')) AS g FROM orders)
     SELECT 'schema' AS "check", 'missing' AS "column", 'FAIL' AS status, NULL::BIGINT AS detail FROM n
     UNION ALL SELECT 'schema', 'o_custkey', 'WARN', NULL FROM n
@@ -126,8 +124,10 @@ ORDER_TABLE = TableSpec(
     UNION ALL SELECT 'calculated', 'o_totalprice', 'PASS', a FROM n
     UNION ALL SELECT 'gap', 'note', 'WARN', a - g FROM n
     UNION ALL SELECT 'required', 'o_orderkey', 'PASS', 0 FROM n
-    """,
-)
+"""
+
+
+@query("validate_table", _VALIDATE_SQL)
 def validate_table(spark, sf):
     o = table(spark, sf, "orders").select(
         "o_orderkey", "o_totalprice", "o_custkey", F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("note")
@@ -135,6 +135,13 @@ def validate_table(spark, sf):
     return validate.validate(o, ORDER_TABLE)
 
 
-@query("validation_status", "SELECT 1::BIGINT AS failures, 'FAIL' AS status FROM orders LIMIT 1")
+@query(
+    "validation_status",
+    f"""
+    SELECT count(*) FILTER (WHERE status = 'FAIL') AS failures,
+           CASE WHEN count(*) FILTER (WHERE status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+    FROM ({_VALIDATE_SQL})
+    """,
+)
 def validation_status(spark, sf):
     return validate.overall(validate_table(spark, sf))

@@ -118,6 +118,41 @@ def scheduled_invoiced(spark, sf):
     )
 
 
+@query(
+    "order_classes",
+    """
+    WITH l AS (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS seller, c_mktsegment AS site,
+                 CASE WHEN o_custkey % 3 = 0 THEN 'S001 REC x' WHEN o_custkey % 3 = 1 THEN 'TH12 d' END AS courier,
+                 o_orderstatus || 'App' AS utm FROM orders JOIN customer ON c_custkey = o_custkey),
+    t AS (SELECT *, coalesce(seller IN ('1-URGENT') OR seller LIKE '%HIGH%', FALSE) AS st FROM l)
+    SELECT o_orderkey, CASE WHEN st THEN 'TIENDA' ELSE 'ALMACEN' END AS operation,
+           CASE WHEN NOT st AND site LIKE '%BUILD%' THEN 'W001' WHEN NOT st AND (site LIKE 'MACH%' OR site = 'FURNITURE') THEN 'W002'
+                WHEN courier LIKE 'TH12%' THEN 'W101' ELSE substring(courier, 1, 4) END AS store,
+           CASE WHEN utm LIKE '%FApp%' THEN 'APP' ELSE 'WEB' END AS channel,
+           CASE WHEN courier LIKE '%REC%' OR courier LIKE '%RETIRO%' OR courier LIKE '%AUTO%' THEN 'RETIRO EN TIENDA'
+                ELSE 'DELIVERY' END AS dispatch
+    FROM t
+    """,
+)
+def order_classes(spark, sf):
+    turn = F.col("o_custkey") % 3
+    raw = table(spark, sf, "orders").join(places(spark, sf), "o_custkey").select(
+        "o_orderkey",
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("seller"),
+        F.col("segment").alias("site"),
+        F.when(turn == 0, "S001 REC x").when(turn == 1, "TH12 d").alias("courier"),
+        F.concat("o_orderstatus", F.lit("App")).alias("utm_source"),
+    )
+    rules = sales.ChannelRules(
+        store_sellers=("1-URGENT",),
+        store_seller_patterns=("%HIGH%",),
+        app_patterns=("%FApp%",),
+        warehouses=((("%BUILD%",), "W001"), (("MACH%", "FURNITURE"), "W002")),
+        store_aliases=(("TH12", "W101"),),
+    )
+    return sales.order_classes(raw, rules).select("o_orderkey", "operation", "store", "channel", "dispatch")
+
+
 _KPI_INPUT = f"""
     l AS (SELECT l_orderkey, sum(g) AS gross, sum(taxed) AS taxed, sum(l_quantity) AS units,
                  coalesce(sum(CASE WHEN l_returnflag = 'R' THEN CAST(floor(g * l_discount + 0.5) AS BIGINT) END), 2729) AS margin,

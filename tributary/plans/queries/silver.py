@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tributary.config import ColumnSpec, TableSpec
 from tributary.functions import clock
 from tributary.functions.paths import first_map_key, json_path, path_column
 from tributary.functions.text import valid_json
@@ -499,6 +500,28 @@ def interpolate(spark, sf):
     return gaps.interpolate(rows, ["event_type"], "ts", "value", ["event_id"]).drop("ts")
 
 
+@query(
+    "gap_log",
+    """
+    SELECT 'orders_note_0' AS gap_id, 'orders' AS entity_type, 'gold_orders' AS table_name, 'note' AS field_name,
+           count(*) AS record_count FROM orders
+    UNION ALL SELECT 'orders_weight_1', 'orders', 'gold_orders', 'weight', count(*) FROM orders
+    """,
+)
+def gap_log(spark, sf):
+    spec = TableSpec(
+        "gold_orders",
+        {
+            "o_orderkey": ColumnSpec("BIGINT", source_field="id"),
+            "note": ColumnSpec("VARCHAR(20)", data_gap=True, source_field="x"),
+            "weight": ColumnSpec("DECIMAL(12,9)"),
+            "fee": ColumnSpec("INT", calculated=True),
+        },
+    )
+    o = table(spark, sf, "orders")
+    return gaps.gap_log(o, spec, "orders", F.lit("2002-01-01").cast("timestamp")).drop("timestamp")
+
+
 @query(
     "gap_trend",
     """

@@ -6,6 +6,8 @@ order of addition; they are divided once, at the end.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,52 @@ from tributary.operators.joins import enrich, latest_per_key
 from tributary.operators.windows import top_per_key
 
 
+@dataclass(frozen=True)
+class ChannelRules:
+    """How raw order lines are classed. Names of sellers and sites come from the caller."""
+
+    store_sellers: tuple[str, ...] = ()
+    store_seller_patterns: tuple[str, ...] = ()
+    app_patterns: tuple[str, ...] = ()
+    pickup_patterns: tuple[str, ...] = ("%REC%", "%RETIRO%", "%AUTO%")
+    warehouses: tuple[tuple[tuple[str, ...], str], ...] = ()
+    store_aliases: tuple[tuple[str, str], ...] = ()
+
+
+def _like_any(c: Column, patterns: tuple[str, ...]) -> Column:
+    found = F.lit(False)
+    for p in patterns:
+        found = found | c.like(p)
+    return F.coalesce(found, F.lit(False))
+
+
+def order_classes(lines: DataFrame, rules: ChannelRules) -> DataFrame:
+    """Operation, store, channel and dispatch of each line.
+
+    lines(seller, site, courier, utm_source). A line of a store seller is
+    ``TIENDA``, any other ``ALMACEN``; a warehouse line takes the code its site
+    maps to, a store line the first four characters of its courier.
+    """
+    seller, courier = F.col("seller"), F.col("courier")
+    from_store = F.coalesce(seller.isin(list(rules.store_sellers)), F.lit(False)) | _like_any(
+        seller, rules.store_seller_patterns
+    )
+    prefix = F.substring(courier, 1, 4)
+    codes = [(~from_store & _like_any(F.col("site"), patterns), F.lit(code)) for patterns, code in rules.warehouses]
+    codes += [(prefix == old, F.lit(new)) for old, new in rules.store_aliases]
+    store = prefix
+    for condition, value in reversed(codes):
+        store = F.when(condition, value).otherwise(store)
+    return lines.withColumns(
+        {
+            "operation": F.when(from_store, "TIENDA").otherwise("ALMACEN"),
+            "store": store,
+            "channel": F.when(_like_any(F.col("utm_source"), rules.app_patterns), "APP").otherwise("WEB"),
+            "dispatch": F.when(_like_any(courier, rules.pickup_patterns), "RETIRO EN TIENDA").otherwise("DELIVERY"),
+        }
+    )
+
+
 def taxed_parts(lines: DataFrame, materials: DataFrame, exempt=money.TAX_EXEMPT_TYPES) -> DataFrame:
     """Lines with ``taxed``: the part of ``gross`` that carries tax."""
     types = materials.select("material_id", "tax_type")

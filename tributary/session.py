@@ -65,12 +65,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df, label: str = "stage"):
-    """Write ``df`` once to the shared folder and read it back.
+def materialize(df, label: str = "stage", path: str | None = None):
+    """Write ``df`` once and read it back.
 
     Used where a later step must see exactly the rows an earlier step saw. The
-    written copy survives the loss of any executor.
+    written copy survives the loss of any executor. Without ``path`` it goes to
+    a new place in the shared folder; a job that repeats gives its own path,
+    which is then overwritten each time.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    target = path or scratch_path(df.sparkSession, label)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)

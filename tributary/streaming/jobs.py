@@ -99,16 +99,21 @@ def stream_upsert(
     checkpoint: str,
     trigger: str | None = BUFFER,
 ) -> StreamingQuery:
-    """Keep ``target`` at the latest version per key; only touched partitions are rewritten."""
+    """Keep ``target`` at the latest version per key; only touched partitions are rewritten.
+
+    Each batch is staged beside the table before it replaces anything, in two
+    folders that the next batch overwrites.
+    """
+    staging = target.rstrip("/") + "_staging"
 
     def save(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        newest = materialize(resolve_conflicts(batch, keys, order_col), "stream-batch")
+        newest = materialize(resolve_conflicts(batch, keys, order_col), path=f"{staging}/batch")
         if newest.isEmpty():
             return
         try:
             old = spark.read.schema(newest.schema).parquet(target).filter(_touched(newest, by))
-            merged = materialize(upsert_latest(old, newest, keys, order_col), "stream-merged")
+            merged = materialize(upsert_latest(old, newest, keys, order_col), path=f"{staging}/merged")
         except Exception as missing:  # the table does not exist before the first batch
             if "PATH_NOT_FOUND" not in str(missing):
                 raise
