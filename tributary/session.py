@@ -24,6 +24,9 @@ SETTINGS = {
 }
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def builder(app_name: str = "tributary") -> SparkSession.Builder:
     b = SparkSession.builder.appName(app_name)
     for key, value in SETTINGS.items():
@@ -55,9 +58,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder before running on a cluster")
-    made = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

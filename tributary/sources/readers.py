@@ -23,18 +23,39 @@ METADATA_FIELDS = (
 METADATA_DDL = "struct<" + ",".join(f"{n}:{t}" for n, t in METADATA_FIELDS) + ">"
 
 
+def as_schema(schema: str | T.StructType) -> T.StructType:
+    return T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+
+
+def parse_lines(lines: DataFrame, schema: str | T.StructType, keep_corrupt: bool = True) -> DataFrame:
+    """Text lines (column ``value``) to typed columns, batch or stream.
+
+    A line that does not parse fills ``_corrupt_record`` only. Columns the text
+    already has beside ``value`` (partitions) are kept. Reading lines as text
+    allows any later query on them, also one that asks for the broken lines alone.
+    """
+    wanted = as_schema(schema)
+    beside = [c for c in lines.columns if c != "value"]
+    inside = [f for f in wanted.fields if f.name not in beside]
+    if keep_corrupt and CORRUPT not in wanted.names:
+        inside.append(T.StructField(CORRUPT, T.StringType()))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    record = F.from_json("value", T.StructType(inside), options)
+    parsed = lines.filter(F.length(F.trim("value")) > 0).select(*beside, record.alias("_r"))
+    out = [F.col(f.name) if f.name in beside else F.col("_r").getField(f.name).alias(f.name) for f in wanted.fields]
+    out += [F.col(c) for c in beside if c not in wanted.names]
+    if keep_corrupt and CORRUPT not in wanted.names:
+        out.append(F.col("_r").getField(CORRUPT).alias(CORRUPT))
+    return parsed.select(*out)
+
+
 def read_json(
     spark: SparkSession, path: str, schema: str | T.StructType | None = None, keep_corrupt: bool = True
 ) -> DataFrame:
     """JSON lines. With a schema nothing is inferred and broken lines are kept in ``_corrupt_record``."""
-    reader = spark.read.option("mode", "PERMISSIVE")
     if schema is None:
-        return reader.json(path)
-    if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema) if hasattr(T.StructType, "fromDDL") else T._parse_datatype_string(schema)
-    if keep_corrupt and CORRUPT not in schema.names:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return reader.option("columnNameOfCorruptRecord", CORRUPT).schema(schema).json(path)
+        return spark.read.option("mode", "PERMISSIVE").json(path)
+    return parse_lines(spark.read.text(path), schema, keep_corrupt)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:

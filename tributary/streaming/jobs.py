@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tributary.operators.dedup import resolve_conflicts
 from tributary.operators.tables import _touched
 from tributary.session import materialize
-from tributary.sources.readers import CORRUPT
+from tributary.sources.readers import CORRUPT, parse_lines
 
 BUFFER = "300 seconds"
 MAX_FRESHNESS_SECONDS = 900
@@ -25,15 +25,8 @@ def triggered(writer, trigger: str | None):
     return writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
 
 
-def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if CORRUPT not in schema.names:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.readStream.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+def read_landing(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    return parse_lines(spark.readStream.text(path), schema)
 
 
 def stream_land(
