@@ -1,7 +1,7 @@
 """Compare a registered query with its SQL on DuckDB.
 
 Run as a script to check all queries, or those named on the command line:
-``python tests/oracle.py [--sf 0.01] [name ...]``.
+``python tests/oracle.py [--sf 0.01] [--plain] [name ...]``.
 """
 
 from __future__ import annotations
@@ -87,7 +87,17 @@ def main() -> int:
         sf = args[i + 1]
         del args[i : i + 2]
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = local_session(8)
+    if "--plain" in args:
+        # A session with none of our settings and another time zone: results must not depend on either.
+        from pyspark.sql import SparkSession
+
+        args.remove("--plain")
+        spark = (
+            SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+            .config("spark.sql.session.timeZone", "America/New_York").getOrCreate()
+        )
+    else:
+        spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     failed = 0

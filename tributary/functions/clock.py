@@ -42,8 +42,25 @@ def epoch_in_range(c: Column) -> Column:
 
 
 def to_epoch(c: Column) -> Column:
-    """Seconds since 1970 of a zone-less timestamp."""
-    return F.timestamp_diff("SECOND", F.expr(_ORIGIN), c.cast("timestamp_ntz"))
+    """Seconds since 1970 of a zone-less time, rounded down.
+
+    Built from the parts of the time: a difference of timestamps would go
+    through the session's zone and shift around changes of daylight time.
+    """
+    wall = c.cast("timestamp_ntz")
+    days = F.unix_date(wall.cast("date")).cast("bigint")
+    return days * 86400 + F.hour(wall) * 3600 + F.minute(wall) * 60 + F.second(wall)
+
+
+def utc_instant(c: Column) -> Column:
+    """The instant at which a UTC clock showed the zone-less time ``c``, in whole seconds."""
+    return F.timestamp_seconds(to_epoch(c))
+
+
+def utc_now() -> Column:
+    """Arrival time as a UTC clock shows it. Only the stream landing asks for it; other jobs are given their time."""
+    wall = F.current_timestamp().cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), wall)
 
 
 def local_bounds(day_from: str, day_to: str, zone_offset_hours: int = -5) -> tuple[int, int]:

@@ -1,4 +1,4 @@
-"""Group-by from settings, KPI ratios, totals and profiles."""
+"""Group-by from settings, totals and profiles."""
 
 from __future__ import annotations
 
@@ -47,60 +47,6 @@ def aggregate(df: DataFrame, spec: AggSpec) -> DataFrame:
     return df.groupBy(*[d for d in spec.dimensions if d in df.columns]).agg(*columns)
 
 
-KPI_INPUT = ("customer_id", "order_id", "gross", "net", "units", "margin")
-
-
-def kpi_ratios(scale: float = 1.0) -> dict[str, Column]:
-    """Ratios of the KPI totals; a zero divisor gives null."""
-    return {
-        "spend_per_customer": ratio(F.col("gross"), F.col("customers")) / F.lit(scale),
-        "frequency": ratio(F.col("orders"), F.col("customers")),
-        "ticket": ratio(F.col("gross"), F.col("orders")) / F.lit(scale),
-        "units_per_ticket": ratio(F.col("units"), F.col("orders")),
-        "unit_price": ratio(F.col("gross"), F.col("units")) / F.lit(scale),
-        "margin_share": ratio(F.col("margin"), F.col("net")),
-    }
-
-
-def kpi_totals(orders: DataFrame, by: list[str | Column]) -> DataFrame:
-    """Customers, orders, gross, net, units and margin per group.
-
-    ``orders`` must hold one row per order. Orders are summed per customer
-    first: the customer count is then a plain count, and no distinct-expansion
-    of the input is needed.
-    """
-    names = [b if isinstance(b, str) else None for b in by]
-    if None in names:
-        raise ValueError("derive grouping columns before calling")
-    sums = [F.sum(c).alias(c) for c in ("gross", "net", "units", "margin")]
-    per_customer = orders.groupBy(*by, "customer_id").agg(F.count(F.lit(1)).alias("orders"), *sums)
-    return per_customer.groupBy(*by).agg(
-        F.count("customer_id").alias("customers"),
-        F.sum("orders").alias("orders"),
-        *sums,
-    )
-
-
-def kpis(orders: DataFrame, by: list[str], scale: float = 1.0) -> DataFrame:
-    return kpi_totals(orders, by).withColumns(kpi_ratios(scale))
-
-
-def kpis_with_totals(orders: DataFrame, period: str, group: str, scale: float = 1.0) -> DataFrame:
-    """KPIs per (period, group) and per period, the total labelled ``TOTAL``.
-
-    Each order counts once in its group and once in the total. The order rows
-    are summed to (period, group, customer) before they are doubled, so the
-    large input is read and shuffled once.
-    """
-    sums = [F.sum(c).alias(c) for c in ("gross", "net", "units", "margin")]
-    base = orders.groupBy(period, group, "customer_id").agg(F.count(F.lit(1)).alias("orders"), *sums)
-    both = base.withColumn(group, F.explode(F.array(F.col(group), F.lit("TOTAL"))))
-    again = [F.sum(c).alias(c) for c in ("orders", "gross", "net", "units", "margin")]
-    per_customer = both.groupBy(period, group, "customer_id").agg(*again)
-    totals = per_customer.groupBy(period, group).agg(F.count("customer_id").alias("customers"), *again)
-    return totals.withColumns(kpi_ratios(scale))
-
-
 def profile(df: DataFrame) -> DataFrame:
     """Rows, filled, nulls and null share per column: one scan, one row per column."""
     stats = [

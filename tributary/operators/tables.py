@@ -53,6 +53,10 @@ def _touched(source: DataFrame, by: list[str]) -> Column:
     The list is as long as the table has partitions, not rows.
     """
     rows = source.select(*by).distinct().collect()
+    if len(by) == 1:
+        values = [r[0] for r in rows if r[0] is not None]
+        condition = F.col(by[0]).isin(values)
+        return condition | F.col(by[0]).isNull() if len(values) < len(rows) else condition
     condition = F.lit(False)
     for r in rows:
         one = F.lit(True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tributary.config import AggSpec, ColumnSpec, FieldMap, GoldSpec, Metric, RuleSet, SilverSpec, TableSpec, When
+from tributary.functions import clock
 from tributary.functions.money import minor
 from tributary.operators import validate
 from tributary.plans.layers import to_gold, to_silver
@@ -58,7 +59,7 @@ def bronze_to_silver(spark, sf):
     silver = to_silver(bronze_orders(spark, sf), SILVER)
     return silver.withColumns(
         {
-            "modified": F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01'"), F.col("modified")),
+            "modified": clock.to_epoch(F.col("modified")),
             "amount": F.col("amount").cast("double"),
             "created": F.date_format("created", "yyyy-MM-dd"),
         }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tributary.functions import clock
 from tributary.plans.registry import query, table
 from tributary.session import scratch_path
 from tributary.streaming import jobs
@@ -13,7 +14,7 @@ def event_stream(spark, sf):
     """The events file as a stream; the event time becomes an instant."""
     schema = table(spark, sf, "events").schema
     raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return raw.withColumn("ts", F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
+    return raw.withColumn("ts", clock.utc_instant(F.col("ts")))
 
 
 def _seconds(c):

@@ -77,6 +77,25 @@ def create_table(df: DataFrame, table: str, by: list[str] | None = None, propert
     (writer.partitionBy(*by) if by else writer).saveAsTable(table)
 
 
+def create_catalog_table(
+    df: DataFrame, table: str, transforms: list[Column] | None = None, properties: dict[str, str] | None = None
+) -> None:
+    """Create or replace a table in a catalog that knows partition transforms (``years``, ``months``, ``days``)."""
+    writer = df.limit(0).writeTo(table)
+    for k, v in (properties or TABLE_PROPERTIES).items():
+        writer = writer.tableProperty(k, v)
+    (writer.partitionedBy(*transforms) if transforms else writer).createOrReplace()
+
+
+def append_catalog_table(df: DataFrame, table: str) -> None:
+    df.writeTo(table).append()
+
+
+def overwrite_catalog_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions that occur in ``df`` and no other."""
+    df.writeTo(table).overwritePartitions()
+
+
 def write_dead_letters(letters: DataFrame, path: str) -> None:
     letters.write.mode("append").json(path)
 

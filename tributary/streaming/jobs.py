@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tributary.functions.clock import to_epoch, utc_now
 from tributary.operators.dedup import resolve_conflicts
 from tributary.operators.tables import _touched
 from tributary.session import materialize
@@ -50,7 +51,7 @@ def stream_land(
                 F.struct(
                     F.lit(client).alias("client_id"),
                     F.lit(entity).alias("entity_type"),
-                    F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ingestion_timestamp"),
+                    F.date_format(utc_now(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ingestion_timestamp"),
                     F.lit("webhook").alias("source"),
                 ).alias("_metadata"),
                 F.struct(*[F.col(f"`{c}`") for c in good.columns]).alias("data"),
@@ -154,5 +155,5 @@ def latest_windows(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
 
 def freshness_lag(df: DataFrame, ts: str, now: Column, limit: int = MAX_FRESHNESS_SECONDS) -> DataFrame:
     """Seconds between the newest event and ``now``, and whether that is within the limit."""
-    lag = F.unix_timestamp(now) - F.unix_timestamp(F.max(ts))
+    lag = to_epoch(now) - to_epoch(F.max(ts))
     return df.agg(lag.alias("lag_seconds")).withColumn("fresh", F.col("lag_seconds") <= limit)
