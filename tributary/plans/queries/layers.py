@@ -4,12 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.config import AggSpec, ColumnSpec, FieldMap, GoldSpec, Metric, RuleSet, SilverSpec, TableSpec, When
+from tributary.config import (
+    AggSpec,
+    ColumnSpec,
+    FieldMap,
+    GoldSpec,
+    Metric,
+    Relation,
+    RuleSet,
+    SilverSpec,
+    TableSpec,
+    When,
+)
 from tributary.functions import clock
 from tributary.functions.money import minor
-from tributary.operators import validate
+from tributary.operators import gaps, joins, mapping, nested, sets, validate
+from tributary.operators.lineage import StageMeter
 from tributary.plans.layers import to_gold, to_silver
 from tributary.plans.registry import query, table
+from tributary.session import scratch_path
 
 SILVER = SilverSpec(
     keys=("id",),
@@ -146,3 +159,133 @@ def validate_table(spark, sf):
 )
 def validation_status(spark, sf):
     return validate.overall(validate_table(spark, sf))
+
+
+@query(
+    "stage_metrics",
+    """
+    WITH c AS (SELECT (SELECT count(*) FROM lineitem) AS a, (SELECT count(*) FROM lineitem WHERE l_returnflag <> 'R') AS b,
+                      (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_returnflag <> 'R') AS d)
+    SELECT 'read' AS stage, a AS records_in, a AS records_out, 0::BIGINT AS records_dropped, 0.0::DOUBLE AS drop_rate FROM c
+    UNION ALL SELECT 'filter', a, b, a - b, CAST(a - b AS DOUBLE) / CAST(a AS DOUBLE) FROM c
+    UNION ALL SELECT 'group', b, d, b - d, CAST(b - d AS DOUBLE) / CAST(b AS DOUBLE) FROM c
+    """,
+)
+def stage_metrics(spark, sf):
+    """Rows of each stage, observed by the job that writes the result."""
+    meter = StageMeter("sales")
+    df = meter.watch(table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag"), "read")
+    df = meter.watch(df.filter("l_returnflag <> 'R'"), "filter")
+    df = meter.watch(df.groupBy("l_orderkey").count(), "group")
+    df.write.parquet(scratch_path(spark, "metrics"))
+    report = meter.report(spark, F.lit("2026-01-01").cast("timestamp"))
+    return report.select("stage", "records_in", "records_out", "records_dropped", "drop_rate")
+
+
+def raw_orders(spark, sf):
+    """Orders in the shape the sales channel sends them: lists, maps and deep structs."""
+    key, buyer = F.col("o_orderkey"), F.col("o_custkey")
+    address = lambda n: F.struct(
+        (buyer + n).alias("id"), F.concat(F.lit("city"), F.lit(n).cast("string")).alias("city"), F.lit("N").alias("neighborhood"),
+        F.lit("C").alias("complement"), F.array(buyer * -1.0, buyer * -0.5 - n).alias("geolocation"),
+    )
+    shipping = F.struct(
+        (key * 2).alias("id"), F.col("o_orderpriority").alias("carrierId"),
+        F.struct(key.alias("initialDate"), (key + 1).alias("finalDate")).alias("deliveryWindow"), (key + 2).alias("dateModified"),
+    )
+    item = lambda n: F.struct(
+        (key * 10 + n).alias("id"), F.concat(F.lit("K"), F.lit(n).cast("string")).alias("skuId"), F.lit(n * 1.5).alias("purchasedQuantity")
+    )
+    return table(spark, sf, "orders").select(
+        key.alias("id"),
+        key.cast("string").alias("commerceSequentialId"),
+        F.struct(buyer.alias("id")).alias("customer"),
+        F.array(address(1), address(2)).alias("addresses"),
+        F.create_map("o_orderstatus", F.lit("x")).alias("statusPerLocation"),
+        F.struct(F.struct(F.col("o_totalprice").alias("amount")).alias("items")).alias("totals"),
+        F.when(F.col("o_orderstatus") == "P", F.array(shipping, shipping)).otherwise(F.array(shipping)).alias("shippings"),
+        F.array(item(1), item(2)).alias("items"),
+        F.struct(F.struct(F.col("o_orderpriority").alias("dateEnd")).alias("picking")).alias("steps"),
+    )
+
+
+@query(
+    "order_fields",
+    """
+    SELECT o_orderkey AS id, CAST(o_orderkey AS VARCHAR) AS seq_id, o_custkey AS customer, o_custkey + 1 AS customer_address,
+           o_orderstatus AS store, o_totalprice AS total_items, o_orderpriority AS date_picked, CAST(NULL AS VARCHAR) AS invoice_date
+    FROM orders
+    """,
+)
+def order_fields(spark, sf):
+    out = mapping.order_fields(raw_orders(spark, sf))
+    return out.select("id", "seq_id", "customer", "customer_address", "store", "total_items", "date_picked", "invoice_date")
+
+
+@query(
+    "item_fields",
+    """
+    SELECT o_orderkey * 10 + n AS id, o_orderkey AS order_id, 'K' || n AS sku, CAST(n * 1.5 AS DOUBLE) AS quantity,
+           CAST(NULL AS VARCHAR) AS name FROM orders, (VALUES (1), (2)) v(n)
+    """,
+)
+def item_fields(spark, sf):
+    return mapping.item_fields(raw_orders(spark, sf)).select("id", "order_id", "sku", "quantity", "name")
+
+
+@query(
+    "shipping_fields",
+    """
+    SELECT o_orderkey * 2 AS id, o_orderkey AS order_id, 'city' || n AS city, o_custkey * -0.5::DOUBLE - n AS lat,
+           o_custkey * -1.0::DOUBLE AS lng, o_orderpriority AS carrier_id, o_orderkey AS shipping_window_start,
+           o_orderkey + 1 AS shipping_window_end, o_orderkey + 2 AS shipped_date_end
+    FROM orders, (VALUES (1), (2)) v(n) WHERE n = 1 OR o_orderstatus = 'P'
+    """,
+)
+def shipping_fields(spark, sf):
+    return mapping.shipping_fields(raw_orders(spark, sf)).select(
+        "id", "order_id", "city", "lat", "lng", "carrier_id", "shipping_window_start", "shipping_window_end", "shipped_date_end"
+    )
+
+
+@query(
+    "split_entity",
+    """
+    SELECT o_orderkey AS order_id, 'customer' AS part, CAST(o_custkey AS VARCHAR) AS value FROM orders
+    UNION ALL SELECT o_orderkey, 'items', 'K' || n FROM orders, (VALUES (1), (2)) v(n)
+    UNION ALL SELECT o_orderkey, 'locations', o_orderstatus FROM orders
+    UNION ALL SELECT o_orderkey, 'parent', CAST(o_totalprice >= 100000 AS VARCHAR) FROM orders
+    """,
+)
+def split_entity(spark, sf):
+    """One entity to its parent and three kinds of child tables."""
+    parts = nested.split_entity(
+        raw_orders(spark, sf),
+        (
+            Relation("customer", "customer", "order_id", "one_to_one"),
+            Relation("items", "items", "order_id"),
+            Relation("statusPerLocation", "locations", "order_id", "key_value"),
+        ),
+    )
+    values = {"customer": F.col("id"), "items": F.col("skuId"), "locations": F.col("field")}
+    rows = {n: parts[n].select("order_id", v.cast("string").alias("value")) for n, v in values.items()}
+    rows["parent"] = parts[""].select(
+        F.col("id").alias("order_id"), (F.col("totals_items_amount") >= 100000).cast("string").alias("value")
+    )
+    return sets.union_tenants(rows, "part").select("order_id", "part", "value")
+
+
+@query(
+    "gap_columns",
+    """
+    SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS note, 'orders' AS run FROM orders
+    """,
+)
+def gap_columns(spark, sf):
+    """Known gaps as typed nulls, constants as literals, then the target columns that exist."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
+    wide = joins.with_constants(gaps.add_gap_columns(o, ORDER_TABLE), run="orders")
+    chosen, missing = nested.project(wide, ["o_orderkey", "o_totalprice", "note", "run", "missing"])
+    if missing != ["missing"]:
+        raise ValueError(f"unexpected missing columns: {missing}")
+    return chosen

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.functions import clock
+from tributary.functions.money import ratio
 from tributary.plans.registry import query, table
 from tributary.session import scratch_path
 from tributary.streaming import jobs
@@ -78,3 +80,47 @@ def stream_upsert(spark, sf):
 def stream_freshness(spark, sf):
     e = table(spark, sf, "events")
     return jobs.freshness_lag(e, "ts", F.lit("2024-01-31 00:05:00").cast("timestamp_ntz"))
+
+
+@query(
+    "stream_land",
+    """
+    SELECT 'data' AS part, event_id, 'shop' AS client, 'events' AS entity FROM events WHERE event_type <> 'error'
+    UNION ALL SELECT 'errors', event_id, NULL, NULL FROM events WHERE event_type = 'error'
+    """,
+)
+def stream_land(spark, sf):
+    """Events as JSON lines, those of errors cut short: good lines land in Bronze, broken ones apart."""
+    src, out = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    line = F.to_json(F.struct("event_id", "user_id"))
+    cut = F.concat(F.lit("{"), F.col("event_id").cast("string"))
+    lines = table(spark, sf, "events").select(F.when(F.col("event_type") == "error", cut).otherwise(line).alias("value"))
+    lines.write.text(src)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType())])
+    jobs.stream_land(spark, src, schema, out, out + "-checkpoint", "shop", "events", None).awaitTermination()
+    data = spark.read.parquet(f"{out}/data").select(F.lit("data").alias("part"), "data.event_id", "client", "entity")
+    broken = spark.read.parquet(f"{out}/errors").select(
+        F.lit("errors").alias("part"), F.substring("record", 2, 20).cast("bigint").alias("event_id")
+    )
+    return data.unionByName(broken, allowMissingColumns=True)
+
+
+@query(
+    "stream_rates",
+    """
+    SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) // 1000000 AS day, count(*) AS rows,
+           CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS error_rate
+    FROM events GROUP BY 1
+    """,
+)
+def stream_rates(spark, sf):
+    """Rows and error share per day, kept up to date by a stream."""
+    out = scratch_path(spark, "rates")
+    counts = jobs.stream_window_counts(
+        event_stream(spark, sf), "ts", "1 day", errors=F.count_if(F.col("event_type") == "error")
+    )
+    jobs.save_updates(counts, out, out + "-checkpoint").awaitTermination()
+    final = jobs.latest_windows(spark, out, ["window_start"])
+    return final.select(
+        _seconds(F.col("window_start")).alias("day"), "rows", ratio(F.col("errors"), F.col("rows")).alias("error_rate")
+    )

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tributary.config import RuleSet
 from tributary.functions import clock
-from tributary.operators import tables
+from tributary.operators import incremental, quality, tables
+from tributary.operators.dedup import pk_violations
 from tributary.plans.registry import query, table
 from tributary.session import scratch_path
 from tributary.sources import readers, writers
@@ -232,16 +234,104 @@ def initial_load(spark, sf):
 @query(
     "multi_table_read",
     """
-    SELECT n_nationkey AS key, n_name AS name FROM nation UNION ALL SELECT r_regionkey, r_name FROM region
+    SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier
     """,
 )
 def multi_table_read(spark, sf):
-    stacked = readers.read_many(spark, [f"{sf}/nation.parquet", f"{sf}/region.parquet"])
-    return stacked.select(
-        F.coalesce("n_nationkey", "r_regionkey").alias("key"), F.coalesce("n_name", "r_name").alias("name")
+    stacked = readers.read_many(spark, [f"{sf}/customer.parquet", f"{sf}/supplier.parquet"])
+    return stacked.select(F.coalesce("c_custkey", "s_suppkey").alias("key"), F.coalesce("c_name", "s_name").alias("name"))
+
+
+@query(
+    "staged_load",
+    f"""
+    WITH {_BATCH}
+    SELECT o_orderkey, o_orderstatus, o_totalprice FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)
+    UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM s
+    """,
+)
+def staged_load(spark, sf):
+    """Stage the batch, refuse it if a key is null or repeated, then upsert from the stage."""
+    target, batch = target_and_source(spark, sf)
+    out = scratch_path(spark, "warehouse")
+
+    def checks(staged):
+        if not staged.filter("o_orderkey is null").isEmpty() or not pk_violations(staged, ["o_orderkey"]).isEmpty():
+            raise ValueError("the staged batch has null or repeated keys")
+
+    def load(staged):
+        writers.full_replace(tables.upsert(target, staged, ["o_orderkey"]).drop("o_orderdate"), out)
+
+    writers.staged_load(batch, scratch_path(spark, "stage"), checks, load)
+    return readers.read_parquet(spark, out)
+
+
+@query("compact_roundtrip", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem")
+def compact_roundtrip(spark, sf):
+    """Many small files become few of the wanted size."""
+    small, big = scratch_path(spark, "small"), scratch_path(spark, "big")
+    table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").repartition(16).write.parquet(small)
+    tables.compact(spark, small, big)
+    return readers.read_parquet(spark, big)
+
+
+@query(
+    "day_window",
+    "SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS day FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1996-02-01' AND TIMESTAMP '1996-02-29'",
+)
+def day_window(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", clock.day_key(F.col("o_orderdate")).alias("day"))
+    return readers.day_window(o, "day", 19960201, 19960229)
+
+
+@query(
+    "local_day_pruning",
+    """
+    SELECT event_id FROM events WHERE epoch_us(ts) // 1000000 >= 1705294800 AND epoch_us(ts) // 1000000 < 1705554000
+    """,
+)
+def local_day_pruning(spark, sf):
+    """Whole local days as bounds on the raw epoch, in place of a filter on formatted days."""
+    lo, hi = clock.local_bounds("2024-01-15", "2024-01-17")
+    e = table(spark, sf, "events").select("event_id", clock.to_epoch(F.col("ts")).alias("epoch"))
+    return e.filter((F.col("epoch") >= lo) & (F.col("epoch") < hi)).select("event_id")
+
+
+@query(
+    "audit_append",
+    """
+    SELECT md5('events|' || CAST(event_id AS VARCHAR) || '|range:value') AS issue_id, 'events' AS table_name,
+           CAST(event_id AS VARCHAR) AS record_id, 'range:value' AS validation_rule FROM events WHERE value > 20
+    """,
+)
+def audit_append(spark, sf):
+    root = scratch_path(spark, "audit")
+    paths = writers.create_audit_tables(spark, root)
+    issues = quality.issue_rows(
+        table(spark, sf, "events"), RuleSet(ranges={"value": (None, 20)}), "events", "event_id",
+        F.lit("2026-01-01").cast("timestamp"),
+    )
+    writers.append_audit(issues, root, "data_quality_issues")
+    return readers.read_parquet(spark, paths["data_quality_issues"]).select(
+        "issue_id", "table_name", "record_id", "validation_rule"
     )
 
 
+@query(
+    "watermark_advance",
+    """
+    SELECT event_type AS entity, CAST(max(epoch_us(ts) // 1000000) AS BIGINT) AS watermark FROM events
+    WHERE epoch_us(ts) // 1000000 < 1705276800 GROUP BY 1
+    UNION ALL SELECT 'all', CAST(max(epoch_us(ts) // 1000000) AS BIGINT) FROM events
+    """,
+)
+def watermark_advance(spark, sf):
+    """State by mid-month, with the newest time of all events added."""
+    e = table(spark, sf, "events").select(F.col("event_type").alias("entity"), clock.to_epoch(F.col("ts")).alias("at"))
+    state = e.filter(F.col("at") < 1705276800).groupBy("entity").agg(F.max("at").alias("watermark"))
+    return incremental.advance(state, "all", incremental.next_watermark(e, ["absent", "at"]))
+
+
 @query(
     "schema_diff",
     """
