@@ -19,8 +19,6 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    # The JVM does not compile methods over 8000 bytes; wide projections then run in smaller methods.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
