@@ -167,7 +167,16 @@ def test_hot_keys_are_spread_and_results_whole(spark):
     assert out.filter("k <> 0 and (n <> 1 or top <> id)").count() == 0
     summary = df.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
     hot = skew.hot_keys(summary, ["k"], "rows", 1000)
-    assert [r.k for r in hot.collect()] == [0]
+    assert [tuple(r) for r in hot.collect()] == [(0, 3)]
+
+
+def test_exact_copies_are_spread_over_salts(spark):
+    """Identical rows from several tasks reach several salts, and all come back."""
+    df = spark.range(0, 4000, 1, 8).select(F.lit("k").alias("k"), F.lit("same").alias("v"))
+    out = skew.with_group_stats(df, ["k"], min_rows=500, n=F.count(F.lit(1)))
+    assert out.count() == 4000 and out.select("n").distinct().collect() == [(4000,)]
+    salts = df.select(F.pmod(F.xxhash64("k", "v", F.spark_partition_id()), F.lit(8)).alias("s")).distinct().count()
+    assert salts > 1
 
 
 def test_dense_group_id_and_surrogate_key(spark, rows):

@@ -5,10 +5,11 @@ from __future__ import annotations
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.config import TableSpec
+from tributary.functions.clock import to_epoch
 from tributary.functions.ddl import spark_type
 
 # Fields the source does not offer, and how much each one matters.
@@ -143,37 +144,41 @@ def overall_impact(report: DataFrame) -> DataFrame:
     return report.agg(label.alias("impact_assessment"))
 
 
-def _spans(df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str], backward: bool) -> DataFrame:
+CHUNK_SECONDS = 3600
+
+
+def _spans(
+    df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str], backward: bool, chunk_seconds: int
+) -> DataFrame:
     """Nearest known (value, time) before each row, or after it when ``backward``.
 
-    A key's timeline is cut into days. Within a day a window looks back; across
-    days only one summary row per key and day is carried. So a key that holds
-    a third of all rows is still spread over its days.
+    A key's timeline is cut into chunks. Within a chunk a window looks back;
+    across chunks only one summary row per key and chunk is carried. So a key
+    that holds a third of all rows is still spread over its whole history.
     """
-    from pyspark.sql import Window
 
     tag = "next" if backward else "prev"
     known = F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias("value"), F.col(ts).alias("at")))
     order = [F.col(c).desc() if backward else F.col(c).asc() for c in [ts, *tie]]
     inside = (
-        Window.partitionBy(*keys, "_day")
+        Window.partitionBy(*keys, "_chunk")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1 if backward else Window.currentRow)
     )
-    base = df.withColumn("_day", F.col(ts).cast("date"))
+    base = df.withColumn("_chunk", F.floor(to_epoch(F.col(ts)) / F.lit(chunk_seconds)))
     near = base.withColumn(f"_{tag}", F.last(known, ignorenulls=True).over(inside))
     position = F.struct(F.col(ts), *tie)
     pick = F.min_by if backward else F.max_by
-    daily = base.groupBy(*keys, "_day").agg(
+    edges = base.groupBy(*keys, "_chunk").agg(
         pick(known, F.when(F.col(column).isNotNull(), position)).alias("_edge")
     )
     across = (
         Window.partitionBy(*keys)
-        .orderBy(F.col("_day").desc() if backward else F.col("_day").asc())
+        .orderBy(F.col("_chunk").desc() if backward else F.col("_chunk").asc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    parts = [*keys, "_day"]
-    carried = daily.withColumn("_carry", F.last("_edge", ignorenulls=True).over(across)).select(
+    parts = [*keys, "_chunk"]
+    carried = edges.withColumn("_carry", F.last("_edge", ignorenulls=True).over(across)).select(
         *[F.col(c).alias(f"_c_{c}") for c in parts], "_carry"
     )
     match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in parts])
@@ -181,9 +186,11 @@ def _spans(df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str],
     return joined.select(*df.columns, F.coalesce(F.col(f"_{tag}"), F.col("_carry")).alias(f"_{tag}_{column}"))
 
 
-def forward_fill(df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str] | None = None) -> DataFrame:
+def forward_fill(
+    df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str] | None = None, chunk_seconds: int = CHUNK_SECONDS
+) -> DataFrame:
     """Fill nulls with the last known value of the key and flag what was filled."""
-    spanned = _spans(df, keys, ts, column, tie or [], backward=False)
+    spanned = _spans(df, keys, ts, column, tie or [], False, chunk_seconds)
     filled = F.coalesce(F.col(column), F.col(f"_prev_{column}.value"))
     return spanned.select(
         *[c for c in df.columns if c != column],
@@ -192,12 +199,12 @@ def forward_fill(df: DataFrame, keys: list[str], ts: str, column: str, tie: list
     )
 
 
-def interpolate(df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str] | None = None) -> DataFrame:
+def interpolate(
+    df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str] | None = None, chunk_seconds: int = CHUNK_SECONDS
+) -> DataFrame:
     """Linear value between the nearest known neighbours in time; ends stay null."""
-    from tributary.functions.clock import to_epoch
-
-    spanned = _spans(df, keys, ts, column, tie or [], backward=False)
-    spanned = _spans(spanned, keys, ts, column, tie or [], backward=True)
+    spanned = _spans(df, keys, ts, column, tie or [], False, chunk_seconds)
+    spanned = _spans(spanned, keys, ts, column, tie or [], True, chunk_seconds)
     before, after = F.col(f"_prev_{column}"), F.col(f"_next_{column}")
     width = to_epoch(after["at"]) - to_epoch(before["at"])
     step = F.try_divide((to_epoch(F.col(ts)) - to_epoch(before["at"])).cast("double"), width.cast("double"))

@@ -15,7 +15,9 @@ HOT_KEYS = 1_000
 
 
 def hot_keys(summary: DataFrame, keys: list[str], rows: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys. At most ``HOT_KEYS`` rows, so broadcasting it is safe.
+    """The heaviest keys, and over how many salts each is spread: one per ``min_rows`` rows.
+
+    At most ``HOT_KEYS`` rows, so broadcasting it is safe.
 
     Keys beyond that number are not lost: they only keep their natural
     partition. The order names every column of the summary, so nothing of it is
@@ -26,7 +28,7 @@ def hot_keys(summary: DataFrame, keys: list[str], rows: str, min_rows: int = HOT
         summary.filter(F.col(rows) >= min_rows)
         .orderBy(F.col(rows).desc(), *others)
         .limit(HOT_KEYS)
-        .select(*keys)
+        .select(*keys, F.ceil(F.col(rows) / F.lit(min_rows)).cast("int").alias("_salts"))
     )
 
 
@@ -37,15 +39,16 @@ def salted_lookup(
     hot: DataFrame,
     rows: str,
     min_rows: int = HOT_ROWS,
-    salts: int = 64,
 ) -> DataFrame:
     """Left join ``big`` to a ``lookup`` with one row per key, spreading the hot keys.
 
-    Rows of a hot key get a salt from their own content; the lookup row of
-    that key is copied once per salt. Every other key keeps salt 0. ``rows`` is
-    the lookup's row count per key; it is dropped from the result.
+    The lookup row of a hot key is copied once per salt; rows of that key pick
+    one. Every other key keeps salt 0. The salt comes from the row's content
+    and its task's number, so exact copies spread too and a task that is run
+    again chooses the same salts. ``rows`` is the lookup's row count per key;
+    it is dropped from the result.
     """
-    marked = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
+    marked = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.col("_salts"))
 
     def flag(df: DataFrame) -> DataFrame:
         condition = F.lit(True)
@@ -54,10 +57,11 @@ def salted_lookup(
         return df.join(F.broadcast(marked), condition, "left").drop(*[f"_hot_{k}" for k in keys])
 
     hashable = [f.name for f in big.schema.fields if not f.dataType.simpleString().startswith("map")]
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashable), F.lit(salts))).otherwise(F.lit(0))
-    left = flag(big).withColumn("_salt", spread.cast("int")).drop("_hot")
-    busy = F.col("_hot") & (F.col(rows) >= min_rows)
-    copies = F.when(busy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    mixed = F.xxhash64(*hashable, F.spark_partition_id())
+    spread = F.when(F.col("_salts").isNotNull(), F.pmod(mixed, F.col("_salts"))).otherwise(F.lit(0))
+    left = flag(big).withColumn("_salt", spread.cast("int")).drop("_salts")
+    busy = F.col("_salts").isNotNull() & (F.col(rows) >= min_rows)
+    copies = F.when(busy, F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(F.array(F.lit(0)))
     kept = [c for c in lookup.columns if c not in keys and c != rows]
     right = (
         flag(lookup)
