@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, mixing, quality
+from tributary.llm import bpe, lines, mixing, near, quality
 from tributary.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -28,3 +28,16 @@ def op7(spark, sf_dir):
 def op10(spark, sf_dir):
     """Token counts and digests; byte-pair merging is not SQL."""
     return bpe.token_digests(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@query("op9_minhash_forest")
+def op9(spark, sf_dir):
+    """Components of near duplicates; reachability is not practical SQL on whole tables (tests use brute force)."""
+    got = near.near_groups(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query("op2_line_dedup")
+def op2(spark, sf_dir):
+    """Lines removed per document; a similarity join over all lines is too slow in SQL (tests use brute force)."""
+    return lines.line_counts(table(spark, sf_dir, "documents"))
