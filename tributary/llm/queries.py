@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, lines, mixing, near, quality
+from tributary.llm import bpe, hashing, language, licenses, lines, mixing, near, quality, secrets
 from tributary.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -41,3 +41,28 @@ def op9(spark, sf_dir):
 def op2(spark, sf_dir):
     """Lines removed per document; a similarity join over all lines is too slow in SQL (tests use brute force)."""
     return lines.line_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op1_multi_index_hashing")
+def op1(spark, sf_dir):
+    """Five nearest of every fiftieth vector; approximate, so recall is measured in tests."""
+    return hashing.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
+@query("op5_zstd_secrets")
+def op5(spark, sf_dir):
+    """Secrets of whole texts; compressed sizes are not SQL."""
+    return secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op6_crf_language")
+def op6(spark, sf_dir):
+    """Language of every text; a trained model is not SQL (tests measure held-out accuracy)."""
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
+@query("op8_license_rules")
+def op8(spark, sf_dir):
+    """Base phrases and license labels; the rules' labels are not SQL (tests compare the base columns)."""
+    return licenses.license_labels(table(spark, sf_dir, "documents"))
