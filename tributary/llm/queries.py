@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, hashing, language, licenses, lines, mixing, near, quality, secrets
+from tributary.llm import bpe, hashing, language, licenses, lines, mixing, near, quality, secrets, substrings
 from tributary.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -66,3 +66,9 @@ def op6(spark, sf_dir):
 def op8(spark, sf_dir):
     """Base phrases and license labels; the rules' labels are not SQL (tests compare the base columns)."""
     return licenses.license_labels(table(spark, sf_dir, "documents"))
+
+
+@query("op4_suffix_dedup")
+def op4(spark, sf_dir):
+    """Repeated 200-byte strings removed; SQL would need every string as a row (tests use brute force)."""
+    return substrings.without_repeats(table(spark, sf_dir, "documents"))
