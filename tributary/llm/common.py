@@ -26,14 +26,14 @@ def pack(docs: DataFrame, **own: Column) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in own.items()])
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z only.
+def only_where(df: DataFrame, condition: Column, value: Column, name: str) -> DataFrame:
+    """``value`` of the rows that meet a condition computed from earlier projections.
 
-    ``lower`` works on all letters; it is used where the text holds ASCII alone, which is where both agree.
+    A plain filter would be pushed below those projections, with their expressions copied into the per-element
+    functions and computed again for each element. Spark does not push a filter below the generator used here.
     """
-    upper, low = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    plain = F.octet_length(text) == F.char_length(text)
-    return F.when(plain, F.lower(text)).otherwise(F.translate(text, upper, low))
+    kept = df.select(F.explode_outer(F.when(condition, F.array(F.struct(value.alias("v"))))).alias("_kept"))
+    return kept.filter("_kept IS NOT NULL").select(F.col("_kept.v").alias(name))
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

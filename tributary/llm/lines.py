@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import BLANK_RUN, BLANKS, pack, stage
+from tributary.llm.common import BLANK_RUN, BLANKS, only_where, pack, stage
 
 WIDTH = 5
 BUCKETS = 1 << 16
@@ -196,7 +196,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.array_except("full", F.coalesce("kept", F.array().cast("array<int>"))).alias("gone"),
     )
     rest = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size("l") - 1), F.col("gone")), lambda i: F.get("l", i)), "\n")
-    done = cut.filter("t IS NULL OR n = 0 OR size(gone) < n").select(
-        "row", F.when(F.size("l").isNull() | (F.size("gone") == 0), F.col("t")).otherwise(rest).alias("new")
-    )
+    stays = F.col("t").isNull() | (F.col("n") == 0) | (F.size("gone") < F.col("n"))
+    new = F.when(F.size("gone") == 0, F.col("t")).otherwise(rest)
+    done = only_where(cut, stays, F.struct("row", new.alias("new")), "x").select("x.row", "x.new")
     return done.select(*[F.col("new").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in names])

@@ -19,7 +19,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import pack, stage, text_or_empty, words
+from tributary.llm.common import only_where, pack, stage, text_or_empty, words
 
 MIN_WORDS = 50
 SYMBOLS = r"[#*$%&|<>]+"
@@ -190,4 +190,4 @@ def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with a passing verdict, all columns as they were."""
     model = fit_on(measure(docs.select(F.col(text).alias("text"))))
     judged = judge(measure(pack(docs, text=F.col(text))), model)
-    return judged.filter("kept").select("row.*")
+    return only_where(judged, F.col("kept"), F.col("row"), "row").select("row.*")
