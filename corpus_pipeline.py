@@ -8,6 +8,7 @@ of the documents. A document whose text changed keeps its other columns; ``n_cha
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tributary.llm import bpe, lines, mixing, near, quality
 from tributary.llm.common import stage
@@ -22,7 +23,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that repeat an earlier line; documents left without a word go."""
-    return lines.without_repeats(docs)
+    left = lines.without_repeats(docs)
+    if "n_chars" not in docs.columns:
+        return left
+    return left.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
