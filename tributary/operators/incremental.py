@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Names a record may give its modification time under, in order.
-MODIFIED_FIELDS = ("dateModified", "date_modified", "updatedAt", "updated_at")
+MODIFIED_FIELDS = ("dateModified", "date_modified", "updated_at", "modified_at")
 
 
 def since(df: DataFrame, column: str, last) -> DataFrame:

@@ -33,10 +33,20 @@ def add_lineage(df: DataFrame, pipeline_id: str, source: str, as_of: Column, tra
     return df.withColumns(added)
 
 
+def _exact_hash(df: DataFrame) -> Column:
+    """md5 of the business columns, each with its length before it, so that nulls and separators cannot shift values."""
+    names = [c for c in df.columns if not c.startswith("_")]
+    if not names:
+        return F.md5(F.lit(""))
+    values = [F.col(f"`{c}`").cast("string") for c in names]
+    marked = [F.coalesce(F.concat(F.length(v), F.lit(":"), v), F.lit("-")) for v in values]
+    return F.md5(F.concat_ws("|", *marked))
+
+
 def hash_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Keys added, removed or changed between two versions with unique keys."""
-    a = old.select(*keys, row_hash(old).alias("_old"))
-    b = new.select(*keys, row_hash(new).alias("_new"))
+    a = old.select(*keys, _exact_hash(old).alias("_old"))
+    b = new.select(*keys, _exact_hash(new).alias("_new"))
     state = (
         F.when(F.col("_old").isNull(), F.lit("added"))
         .when(F.col("_new").isNull(), F.lit("removed"))

@@ -12,14 +12,25 @@ from pyspark.sql import functions as F
 from tributary.operators.windows import top_per_key
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def _without_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Target rows whose key does not occur in ``source``; null keys are equal to each other."""
+    gone = source.select(*[F.col(f"`{k}`").alias(f"_gone_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"`_gone_{k}`"))
+    return target.join(gone, same, "left_anti")
+
+
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """Source rows replace target rows with the same key; others are added.
 
-    ``source`` must hold one row per key. Columns new to the source are added
-    to the table with nulls for old rows.
+    Of several source rows with one key the first by ``order`` counts, and without an order the one with the
+    smallest row hash. Null keys are equal to each other. Columns new to the source are added to the table with
+    nulls for old rows.
     """
-    kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
+    hashable = [f"`{f.name}`" for f in source.schema.fields if not f.dataType.simpleString().startswith("map")]
+    single = top_per_key(source, keys, [*(order or []), F.xxhash64(*hashable)])
+    return _without_keys(target, source, keys).unionByName(single, allowMissingColumns=True)
 
 
 def replace_range(target: DataFrame, source: DataFrame, column: str, low, high) -> DataFrame:
@@ -30,7 +41,7 @@ def replace_range(target: DataFrame, source: DataFrame, column: str, low, high)
 
 def replace_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Delete every row whose key occurs in the source, then insert all source rows."""
-    return target.join(source.select(*keys).distinct(), keys, "left_anti").unionByName(source)
+    return _without_keys(target, source, keys).unionByName(source)
 
 
 def merge_into(spark: SparkSession, table: str, source: DataFrame, keys: list[str]) -> None:

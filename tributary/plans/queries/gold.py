@@ -661,7 +661,7 @@ def overlap_slice(spark, sf):
 def latest_modified(spark, sf):
     e = table(spark, sf, "events").select(
         F.when(F.col("event_type") == "view", F.col("event_id")).alias("dateModified"),
-        F.col("user_id").alias("updated_at"),
+        F.col("user_id").alias("modified_at"),
     )
     return incremental.next_watermark(e, list(incremental.MODIFIED_FIELDS))
 

@@ -6,6 +6,7 @@ that is replayed after a failure overwrites itself instead of adding twice.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,12 +107,17 @@ def stream_upsert(
         if newest.isEmpty():
             return
         try:
-            old = spark.read.schema(newest.schema).parquet(target).filter(_touched(newest, by))
-            merged = materialize(upsert_latest(old, newest, keys, order_col), path=f"{staging}/merged")
-        except Exception as missing:  # the table does not exist before the first batch
-            if "PATH_NOT_FOUND" not in str(missing):
+            table = spark.read.option("mergeSchema", "true").parquet(target)
+        except AnalysisException as missing:  # the table does not exist before the first batch
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
-            merged = newest
+            table = None
+        merged = newest
+        if table is not None:
+            # Columns that the batch lacks stay; those it has are read with its types (a partition's are inferred).
+            kinds = dict(newest.dtypes)
+            old = table.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in table.columns])
+            merged = materialize(upsert_latest(old.filter(_touched(newest, by)), newest, keys, order_col), path=f"{staging}/merged")
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(target)
 
     writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
