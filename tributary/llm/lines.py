@@ -8,8 +8,8 @@ of similarity t must share one of the first |x| - ceil(t |x|) + 1 (prefix filter
 candidates if their sizes (length filter) and the places of the shared shingle (positional filter) still allow t;
 candidates are verified on the shingles of their whole lines.
 
-Rarity. Shingles are counted in ``BUCKETS`` buckets over the whole corpus and ordered by the magnitude of their
-bucket's count, then by hash. Any fixed order gives the exact join; this one keeps the shingles of frequent passages
+Rarity. All places of shingles in the corpus are counted in ``BUCKETS`` buckets; shingles are ordered by the
+magnitude of their bucket's count, then by hash. Any fixed order gives the exact join; this one keeps the shingles of frequent passages
 out of the prefixes. The table of magnitudes has BUCKETS entries whatever the size of the corpus.
 
 A shingle that very many classes share. Only the existence of an earlier match counts, so each class is first
@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import BLANK_RUN, BLANKS, only_where, pack, stage
+from tributary.llm.common import BLANKS, only_where, pack, stage
 
 WIDTH = 5
 BUCKETS = 1 << 16
@@ -38,34 +38,39 @@ NEAR = 8
 PLACE = ["doc", "th", "line"]
 
 
+def _words(line: Column) -> Column:
+    """Hashes of a line's words. All blanks become spaces first: splitting at one character needs no pattern matching."""
+    for blank in BLANKS.replace(" ", "").replace("\n", ""):
+        line = F.replace(line, F.lit(blank), F.lit(" "))
+    return F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w))
+
+
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc, th, line, w``: one row per line with a word; ``w`` are its words."""
+    """``doc, th, line, h``: one row per line with a word; ``h`` are the hashes of its words."""
     own = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("th"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("t"))
     each = own.select("doc", "th", F.posexplode(F.split("t", "\n", -1)).alias("line", "l"))
-    trimmed = each.select("doc", "th", "line", F.btrim("l", F.lit(BLANKS)).alias("l")).filter("l <> ''")
-    return trimmed.select("doc", "th", "line", F.split("l", BLANK_RUN).alias("w"))
+    filled = each.filter(F.btrim("l", F.lit(BLANKS)) != "")
+    return filled.select("doc", "th", "line", _words(F.col("l")).alias("h"))
+
+
+#: The shingle that starts at word i, whose hash is x; words past the end of a short line are null and left out.
+GRAM = "xxhash64(" + ", ".join(["x", *[f"get(h, i + {j})" for j in range(1, WIDTH)]]) + ")"
+STARTS = f"greatest(size(h) - {WIDTH - 1}, 1)"
 
 
 def _shingles(lines: DataFrame, keep: list[str]) -> DataFrame:
-    """Replace ``w`` by ``g``, the distinct shingle hashes. ``w`` is used several times, so Spark computes it once."""
-    grams = (
-        f"transform(slice(w, 1, size(w) - {WIDTH - 1}), (x, i) -> xxhash64("
-        + ", ".join(["x", *[f"w[i + {j}]" for j in range(1, WIDTH)]])
-        + "))"
-    )
-    return lines.select(
-        *keep,
-        F.expr(f"CASE WHEN size(w) < {WIDTH} THEN array(xxhash64(array_join(w, ' '), {WIDTH})) ELSE array_distinct({grams}) END").alias("g"),
-    )
+    """Replace ``h`` by ``g``, the distinct shingle hashes. ``h`` is used several times, so Spark computes it once."""
+    return lines.select(*keep, F.expr(f"array_distinct(transform(slice(h, 1, {STARTS}), (x, i) -> {GRAM}))").alias("g"))
 
 
-def _magnitudes(lines: DataFrame) -> Column:
-    """A constant array: per bucket the number of binary digits of its count, 0 if it is empty."""
-    # explode_outer: for explode Spark would add a filter that computes the shingles a second time.
-    counted = _shingles(lines, []).select(F.explode_outer("g").alias("h")).groupBy(F.pmod("h", F.lit(BUCKETS)).cast("int").alias("k")).count()
+def _ranks(lines: DataFrame) -> Column:
+    """A constant array: per bucket the number of binary digits of its count, moved to the top six bits; 0 if it is empty."""
+    # posexplode_outer: for posexplode Spark would add a filter that computes the words a second time.
+    each = lines.select("h", F.posexplode_outer("h").alias("i", "x")).filter(f"i < {STARTS}")
+    counted = each.select((F.expr(GRAM).bitwiseAND(BUCKETS - 1)).cast("int").alias("k")).groupBy("k").count()
     digits = dict(map(tuple, counted.select("k", F.length(F.bin("count"))).collect()))
     # One constant text that the optimizer turns into an array; BUCKETS separate constants would take seconds.
-    return F.split(F.lit(",".join(str(digits.get(k, 0)) for k in range(BUCKETS))), ",").cast("array<int>")
+    return F.split(F.lit(",".join(str(digits.get(k, 0) << 57) for k in range(BUCKETS))), ",").cast("array<bigint>")
 
 
 def _prefix_size(n: str) -> str:
@@ -81,31 +86,24 @@ def _possible(na: str, nb: str, pa: str, pb: str) -> str:
 def classes_and_postings(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Line classes (``c``, ``first``, ``n``) and the places of shared prefix shingles (``key, c, first, n, at, nth, many``)."""
     lines = _lines(docs, doc_id, text)
-    order = _magnitudes(lines)
+    order = _ranks(lines)
     grams = _shingles(lines, PLACE)
-    # The magnitude goes to the top six bits, so that sorting numbers sorts by rarity.
     ranked = grams.select(
         *PLACE,
         F.xxhash64("g").alias("c"),
         F.size("g").alias("n"),
         F.sort_array(
-            F.transform(
-                "g",
-                lambda h: F.coalesce(
-                    F.shiftleft(F.element_at(order, F.pmod(h, F.lit(BUCKETS)).cast("int") + 1).cast("long"), 57).bitwiseOR(
-                        F.shiftrightunsigned(h, 7)
-                    ),
-                    F.lit(0).cast("long"),
-                ),
-            )
+            F.transform("g", lambda h: F.get(order, h.bitwiseAND(BUCKETS - 1).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 7)))
         ).alias("r"),
     )
     cut = ranked.select(F.struct(*PLACE).alias("first"), "c", "n", F.expr(f"slice(r, 1, {_prefix_size('n')})").alias("p"))
     whole = stage(cut.groupBy("c", "n").agg(F.min("first").alias("first"), F.first("p").alias("p")), "line-classes")
     rows = whole.select("c", "first", "n", F.posexplode("p").alias("at", "key"))
     by_key = Window.partitionBy("key")
-    counted = rows.withColumn("many", F.count(F.lit(1)).over(by_key)).withColumn("nth", F.row_number().over(by_key.orderBy("first", "c")))
-    return whole.select("c", "first", "n"), stage(counted.filter("many > 1"), "line-postings")
+    # Most shingles belong to one class: they go before the order within a shingle is sought.
+    shared = rows.withColumn("many", F.count(F.lit(1)).over(by_key)).filter("many > 1")
+    numbered = shared.withColumn("nth", F.row_number().over(by_key.orderBy("first", "c")))
+    return whole.select("c", "first", "n"), stage(numbered, "line-postings")
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -150,7 +148,7 @@ def _tokens_of(docs: DataFrame, places: DataFrame, doc_id: str, text: str) -> Da
     split = found.select("at", F.split(F.lower("t"), "\n", -1).alias("l"))
     # ``l`` is used twice, so it is split once.
     each = split.select(F.size("l"), F.explode_outer(F.transform("at", lambda p: F.struct(p["c"].alias("c"), F.get("l", p["line"]).alias("l")))).alias("x"))
-    lines = each.select("x.c", F.split(F.btrim("x.l", F.lit(BLANKS)), BLANK_RUN).alias("w"))
+    lines = each.select("x.c", _words(F.col("x.l")).alias("h"))
     return _shingles(lines, ["c"]).groupBy("c").agg(F.first("g").alias("g"))
 
 
