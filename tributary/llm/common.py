@@ -36,6 +36,22 @@ def only_where(df: DataFrame, condition: Column, value: Column, name: str) -> Da
     return kept.filter("_kept IS NOT NULL").select(F.col("_kept.v").alias(name))
 
 
+#: Spark's setting that drops a query's shuffle files when the query has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and read back; survives lost executors and cuts the lineage."""
-    return materialize(df, label)
+    """Write once to the shared folder and read back; survives lost executors and cuts the lineage.
+
+    Later steps read the copy, so the shuffle files of the write are dropped with it instead of at some later time.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return materialize(df, label)
+    finally:
+        if before is None:
+            conf.unset(SHUFFLE_CLEANUP)
+        else:
+            conf.set(SHUFFLE_CLEANUP, before)

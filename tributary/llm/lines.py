@@ -84,26 +84,26 @@ def _possible(na: str, nb: str, pa: str, pb: str) -> str:
 
 
 def classes_and_postings(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Line classes (``c``, ``first``, ``n``) and the places of shared prefix shingles (``key, c, first, n, at, nth, many``)."""
+    """Line classes ``c``, named by their first lines, and the places of shared prefix shingles (``key, c, n, at, nth, many``)."""
     lines = _lines(docs, doc_id, text)
     order = _ranks(lines)
     grams = _shingles(lines, PLACE)
     ranked = grams.select(
         *PLACE,
-        F.xxhash64("g").alias("c"),
+        F.xxhash64("g").alias("set"),
         F.size("g").alias("n"),
         F.sort_array(
             F.transform("g", lambda h: F.get(order, h.bitwiseAND(BUCKETS - 1).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 7)))
         ).alias("r"),
     )
-    cut = ranked.select(F.struct(*PLACE).alias("first"), "c", "n", F.expr(f"slice(r, 1, {_prefix_size('n')})").alias("p"))
-    whole = stage(cut.groupBy("c", "n").agg(F.min("first").alias("first"), F.first("p").alias("p")), "line-classes")
-    rows = whole.select("c", "first", "n", F.posexplode("p").alias("at", "key"))
+    cut = ranked.select(F.struct(*PLACE).alias("c"), "set", "n", F.expr(f"slice(r, 1, {_prefix_size('n')})").alias("p"))
+    whole = stage(cut.groupBy("set", "n").agg(F.min("c").alias("c"), F.first("p").alias("p")).drop("set"), "line-classes")
+    rows = whole.select("c", "n", F.posexplode("p").alias("at", "key"))
     by_key = Window.partitionBy("key")
     # Most shingles belong to one class: they go before the order within a shingle is sought.
     shared = rows.withColumn("many", F.count(F.lit(1)).over(by_key)).filter("many > 1")
-    numbered = shared.withColumn("nth", F.row_number().over(by_key.orderBy("first", "c")))
-    return whole.select("c", "first", "n"), stage(numbered, "line-postings")
+    numbered = shared.withColumn("nth", F.row_number().over(by_key.orderBy("c")))
+    return whole.select("c"), stage(numbered, "line-postings")
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def removed_classes(docs: DataFrame, postings: DataFrame, doc_id: str, text: str
 
     rest = postings.filter(f"many > {NEAR + 1}").select("c").distinct()
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).union(rest).distinct()
-    places = postings.select("c", "first").distinct().join(wanted, "c").select("c", "first.*")
+    places = wanted.select("c", "c.*")
     tokens = stage(_tokens_of(docs, places, doc_id, text), "line-tokens")
 
     matched = stage(_verified(pairs, tokens).select("a").distinct(), "line-matched")
@@ -156,7 +156,7 @@ def kept_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """``doc, th, kept``: per document that keeps any, the numbers of its lines that stay (those with a word)."""
     classes, postings = classes_and_postings(docs, doc_id, text)
     gone = stage(removed_classes(docs, postings, doc_id, text), "line-removed")
-    stay = classes.join(gone, F.col("c") == F.col("a"), "left_anti").select("first.*")
+    stay = classes.join(gone, F.col("c") == F.col("a"), "left_anti").select("c.*")
     return stay.groupBy("doc", "th").agg(F.collect_list("line").alias("kept"))
 
 
