@@ -166,6 +166,32 @@ def test_inference(spark):
     assert typed.filter("b is null").count() == 1 and dict(typed.dtypes)["dec"] == "decimal(18,2)"
 
 
+def test_inference_loses_no_value(spark):
+    texts = {
+        "millis": "2024-01-01 10:00:00.123", "zone": "2024-01-01T10:00:00Z", "power": "1e3", "word": " yes ",
+        "day": " 2024-01-02 ", "wide": "99999999999999999999", "fine": "1.2345", "long": "12345678901234567.25",
+        "huge": "9" * 39,
+    }
+    df = spark.createDataFrame([tuple(texts.values())] * 10, ", ".join(f"{c} string" for c in texts))
+    plan = typing.infer_types(df)
+    assert plan == {
+        "power": "double", "word": "boolean", "day": "date", "wide": "decimal(20,0)", "fine": "decimal(18,4)",
+        "long": "decimal(19,2)",
+    }
+    row = typing.apply_types(df, plan).first()
+    assert row.millis == texts["millis"] and row.zone == texts["zone"] and row.huge == texts["huge"]
+    assert row.power == 1000.0 and row.word is True and row.day == date(2024, 1, 2)
+    assert row.wide == Decimal(texts["wide"]) and row.fine == Decimal("1.2345") and row.long == Decimal(texts["long"])
+    assert typing.misfits(df, plan, []).count() == 0
+
+
+def test_misfits_are_issue_rows(spark):
+    df = spark.createDataFrame([(i, "x" if i == 3 else str(i), None) for i in range(20)], "id int, n string, e string")
+    plan = typing.infer_types(df)
+    assert [tuple(r) for r in typing.misfits(df, plan, ["id"]).collect()] == [(3, "n", "x", "int")]
+    assert typing.misfits(df, {}, ["id"]).count() == 0
+
+
 def test_extract_profile(spark):
     df = spark.createDataFrame(
         [("1", "a", 1700000000, 1, 1), ("2", "nan", 1700000001, 0, 5), ("", "", 1700000002, None, 2)],

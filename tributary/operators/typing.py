@@ -30,7 +30,7 @@ def inference_profile(df: DataFrame, exclude: tuple[str, ...] = (), ints_as_bool
         return df.sparkSession.createDataFrame(
             [],
             "column string, filled bigint, boolean double, date double, timestamp double, number double, "
-            "any_decimal boolean, max_abs double",
+            "any_decimal boolean, any_exponent boolean, max_abs double, whole_digits int, scale int",
         )
     words = [w for w in parse.TRUE_WORDS + parse.FALSE_WORDS if ints_as_bool or w not in ("0", "1")]
     tall = df.select(*[F.col(f"`{n}`") for n in names]).unpivot([], names, "column", "value")
@@ -39,8 +39,7 @@ def inference_profile(df: DataFrame, exclude: tuple[str, ...] = (), ints_as_bool
         "column",
         "value",
         F.lower(value).isin(words).alias("boolean"),
-        (value.rlike(parse.DATE_SHAPE) & parse.date_text(value).isNotNull()).alias("date"),
-        value.rlike(parse.TIMESTAMP_SHAPE).alias("timestamp"),
+        *[_to_inferred(F.col("value"), t).isNotNull().alias(t) for t in ("date", "timestamp")],
         parse.number_text(value).alias("number"),
     )
 
@@ -48,20 +47,34 @@ def inference_profile(df: DataFrame, exclude: tuple[str, ...] = (), ints_as_bool
         return F.avg(F.when(F.col("value").isNotNull(), F.coalesce(test, F.lit(False)).cast("int")))
 
     number = F.col("number")
-    fraction = number.isNotNull() & (F.col("value").contains(".") | (number != F.floor(number)))
+    fraction = number.isNotNull() & F.col("value").contains(".")
+    part = F.when(number.isNotNull(), value)
+    whole = F.length(F.regexp_extract(part, r"^[+-]?(\d*)", 1))
+    behind = F.length(F.regexp_extract(part, r"\.(\d*)", 1))
     return tested.groupBy("column").agg(
         F.count("value").alias("filled"),
         *[share(F.col(t)).alias(t) for t in ("boolean", "date", "timestamp")],
         share(number.isNotNull()).alias("number"),
         F.bool_or(fraction).alias("any_decimal"),
+        F.bool_or(F.coalesce(F.lower(part).contains("e"), F.lit(False))).alias("any_exponent"),
         F.max(F.abs(number)).alias("max_abs"),
+        F.max(whole).alias("whole_digits"),
+        F.max(behind).alias("scale"),
     )
 
 
 def decided_type(threshold: float = 0.9) -> Column:
-    """Boolean, then date, then timestamp, then number; else text."""
+    """Boolean, then date, then timestamp, then number; else text.
+
+    A number type holds every digit that was seen: wide or finely divided values widen the decimal, exponents make
+    a double, and values of more than 38 digits stay text.
+    """
+    scale = F.when(F.col("any_decimal"), F.greatest(F.col("scale"), F.lit(2))).otherwise(F.lit(0))
+    digits = F.greatest(F.col("whole_digits") + scale, F.lit(18))
+    exact = F.when(digits > 38, F.lit("string")).otherwise(F.format_string("decimal(%d,%d)", digits, scale))
     number = (
-        F.when(F.col("any_decimal"), F.lit("decimal(18,2)"))
+        F.when(F.col("any_exponent"), F.lit("double"))
+        .when(F.col("any_decimal") | (F.col("whole_digits") > 18), exact)
         .when(F.col("max_abs") > MAX_INT, F.lit("bigint"))
         .otherwise(F.lit("int"))
     )
@@ -85,15 +98,17 @@ def infer_types(
 
 
 def _to_inferred(c: Column, target: str) -> Column:
+    """Decides and converts: a value fits a type exactly if this is not null. Blanks around it do not matter."""
+    value = F.trim(c)
     if target == "boolean":
-        return parse.bool_text(c)
+        return parse.bool_text(value)
     if target == "date":
-        return parse.date_text(c)
+        return parse.date_text(value)
     if target == "timestamp":
-        return parse.timestamp_text(c)
+        return parse.timestamp_text(value)
     if target == "string":
         return c
-    return F.when(F.trim(c).rlike(parse.NUMBER_SHAPE), F.trim(c).try_cast(target))
+    return F.when(value.rlike(parse.NUMBER_SHAPE), value.try_cast(target))
 
 
 def apply_types(df: DataFrame, plan: dict[str, str]) -> DataFrame:
@@ -107,6 +122,23 @@ def apply_types(df: DataFrame, plan: dict[str, str]) -> DataFrame:
     )
 
 
+def misfits(df: DataFrame, plan: dict[str, str], keys: list[str]) -> DataFrame:
+    """Issue rows (keys, column, value, type): the values that ``apply_types`` turns into nulls, with their texts."""
+    planned = [f.name for f in df.schema.fields if f.name in plan and isinstance(f.dataType, T.StringType)]
+    found = [
+        F.when(
+            F.col(f"`{n}`").isNotNull() & _to_inferred(F.col(f"`{n}`"), plan[n]).isNull(),
+            F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").alias("value"), F.lit(plan[n]).alias("type")),
+        )
+        for n in planned
+    ]
+    entry = "struct<column:string,value:string,type:string>"
+    issues = F.array_compact(F.array(*found)) if found else F.array().cast(f"array<{entry}>")
+    return df.select(*[F.col(f"`{k}`") for k in keys], F.explode(issues).alias("_issue")).select(
+        *[F.col(f"`{k}`") for k in keys], "_issue.column", "_issue.value", "_issue.type"
+    )
+
+
 def _epoch(c: Column, unit: str = "s", strict: bool = False) -> Column:
     seconds = clock.epoch_seconds(c, unit)
     value = clock.epoch_to_utc(c, unit)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,11 +24,17 @@ from tributary.operators import (
 )
 
 
-def to_silver(bronze: DataFrame, spec: SilverSpec, meter: lineage.StageMeter | None = None) -> DataFrame:
+def to_silver(
+    bronze: DataFrame,
+    spec: SilverSpec,
+    meter: lineage.StageMeter | None = None,
+    issues: Callable[[DataFrame], None] | None = None,
+) -> DataFrame:
     """Flatten, clean, normalize, convert types, resolve duplicates, handle gaps.
 
     Types are converted before dates are compared, so an epoch is never parsed
-    as text. Only type inference runs a job of its own.
+    as text. Only type inference runs a job of its own. ``issues`` is given
+    the values that did not fit their column's inferred type.
     """
 
     def watch(df: DataFrame, stage: str) -> DataFrame:
@@ -41,7 +48,10 @@ def to_silver(bronze: DataFrame, spec: SilverSpec, meter: lineage.StageMeter | N
         # Contacts are text whatever they look like: a phone number must not become a number.
         contacts = tuple(c for c, rule in spec.normalize.items() if rule["type"].startswith(("email", "phone")))
         fixed = tuple(spec.exclude) + contacts + tuple(spec.convert) + tuple(spec.keys)
-        df = typing.apply_types(df, typing.infer_types(df, exclude=fixed))
+        plan = typing.infer_types(df, exclude=fixed)
+        if issues:
+            issues(typing.misfits(df, plan, list(spec.keys)))
+        df = typing.apply_types(df, plan)
     df = watch(df, "types")
     df = watch(dedup.resolve_conflicts(df, list(spec.keys), spec.order_column), "resolve")
     df = gaps.handle_gaps(df, list(spec.critical), dict(spec.defaults), spec.reject_incomplete)

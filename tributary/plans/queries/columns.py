@@ -310,6 +310,44 @@ def infer_types(spark, sf):
     )
 
 
+@query(
+    "infer_misfits",
+    """
+    SELECT event_id, 'mixed' AS "column", 'N/A-' || event_id AS value, 'int' AS type FROM events WHERE event_id % 20 = 0
+    """,
+)
+def infer_misfits(spark, sf):
+    text = F.col("event_id").cast("string")
+    raw = table(spark, sf, "events").select(
+        "event_id", F.when(F.col("event_id") % 20 == 0, F.concat(F.lit("N/A-"), text)).otherwise(text).alias("mixed")
+    )
+    return typing.misfits(raw, typing.infer_types(raw), ["event_id"])
+
+
+@query(
+    "infer_wide_numbers",
+    """
+    SELECT event_id, (event_id + 1) || '99999999999999999999' AS wide, event_id || '.12345' AS fine,
+           CAST(event_id * 1000 AS DOUBLE) AS power, strftime(ts, '%Y-%m-%d') AS day,
+           strftime(ts, '%Y-%m-%d %H:%M:%S') || '.123' AS fraction
+    FROM events
+    """,
+)
+def infer_wide_numbers(spark, sf):
+    text = F.col("event_id").cast("string")
+    raw = table(spark, sf, "events").select(
+        "event_id",
+        F.concat(F.lit(" "), (F.col("event_id") + 1).cast("string"), F.lit("99999999999999999999 ")).alias("wide"),
+        F.concat(text, F.lit(".12345")).alias("fine"),
+        F.concat(text, F.lit("e3")).alias("power"),
+        F.concat(F.lit(" "), F.date_format("ts", "yyyy-MM-dd"), F.lit(" ")).alias("day"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(".123")).alias("fraction"),
+    )
+    typed = typing.apply_types(raw, typing.infer_types(raw))
+    exact = [F.col(c).cast("string").alias(c) for c in ("wide", "fine", "fraction")]
+    return typed.select("event_id", exact[0], exact[1], "power", F.date_format("day", "yyyy-MM-dd").alias("day"), exact[2])
+
+
 @query(
     "infer_document_types",
     r"""
