@@ -49,7 +49,8 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc, th, line, h``: one row per line with a word; ``h`` are the hashes of its words."""
     own = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("th"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("t"))
     each = own.select("doc", "th", F.posexplode(F.split("t", "\n", -1)).alias("line", "l"))
-    filled = each.filter(F.btrim("l", F.lit(BLANKS)) != "")
+    # Trimmed on the left only: that stops at the first word, while btrim walks the whole line.
+    filled = each.filter(F.ltrim("l", F.lit(BLANKS)) != "")
     return filled.select("doc", "th", "line", _words(F.col("l")).alias("h"))
 
 
@@ -88,13 +89,13 @@ def classes_and_postings(docs: DataFrame, doc_id: str, text: str) -> tuple[DataF
     lines = _lines(docs, doc_id, text)
     order = _ranks(lines)
     grams = _shingles(lines, PLACE)
+    # Every bucket of a shingle is in the table; coalesce tells Spark so, which then sorts plain longs.
+    digits = lambda h: F.coalesce(F.get(order, h.bitwiseAND(BUCKETS - 1).cast("int")), F.lit(0).cast("bigint"))
     ranked = grams.select(
         *PLACE,
         F.xxhash64("g").alias("set"),
         F.size("g").alias("n"),
-        F.sort_array(
-            F.transform("g", lambda h: F.get(order, h.bitwiseAND(BUCKETS - 1).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 7)))
-        ).alias("r"),
+        F.sort_array(F.transform("g", lambda h: digits(h).bitwiseOR(F.shiftrightunsigned(h, 7)))).alias("r"),
     )
     cut = ranked.select(F.struct(*PLACE).alias("c"), "set", "n", F.expr(f"slice(r, 1, {_prefix_size('n')})").alias("p"))
     whole = stage(cut.groupBy("set", "n").agg(F.min("c").alias("c"), F.first("p").alias("p")).drop("set"), "line-classes")
