@@ -345,3 +345,17 @@ def test_ops_flags_pickup(spark):
     got = {r.order_id: r for r in operations.ops_flags(orders, providers, "own", pickup=True).collect()}
     assert (got[1].provider, got[1].minutes_from_window, got[1].early_over_30, got[1].collected) == ("fast", -31, 1, 1)
     assert (got[2].provider, got[2].minutes_from_window, got[2].picked, got[2].collected) == ("own", None, 0, 0)
+
+
+def test_compact_keeps_partitions_and_unreadable_logs_fail(spark, tmp_path, rows):
+    from pyspark.errors import AnalysisException
+
+    source, target, broken = (str(tmp_path / n) for n in ("many", "few", "broken"))
+    df = spark.range(100).select(F.col("id"), (F.col("id") % 3).alias("day"))
+    df.repartition(8).write.partitionBy("day").parquet(source)
+    tables.compact(spark, source, target, by=["day"])
+    assert sorted(p.name for p in (tmp_path / "few").glob("day=*")) == ["day=0", "day=1", "day=2"]
+    assert rows(spark.read.parquet(target).select("id", "day")) == rows(df)
+    (tmp_path / "broken" / "log").mkdir(parents=True)
+    with pytest.raises(AnalysisException):
+        tables.snapshots(spark, broken)

@@ -276,3 +276,33 @@ def test_order_maps(spark):
 def test_formula_allow_list(spark):
     with pytest.raises(ValueError):
         mapping.calculate(spark.range(1), {"x": 'java_method("a", "b")'})
+
+
+def test_every_heavy_key_is_hot_whatever_their_number(spark):
+    """The least rows of a hot key follow from the table, so no number of heavy keys is cut off."""
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1000")
+        df = spark.range(24000).select((F.col("id") % 1200).alias("k"), "id")
+        least, most = skew.hot_share(df)
+        summary = df.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
+        assert skew.hot_keys(summary, ["k"], "rows", least, most).count() == 1200
+        out = skew.with_group_stats(df, ["k"], n=F.count(F.lit(1)))
+        assert out.count() == 24000 and out.filter("n <> 20").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
+def test_group_stats_of_an_empty_table(spark):
+    df = spark.range(0).select(F.col("id").alias("k"), "id")
+    assert skew.with_group_stats(df, ["k"], n=F.count(F.lit(1))).count() == 0
+
+
+def test_deep_structs_and_long_json_stay_whole(spark):
+    deep = "1 as v"
+    for _ in range(14):
+        deep = f"named_struct('s', struct({deep})) as v" if deep == "1 as v" else f"struct({deep}) as v"
+    flat = nested.flatten(spark.sql(f"select {deep}"))
+    assert len(flat.columns) == 1 and flat.dtypes[0][1] == "int"
+    long = spark.range(1).select(F.array(F.lit("x" * 70000)).alias("a"))
+    assert len(nested.complex_to_json(long).first().a) == 70004

@@ -92,6 +92,7 @@ def material_key(c: Column, width: int = 18) -> Column:
     return padded.substr(F.length(padded) - F.lit(width - 1), F.lit(width))
 
 
-def valid_json(c: Column, length: int = MAX_VARCHAR) -> Column:
-    """The JSON text itself when it parses, else null."""
-    return F.when(F.try_parse_json(c).isNotNull(), truncate(c, length))
+def valid_json(c: Column, length: int | None = None) -> Column:
+    """The whole JSON text when it parses, and fits ``length`` characters if that is given; else null, never a part."""
+    good = F.try_parse_json(c).isNotNull()
+    return F.when(good if length is None else good & (F.char_length(c) <= length), c)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.operators.skew import HOT_ROWS, with_group_stats
+from tributary.operators.skew import with_group_stats
 
 # Lower wins when two copies arrived at the same time.
 SOURCE_PRIORITY = {"webhook": 1, "polling": 2}
@@ -22,7 +22,7 @@ def _require(df: DataFrame, keys: list[str]) -> None:
         raise ValueError(f"key columns not found: {missing}")
 
 
-def mark_duplicates(df: DataFrame, keys: list[str], min_hot_rows: int = HOT_ROWS) -> DataFrame:
+def mark_duplicates(df: DataFrame, keys: list[str], min_hot_rows: int | None = None) -> DataFrame:
     """Add ``is_duplicate`` and ``duplicate_group_id``; null keys form one group.
 
     The group id is a hash of the key, so it needs no global order. See

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_DEPTH = 10
-
 
 def _free_name(wanted: str, taken: set[str]) -> str:
     if wanted not in taken:
@@ -18,13 +16,13 @@ def _free_name(wanted: str, taken: set[str]) -> str:
     return f"{wanted}_{n}"
 
 
-def _struct_leaves(df: DataFrame, max_depth: int, separator: str) -> list[tuple[Column, str, T.DataType]]:
+def _struct_leaves(df: DataFrame, max_depth: int | None, separator: str) -> list[tuple[Column, str, T.DataType]]:
     """Walk the schema once; every leaf gets a name no other column has."""
     taken = set(df.columns)
     leaves: list[tuple[Column, str, T.DataType]] = []
 
     def walk(value: Column, name: str, dtype: T.DataType, depth: int) -> None:
-        if isinstance(dtype, T.StructType) and depth < max_depth:
+        if isinstance(dtype, T.StructType) and (max_depth is None or depth < max_depth):
             for f in dtype.fields:
                 child = _free_name(f"{name}{separator}{f.name}", taken)
                 taken.add(child)
@@ -52,8 +50,8 @@ def explode_arrays(df: DataFrame) -> DataFrame:
     return df
 
 
-def flatten(df: DataFrame, max_depth: int = MAX_DEPTH, arrays: str = "keep", separator: str = "_") -> DataFrame:
-    """All structs become ``parent_child`` columns in a single projection.
+def flatten(df: DataFrame, max_depth: int | None = None, arrays: str = "keep", separator: str = "_") -> DataFrame:
+    """All structs become ``parent_child`` columns in a single projection, down to ``max_depth`` levels if it is given.
 
     ``arrays``: ``keep`` leaves arrays as they are, ``explode`` multiplies rows
     before flattening, ``json`` writes arrays and maps as JSON text.
@@ -175,11 +173,11 @@ def array_field_max(array: Column, field: str) -> Column:
     return F.array_max(F.transform(array, lambda e: e.getField(field)))
 
 
-def complex_to_json(df: DataFrame, limit: int = 65535) -> DataFrame:
-    """Every struct, array and map column as JSON text."""
+def complex_to_json(df: DataFrame) -> DataFrame:
+    """Every struct, array and map column as whole JSON text."""
     return df.select(
         *[
-            F.substring(F.to_json(F.col(f.name)), 1, limit).alias(f.name)
+            F.to_json(F.col(f"`{f.name}`")).alias(f.name)
             if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
             else F.col(f"`{f.name}`")
             for f in df.schema.fields

@@ -10,26 +10,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000
-HOT_KEYS = 1_000
+#: A key is hot when it holds more than one part in SHARES of an average shuffle partition.
+SHARES = 2
 
 
-def hot_keys(summary: DataFrame, keys: list[str], rows: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys, and over how many salts each is spread: one per ``min_rows`` rows.
+def hot_share(df: DataFrame) -> tuple[Column, int]:
+    """The least rows of a hot key, as a fraction of all rows of ``df``, and how many keys can reach it at most."""
+    parts = SHARES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return F.greatest(F.ceil(total / F.lit(parts)), F.lit(1)), parts
 
-    At most ``HOT_KEYS`` rows, so broadcasting it is safe.
 
-    Keys beyond that number are not lost: they only keep their natural
-    partition. The order names every column of the summary, so nothing of it is
-    pruned and Spark reuses the shuffle that computes it for the lookup.
+def hot_keys(summary: DataFrame, keys: list[str], rows: str, min_rows: Column | int, most: int | None = None) -> DataFrame:
+    """The keys with at least ``min_rows`` rows, and over how many salts each is spread: one per ``min_rows`` rows.
+
+    ``most`` is the number of keys that can reach ``min_rows`` (see ``hot_share``), so the limit drops none. It is
+    there for the plan: ordering by every column of the summary keeps all of them, and Spark reuses the shuffle that
+    computes the summary for the lookup.
     """
+    least = F.lit(min_rows) if isinstance(min_rows, int) else min_rows
     others = [c for c in summary.columns if c != rows]
-    return (
-        summary.filter(F.col(rows) >= min_rows)
-        .orderBy(F.col(rows).desc(), *others)
-        .limit(HOT_KEYS)
-        .select(*keys, F.ceil(F.col(rows) / F.lit(min_rows)).cast("int").alias("_salts"))
-    )
+    hot = summary.filter(F.col(rows) >= least)
+    if most is not None:
+        hot = hot.orderBy(F.col(rows).desc(), *others).limit(most)
+    return hot.select(*keys, F.ceil(F.col(rows) / least).cast("int").alias("_salts"))
 
 
 def salted_lookup(
@@ -38,7 +42,6 @@ def salted_lookup(
     keys: list[str],
     hot: DataFrame,
     rows: str,
-    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join ``big`` to a ``lookup`` with one row per key, spreading the hot keys.
 
@@ -60,7 +63,8 @@ def salted_lookup(
     mixed = F.xxhash64(*hashable, F.spark_partition_id())
     spread = F.when(F.col("_salts").isNotNull(), F.pmod(mixed, F.col("_salts"))).otherwise(F.lit(0))
     left = flag(big).withColumn("_salt", spread.cast("int")).drop("_salts")
-    busy = F.col("_salts").isNotNull() & (F.col(rows) >= min_rows)
+    # A key never has more salts than rows; naming ``rows`` keeps the lookup's shuffle equal to that of the hot keys.
+    busy = F.col("_salts").isNotNull() & (F.col(rows) >= F.col("_salts"))
     copies = F.when(busy, F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(F.array(F.lit(0)))
     kept = [c for c in lookup.columns if c not in keys and c != rows]
     right = (
@@ -74,7 +78,11 @@ def salted_lookup(
     return left.join(right, condition, "left").drop("_salt", "_rsalt", *[f"_r_{k}" for k in keys])
 
 
-def with_group_stats(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS, **stats: Column) -> DataFrame:
-    """Add group aggregates to every row without a window over the group."""
+def with_group_stats(df: DataFrame, keys: list[str], min_rows: int | None = None, **stats: Column) -> DataFrame:
+    """Add group aggregates to every row without a window over the group.
+
+    ``min_rows`` names the least rows of a hot key; by default it follows from the rows of ``df`` (``hot_share``).
+    """
     summary = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()], F.count(F.lit(1)).alias("_rows"))
-    return salted_lookup(df, summary, keys, hot_keys(summary, keys, "_rows", min_rows), "_rows", min_rows)
+    least, most = hot_share(df) if min_rows is None else (min_rows, None)
+    return salted_lookup(df, summary, keys, hot_keys(summary, keys, "_rows", least, most), "_rows")

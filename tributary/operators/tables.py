@@ -124,12 +124,14 @@ def _log(spark: SparkSession, path: str, version: int, data: int, at: Column, no
 
 
 def snapshots(spark: SparkSession, path: str) -> DataFrame | None:
-    """Versions, newest first; None before the first write."""
+    """Versions, newest first; None before the first write. Any other failure to read the log is an error."""
     from pyspark.errors import AnalysisException
 
     try:
         return spark.read.parquet(f"{path}/log").orderBy(F.col("version").desc())
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -154,15 +156,24 @@ def rollback(spark: SparkSession, path: str, version: int, at: Column) -> int:
     return newest + 1
 
 
-def compact(spark: SparkSession, source: str, target: str, target_bytes: int = 128 * 1024 * 1024) -> int:
-    """Rewrite many small files as few of about ``target_bytes``; returns the file count."""
+def compact(
+    spark: SparkSession, source: str, target: str, target_bytes: int = 128 * 1024 * 1024, by: list[str] | None = None
+) -> int:
+    """Rewrite many small files as few of about ``target_bytes``; returns the least number of files that takes.
+
+    ``by`` names the partition columns of a partitioned table, which the copy keeps; adaptive execution then splits
+    large partitions and joins small ones, so a hot partition is not written by one task.
+    """
     df = spark.read.parquet(source)
     sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
         "pathGlobFilter", "*.parquet"
     ).load(source)
     total = sizes.agg(F.sum("length")).first()[0] or 0
     files = max(1, -(-total // target_bytes))
-    df.repartition(files).write.mode("overwrite").parquet(target)
+    if by:
+        df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(target)
+    else:
+        df.repartition(files).write.mode("overwrite").parquet(target)
     return files
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.operators.skew import hot_keys, salted_lookup
+from tributary.operators.skew import hot_keys, hot_share, salted_lookup
 from tributary.session import materialize
 
 
@@ -57,4 +57,4 @@ def dense_group_id(df: DataFrame, keys: list[str], name: str = "duplicate_group_
     first = _numbered(sizes, keys, F.col("_rows")).select(
         *keys, "_rows", (F.col("_end") - F.col("_rows") + 1).cast("bigint").alias(name)
     )
-    return salted_lookup(df, first, keys, hot_keys(first, keys, "_rows"), "_rows")
+    return salted_lookup(df, first, keys, hot_keys(first, keys, "_rows", *hot_share(df)), "_rows")
