@@ -371,6 +371,34 @@ def test_near_copies_in_one_group(spark, monkeypatch):
     assert tuples(near.near_groups(df), "doc_id", "n_shingles", "component_id") == plain_components(rows)
 
 
+def test_near_star(spark):
+    """1,000 variants of one text, most of them similar to it alone."""
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(5000, " ".join(base))]
+    for k in range(1000):
+        words = list(base)
+        for j, at in enumerate(rng.choice(np.arange(4, 196, 8), 5, replace=False)):
+            words[at] = f"x{k}_{j}"
+        rows.append((k, " ".join(words)))
+    want = plain_components(rows)
+    assert len({c for _, _, c in want}) == 1
+    assert tuples(near.near_groups(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "n_shingles", "component_id") == want
+
+
+def test_near_in_crowded_regions(spark):
+    """Pairs whose copies share a long passage with 300 unrelated documents."""
+    passage = [f"p{i}" for i in range(150)]
+    rows = []
+    for k in range(300):
+        own = [f"d{k // 2 if k < 100 else k}_{i}" for i in range(90)]
+        if k < 100 and k % 2:
+            own[10], own[45], own[80] = f"y{k}", f"y{k}b", f"y{k}c"
+        rows.append((k, " ".join(own[:45] + passage + own[45:])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert tuples(near.near_groups(df), "doc_id", "n_shingles", "component_id") == plain_components(rows)
+
+
 # 10
 
 

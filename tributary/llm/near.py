@@ -13,10 +13,15 @@ confirmed links already is not looked at again. So a large group costs about as
 while components come out as if all its candidate pairs had been compared. Very large groups are cut into blocks of
 pairs and joined again by the links that the blocks find.
 
+Crowded regions. In a region of more than ``NEIGHBOURS`` + 1 sets not all pairs are neighbours. Where such a region
+still holds sets of different components, its sets go through an exact join: shingles ordered by rarity, prefix,
+length and positional filters as in ``lines``, and verification of all pairs from different components.
+
 Exact copies, and texts with equal sets, are one node throughout: copies of any number cost one row each.
 
 Recall: two sets of similarity s agree on the first two components of a tree with chance s * s, so at 0.75 a pair
-meets no tree of 16 with chance (1 - 0.5625) ** 16, below two in a million.
+meets no tree of 16 with chance (1 - 0.5625) ** 16, below two in a million. A pair that meets in a tree is a
+neighbour, is connected through others, or is found by the exact join.
 
 Defined cases: null and wordless texts have an empty set, are linked with nothing, and each is a component of its
 own; a text of fewer than five words is one shingle; repeated rows are copies; of rows with one doc_id and
@@ -44,6 +49,8 @@ NEIGHBOURS = 3
 #: Nodes of a group that are confirmed together, and left ends of a block of pairs of a larger group.
 GROUP = 512
 BLOCK = 128
+#: Buckets in which shingles are counted for the rarity order; any fixed order keeps the exact join exact.
+BUCKETS = 1 << 16
 
 _random = np.random.default_rng(977)
 TURN = _random.integers(1, 2**63, HASHES, dtype=np.uint64)
@@ -100,9 +107,9 @@ PAIR = "edge boolean, key long, deep long, a binary, na long, b binary, nb long"
 
 
 def _neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Candidate pairs from sorted rows (key, deep, node, n). First and last row of a partition go out with ``edge``,
-    so that the runs can be joined across partitions."""
-    held, first, last = None, None, None
+    """Candidate pairs from sorted rows (key, deep, node, n). The first and last rows of a partition, and the first row of
+    its last region, go out with ``edge``, so that the runs can be joined across partitions."""
+    held, first = None, None
 
     def out(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         small, large = np.minimum(a.n.to_numpy(), b.n.to_numpy()), np.maximum(a.n.to_numpy(), b.n.to_numpy())
@@ -117,8 +124,8 @@ def _neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         if not len(frame):
             continue
-        if first is None:
-            first = frame.iloc[:1]
+        if first is None or len(first) < NEIGHBOURS:
+            first = pd.concat([first, frame], ignore_index=True).iloc[:NEIGHBOURS]
         new = len(held) if held is not None else 0
         rows = pd.concat([held, frame], ignore_index=True) if new else frame.reset_index(drop=True)
         key = rows.key.to_numpy()
@@ -134,9 +141,8 @@ def _neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tail = rows.iloc[max(0, len(rows) - NEIGHBOURS) :]
         pivot = rows.iloc[[begin[-1]]] if begin[-1] < len(rows) - NEIGHBOURS else rows.iloc[:0]
         held = pd.concat([pivot, tail[tail.key == key[-1]]], ignore_index=True)
-        last = frame.iloc[-1:]
     if first is not None:
-        ends = pd.concat([first, last], ignore_index=True)
+        ends = pd.concat([first, held], ignore_index=True).drop_duplicates(["key", "node"])
         yield pd.DataFrame({"edge": True, "key": ends.key, "deep": ends.deep, "a": ends.node, "na": ends.n, "b": ends.node, "nb": ends.n})
 
 
@@ -148,11 +154,13 @@ def candidates(classes: DataFrame) -> DataFrame:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, "key", "deep", "node").sortWithinPartitions("key", "deep", "node")
     found = stage(ordered.mapInPandas(_neighbours, PAIR), "forest")
-    # Two rows per partition: the runs that go on in the next partition.
+    # A few rows per partition: the runs that go on in the next partition.
     ends = found.filter("edge").select("key", "deep", F.col("a").alias("node"), F.col("na").alias("n"))
     before = Window.partitionBy("key").orderBy("deep", "node")
-    seams = ends.select(
-        F.lag("node").over(before).alias("a"), F.lag("n").over(before).alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")
+    seen = F.struct("node", "n")
+    others = F.array(*[F.lag(seen, k).over(before) for k in range(1, NEIGHBOURS + 1)], F.first(seen).over(before))
+    seams = ends.withColumn("others", others).select("node", "n", F.explode(F.array_distinct("others")).alias("o")).select(
+        F.col("o.node").alias("a"), F.col("o.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")
     ).filter("a IS NOT NULL AND a <> b AND 4 * least(na, nb) >= 3 * greatest(na, nb)")
     every = found.filter("NOT edge").select("a", "b").union(seams.select("a", "b"))
     return every.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("trees")).filter("a <> b")
@@ -194,19 +202,24 @@ def _confirm(nodes: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"])
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, dense: bool = False) -> DataFrame:
     """The links ``a, b`` among candidate pairs that connect all that the pairs can connect.
 
+    A set may have any number of partners in ``dense`` pairs, so their blocks are bounded on both ends.
     ``texts`` has ``doc_id, text``; ``classes`` has ``node, rep`` with rep the doc_id of one text of the class.
     """
     groups = stage(components(pairs), "near-groups")
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
-    per = F.when(F.col("members") <= GROUP, F.lit(1)).otherwise(F.ceil(F.col("members") / BLOCK))
+    per = F.when(F.col("members") <= GROUP, F.lit(1)).otherwise(F.ceil(F.col("members") / (GROUP if dense else BLOCK)))
     total = groups.count()
     blocks = max(1, -(-total // (2 * GROUP)))
+    cell = [F.pmod(F.xxhash64("a"), "parts")]
+    if dense:
+        blocks = max(blocks, -(-pairs.count() * 4 // GROUP**2))
+        cell.append(F.pmod(F.xxhash64("b"), "parts"))
     member = groups.join(sizes, "label").select("node", "label", per.alias("parts"))
     placed = pairs.join(member, pairs.a == member.node).select(
-        "a", "b", "trees", F.pmod(F.xxhash64("label", F.pmod(F.xxhash64("a"), "parts")), F.lit(blocks)).cast("int").alias("block")
+        "a", "b", "trees", F.pmod(F.xxhash64("label", *cell), F.lit(blocks)).cast("int").alias("block")
     )
     placed = stage(placed, "near-blocks")
     wanted = placed.select("block", F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -217,6 +230,79 @@ def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFra
     return found.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(_confirm, LINK)
 
 
+def _open_sets(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``node, label`` of the sets in crowded regions that hold more than one component; the label is a hash."""
+    labels = found.select("node", F.xxhash64("label").alias("label"))
+    own = classes.select("node", "keys").join(labels, "node", "left").withColumn("label", F.coalesce("label", F.xxhash64("node")))
+    rows = own.select("node", "label", F.explode("keys").alias("key"))
+    regions = rows.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    left = regions.filter(f"many > {NEIGHBOURS + 1} AND lo <> hi").select("key")
+    return rows.join(left, "key", "left_semi").select("node", "label").distinct()
+
+
+def _sets_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+    """Row number and shingles of the rows (node, label, text) whose text is their node's."""
+    nodes = batch.column(0).to_pylist()
+    for first, data, offsets in text_chunks(batch.column(2)):
+        for i, s in enumerate(shingle_sets(data, offsets), first):
+            if len(s) and set_name(s) == nodes[i]:
+                yield i, s
+
+
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        for _, s in _sets_of(batch):
+            total += np.bincount((s & U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+    k = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(total[k], pa.int64())], names=["k", "n"])
+
+
+POSTING = "key long, node binary, label long, n int, at int"
+
+
+def _prefixes(counts: np.ndarray):
+    """Postings of the rarest |x| - ceil(0.75 |x|) + 1 shingles of each set, in one order for all sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, keys, sizes, ats = [], [], [], []
+            for i, s in _sets_of(batch):
+                cut = len(s) - -(-3 * len(s) // 4) + 1
+                # ``s`` is sorted, so a stable order by count is one by count, then hash.
+                keys.append(s[np.argsort(counts[(s & U(BUCKETS - 1)).astype(np.int64)], kind="stable")[:cut]].view(np.int64))
+                rows.append(np.full(cut, i))
+                sizes.append(np.full(cut, len(s), np.int32))
+                ats.append(np.arange(cut, dtype=np.int32))
+            if rows:
+                at = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys)), batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(ats))],
+                    names=["key", "node", "label", "n", "at"],
+                )
+
+    return run
+
+
+def crowded_pairs(opened: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``a, b, trees``: all pairs of ``opened`` (node, label) with different labels that may be similar, by prefix filter."""
+    wanted = opened.join(classes.select("node", "rep"), "node")
+    sets = stage(texts.join(wanted, texts.doc_id.eqNullSafe(wanted.rep)).select("node", "label", "text"), "near-open-texts")
+    counts = np.zeros(BUCKETS, np.int64)
+    for k, n in sets.mapInArrow(_bucket_counts, "k long, n long").groupBy("k").agg(F.sum("n")).collect():
+        counts[k] = n
+    postings = stage(sets.mapInArrow(_prefixes(counts), POSTING), "near-postings")
+    per = postings.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
+    live = stage(postings.join(per, "key", "left_semi"), "near-shared")
+    # Pairs inside the largest component of a shingle are never formed: one end is always of another.
+    main = live.groupBy("key", "label").count().groupBy("key").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
+    a = live.join(main, "key").filter("label <> main").select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("at").alias("pa"))
+    b = live.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("at").alias("pb"))
+    possible = "la <> lb AND 4 * least(na, nb) >= 3 * greatest(na, nb) AND 7 * least(na - pa, nb - pb) >= 3 * (na + nb)"
+    met = a.join(b, "key").filter(possible)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumn("trees", F.lit(1).cast("long"))
+
+
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, node, component_id`` for each row of ``docs``; node is null for an empty set."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -230,6 +316,12 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     pairs = stage(candidates(classes), "near-candidates")
     links = stage(confirmed(pairs, classes, texts), "near-links")
     found = components(links)
+    opened = stage(_open_sets(classes, found), "near-open")
+    if not opened.isEmpty():
+        far = stage(crowded_pairs(opened, classes, texts), "near-far")
+        more = stage(confirmed(far, classes, texts, dense=True), "near-far-links")
+        if not more.isEmpty():
+            found = components(links.union(more))
     # The smallest id of a component, by node; nodes without a link stand for themselves.
     own = classes.select("node", "rep").join(found, "node")
     least = own.groupBy("label").agg(F.min("rep").alias("component_id"))
