@@ -371,6 +371,18 @@ def test_near_copies_in_one_group(spark, monkeypatch):
     assert tuples(near.near_groups(df), "doc_id", "n_shingles", "component_id") == plain_components(rows)
 
 
+def test_keep_first_of_shared_ids(spark):
+    """Several null ids, and one id with two texts, of which one may be a near copy of another document."""
+    text = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    rows = [
+        (None, text("a")), (None, text("b")), (None, text("b")), (None, text("c") + " x"), (3, text("c")), (7, text("d")),
+        (7, text("e")), (7, text("c") + " y"), (9, text("e") + " z"), (None, None), (None, None),
+    ]
+    kept = [(r["doc_id"], r["text"]) for r in near.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    want = [(None, text("a")), (None, text("b")), (3, text("c")), (7, text("d")), (7, text("e")), (None, None), (None, None)]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+
+
 def test_near_star(spark):
     """1,000 variants of one text, most of them similar to it alone."""
     rng = np.random.default_rng(3)

@@ -56,7 +56,7 @@ _random = np.random.default_rng(977)
 TURN = _random.integers(1, 2**63, HASHES, dtype=np.uint64)
 FACTOR = _random.integers(1, 2**63, HASHES, dtype=np.uint64) | U(1)
 
-SIGNED = "doc_id long, n_shingles long, node binary, keys array<long>, orders array<long>"
+SIGNED = "doc_id long, th long, n_shingles long, node binary, keys array<long>, orders array<long>"
 
 
 def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -94,12 +94,13 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(first, len(sets)).cast(pa.int64()),
+                    batch.column(2).slice(first, len(sets)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_name(s) if len(s) else None for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(ends, pa.array(keys.ravel())).cast(lists),
                     pa.ListArray.from_arrays(ends, pa.array(orders.ravel())).cast(lists),
                 ],
-                names=["doc_id", "n_shingles", "node", "keys", "orders"],
+                names=["doc_id", "th", "n_shingles", "node", "keys", "orders"],
             )
 
 
@@ -206,7 +207,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, dense: boo
     """The links ``a, b`` among candidate pairs that connect all that the pairs can connect.
 
     A set may have any number of partners in ``dense`` pairs, so their blocks are bounded on both ends.
-    ``texts`` has ``doc_id, text``; ``classes`` has ``node, rep`` with rep the doc_id of one text of the class.
+    ``texts`` has ``doc_id, text, th``; ``classes`` has ``node, rep, th`` with the doc_id and hash of one text of the class.
     """
     groups = stage(components(pairs), "near-groups")
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
@@ -223,8 +224,8 @@ def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, dense: boo
     )
     placed = stage(placed, "near-blocks")
     wanted = placed.select("block", F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = wanted.join(classes.select("node", "rep"), "node")
-    found = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.rep)).select("block", "node", "text")
+    wanted = wanted.join(classes.select("node", "rep", "th"), "node")
+    found = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.rep) & (texts.th == wanted.th)).select("block", "node", "text")
     own = placed.select(F.col("block").alias("of_block"), F.col("a").alias("one"), F.col("b").alias("other"), "trees")
     own = own.toDF("block", "a", "b", "trees")
     return found.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(_confirm, LINK)
@@ -286,8 +287,8 @@ def _prefixes(counts: np.ndarray):
 
 def crowded_pairs(opened: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """``a, b, trees``: all pairs of ``opened`` (node, label) with different labels that may be similar, by prefix filter."""
-    wanted = opened.join(classes.select("node", "rep"), "node")
-    sets = stage(texts.join(wanted, texts.doc_id.eqNullSafe(wanted.rep)).select("node", "label", "text"), "near-open-texts")
+    wanted = opened.join(classes.select("node", "rep", "th"), "node")
+    sets = stage(texts.join(wanted, texts.doc_id.eqNullSafe(wanted.rep) & (texts.th == wanted.th)).select("node", "label", "text"), "near-open-texts")
     counts = np.zeros(BUCKETS, np.int64)
     for k, n in sets.mapInArrow(_bucket_counts, "k long, n long").groupBy("k").agg(F.sum("n")).collect():
         counts[k] = n
@@ -303,16 +304,15 @@ def crowded_pairs(opened: DataFrame, classes: DataFrame, texts: DataFrame) -> Da
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumn("trees", F.lit(1).cast("long"))
 
 
-def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, node, component_id`` for each row of ``docs``; node is null for an empty set."""
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def _grouped(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signed rows, their classes, and ``node, label`` of the classes that are linked."""
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("th"))
     signed = stage(texts.mapInArrow(_sign, SIGNED), "near-signatures")
-    classes = stage(
-        signed.filter("node IS NOT NULL").groupBy("node").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("orders").alias("orders")
-        ),
-        "near-classes",
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("of")
+    classes = signed.filter("node IS NOT NULL").groupBy("node").agg(
+        first, F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("orders").alias("orders")
     )
+    classes = stage(classes.select("node", F.col("of.doc_id").alias("rep"), F.col("of.th").alias("th"), "n", "keys", "orders"), "near-classes")
     pairs = stage(candidates(classes), "near-candidates")
     links = stage(confirmed(pairs, classes, texts), "near-links")
     found = components(links)
@@ -322,6 +322,12 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         more = stage(confirmed(far, classes, texts, dense=True), "near-far-links")
         if not more.isEmpty():
             found = components(links.union(more))
+    return signed, classes, found
+
+
+def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, node, component_id`` for each row of ``docs``; node is null for an empty set."""
+    signed, classes, found = _grouped(docs, doc_id, text)
     # The smallest id of a component, by node; nodes without a link stand for themselves.
     own = classes.select("node", "rep").join(found, "node")
     least = own.groupBy("label").agg(F.min("rep").alias("component_id"))
@@ -336,19 +342,20 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without those that share a component with a smaller doc_id, all columns as they were.
+    """One row of ``docs`` for each component, all columns as they were, and every row with an empty set.
 
-    Of rows that repeat the smallest doc_id of their component, one stays. Rows with an empty set stay.
+    The row that stays has the smallest doc_id of its component; a null doc_id comes after all others. If several
+    texts of the component have that id, one text class of them stays, and of its repeated rows one.
     """
-    groups = near_groups(docs, doc_id, text)
-    stays = groups.filter("node IS NULL OR doc_id <=> component_id")
-    one = stays.groupBy("doc_id").agg(F.max(F.col("node").isNull()).alias("empty"), F.max(F.col("node").isNotNull()).alias("full"))
-    names = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t"))
-    packed = packed.withColumn("wordless", ~F.coalesce(F.col("t"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    kept = packed.join(one, F.col("i").eqNullSafe(F.col("doc_id"))).filter(
-        (F.col("wordless") & F.col("empty")) | (~F.col("wordless") & F.col("full"))
-    )
-    again = Window.partitionBy("i", "wordless").orderBy(F.xxhash64("t"))
-    numbered = kept.withColumn("nth", F.when(F.col("wordless"), 1).otherwise(F.row_number().over(again)))
-    return numbered.filter("nth = 1").select("row.*")
+    signed, classes, found = _grouped(docs, doc_id, text)
+    labelled = classes.select("node", "rep").join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = labelled.groupBy("label").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "node")).alias("k"))
+    keepers = stage(least.select(F.col("k.rep").alias("rep"), F.col("k.node").alias("node")), "near-keepers")
+    # A class may have several texts with one id, which differ in blanks or case: the smallest hash stays.
+    stays = signed.select("doc_id", "th", "node").join(keepers, "node").filter("doc_id <=> rep")
+    stays = stays.groupBy("node").agg(F.first("doc_id").alias("d"), F.min("th").alias("h"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t"))
+    packed = packed.withColumn("wordless", ~F.coalesce(F.col("t"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).withColumn("th", F.xxhash64("t"))
+    kept = packed.filter("NOT wordless").join(stays, F.col("i").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")))
+    numbered = kept.withColumn("nth", F.row_number().over(Window.partitionBy("i", "node").orderBy("th")))
+    return packed.filter("wordless").select("row.*").union(numbered.filter("nth = 1").select("row.*"))
