@@ -62,6 +62,24 @@ def test_nearest_odd_vectors(spark):
     assert hashing.nearest(df.limit(0), lambda i: i % 50 == 0).count() == 0
 
 
+def test_nearest_of_repeated_rows(spark):
+    """Repeated rows change nothing; an id with several vectors takes one place."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(60)]
+    rows += [(0, [x + 0.001 * j for x in rows[0][1]]) for j in range(1, 9)] + [(i, rows[50][1]) for i in range(60, 64)]
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = {}
+    for q in (0, 50):
+        score = (x @ x[ids == q].T).max(axis=1)
+        best = {i: score[ids == i].max().round(12) for i in set(ids.tolist()) - {q}}
+        want[q] = sorted(best, key=lambda i: (-best[i], i))[:5]
+    for times in (1, 2, 6):
+        df = spark.createDataFrame(rows * times, "vec_id long, embedding array<double>")
+        got = tuples(hashing.nearest(df, lambda i: i % 50 == 0), "query_id", "rank", "vec_id")
+        assert got == sorted(((q, r, i) for q, w in want.items() for r, i in enumerate(w, 1)), key=repr)
+
+
 # 2
 
 

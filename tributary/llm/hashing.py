@@ -16,7 +16,7 @@ batches. Equal vectors are one entry with their k + 1 smallest ids, so copies of
 
 Defined cases: a vector that is null, zero, of another length than most, or with a null or non-finite component takes
 no part, neither as query nor as candidate; with fewer than k candidates a query returns all; a query with none and an
-empty table give no rows; repeated ids are separate rows and a query leaves out all rows of its own id.
+empty table give no rows; an id with several rows counts with its best score, and a query leaves out all rows of its own id.
 """
 
 from __future__ import annotations
@@ -135,9 +135,10 @@ def nearest(vectors: DataFrame, is_query, k: int = K, vec_id: str = "vec_id", em
     dims, total = (lengths[0][0], lengths[0][1]) if lengths else (0, 0)
     good = good.filter(F.size("v") == dims)
     entry = [F.xxhash64("v").alias("h"), F.xxhash64(F.lit(1), "v").alias("g")]
-    # Only the k + 1 smallest ids of equal vectors can be asked for; the limit is applied before the shuffle too.
+    # Repeated rows are one. Only the k + 1 smallest ids of equal vectors can be asked for.
     place = F.row_number().over(Window.partitionBy("h", "g").orderBy("vec_id"))
-    ranked = good.select(*entry, "vec_id", "v").withColumn("place", place).filter(F.col("place") <= k + 1)
+    single = good.select(*entry, "vec_id", "v").groupBy("h", "g", "vec_id").agg(F.first("v").alias("v"))
+    ranked = single.withColumn("place", place).filter(F.col("place") <= k + 1)
     classes = stage(ranked.groupBy("h", "g").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("v").alias("v")), "ann-classes")
 
     n = classes.count()
@@ -160,17 +161,23 @@ def nearest(vectors: DataFrame, is_query, k: int = K, vec_id: str = "vec_id", em
             ids = index_rows.ids.to_numpy()
             asked_v = np.stack(questions.q.to_numpy())
             for h, g, v, code in zip(questions.h, questions.g, asked_v, encode(model, asked_v)):
-                # One more than k, as the query's own class may be among them.
-                rows, score = index.nearest(code, v, k + 1)
+                # One id more than k, as the query's own may be among them; an id may have several vectors.
+                wanted = k + 1
+                rows, score = index.nearest(code, v, wanted)
+                while len({i for r in rows for i in ids[r]}) <= k and len(rows) < len(ids):
+                    wanted *= 2
+                    rows, score = index.nearest(code, v, wanted)
                 for r, s in zip(rows, score):
                     out += [(h, g, int(i), float(s)) for i in ids[r]]
         return pd.DataFrame(out, columns=["h", "g", "vec_id", "score"])
 
     found = dealt.groupBy("block").cogroup(everywhere.groupBy("block")).applyInPandas(answer, "h long, g long, vec_id long, score double")
     order = Window.partitionBy("h", "g").orderBy(F.desc("score"), "vec_id")
-    # k + 1 per distinct vector are enough: a query takes out rows of its own id.
-    top = stage(found.withColumn("p", F.row_number().over(order)).filter(F.col("p") <= k + 1).drop("p"), "ann-top")
+    # k + 1 ids per distinct vector are enough: a query takes out rows of its own id.
+    # An id with several vectors counts with its best score alone.
+    best = found.groupBy("h", "g", "vec_id").agg(F.max("score").alias("score"))
+    top = stage(best.withColumn("p", F.row_number().over(order)).filter(F.col("p") <= k + 1).drop("p"), "ann-top")
     joined = queries.withColumnRenamed("vec_id", "query_id").join(top, ["h", "g"]).filter("query_id <> vec_id")
     per = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = joined.select("query_id", "vec_id", "score").distinct().withColumn("rank", F.row_number().over(per))
+    ranked = joined.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(per))
     return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
