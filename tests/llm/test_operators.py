@@ -342,6 +342,19 @@ def test_license_rules(spark):
     assert len(licenses.rules()) > 200
 
 
+def test_license_rules_in_whole_texts(spark):
+    """Every keyword lets its rules in, line ends are blanks, and pieces do not cut a notice."""
+    rows = [
+        (1, "Released under MIT", "mit"), (2, "Distributed under GPL-3.0", "gpl"), (3, "available under a BSD thing", "bsd"),
+        (4, "You may not copy this", "proprietary"), (5, "do not\ndistribute", "proprietary"), (6, "Released under the\nMozilla Public License 2.0", "mpl"),
+        (7, "It is distributed\n  under the\n terms of\r\nthe Eclipse\nPublic\nLicense", "epl"), (8, "wunder bar", ""),
+    ]
+    for k, n in enumerate(range(970, 1010, 3)):
+        rows.append((100 + k, "z" * n + " published under the Mozilla Public License 2.0 " + "z" * 1500, "mpl"))
+    got = licenses.license_labels(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"))
+    assert {r["doc_id"]: r["labels"] for r in got.collect()} == {d: label for d, _, label in rows}
+
+
 # 9
 
 

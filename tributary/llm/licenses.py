@@ -1,8 +1,9 @@
 """License scans by ordered signature rules.
 
-A rule is a regular expression with a keyword, a label and a priority. Lines that hold a keyword of any rule are the
-only ones looked at (prefilter), and a rule meets only the lines with its own keyword, by an equality join with the
-table of rules, whose size is fixed. Overlapping detections of a line are resolved by priority: one that lies within
+A rule is a regular expression with a keyword, a label and a priority. Rules see the whole text with each run of blanks
+and line ends as one space, in pieces of ``PIECE`` characters with ``MARGIN`` more on both sides; a detection belongs to
+the piece that it starts in. A rule meets only the pieces with its own keyword, by an equality join with the table of
+rules, whose size is fixed. Overlapping detections are resolved by priority: one that lies within
 another of at least its priority is dropped, and of two with the same extent the one with the better rank stays.
 
 Base phrases are counted over the words of the whole text, across lines.
@@ -47,11 +48,16 @@ NAMES = (
     ("proprietary", r"(?:proprietary|commercial|closed[- ]source)"),
 )
 
-#: How a name is put, with the keyword that must be on the line, priority, and confidence.
+#: Characters of a piece, and of its margins; no detection of a rule with words between blanks is longer than a margin.
+PIECE = 1000
+MARGIN = 200
+
+#: How a name is put, with the keyword that any match holds, priority, and confidence.
 FORMS = (
     (r"SPDX-License-Identifier:\s*{}", "spdx", 90, 1.0),
     (r"licen[sc]ed under (?:the |a )?(?:terms of (?:the )?)?{}", "licen", 80, 0.95),
-    (r"(?:released|distributed|available|published|provided) under (?:the |a )?(?:terms of (?:the )?)?{}", "under", 75, 0.9),
+    (r"(?:released|distributed|published|provided) under (?:the |a )?(?:terms of (?:the )?)?{}", "d under", 75, 0.9),
+    (r"available under (?:the |a )?(?:terms of (?:the )?)?{}", "available under", 75, 0.9),
     (r"(?:under|with|by) (?:the |a )?{} licen[sc]e", "licen", 70, 0.9),
     (r"licen[sc]e\s*[:=]\s*[\"']?{}", "licen", 70, 0.9),
     (r"{} licen[sc]e\b", "licen", 50, 0.7),
@@ -131,35 +137,38 @@ def rule_table(spark: SparkSession) -> DataFrame:
 
 
 def detections(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, th, line, hits`` with hits an array of (label, start, end, priority, confidence, rank) that survive."""
+    """``doc_id, th, piece, hits`` with hits an array of (label, start, end, priority, confidence, rank) that survive."""
     spark = docs.sparkSession
     keywords = sorted({r[2] for r in rules()})
-    gate = r"(?i)licen[sc]|copyright|©|\(c\)|public domain|rights|permission|redistribut|reproduce|creative commons|\bcc\b|spdx|under the"
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("t")).filter(F.col("t").rlike(gate))
-    each = own.select("doc_id", "th", F.posexplode_outer(F.split("t", "\n", -1)).alias("line", "l")).filter(F.col("l").rlike(gate))
-    low = each.distinct().select("doc_id", "th", "line", "l", F.lower("l").alias("low"))
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("th"), F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ").alias("t"))
+    cut = own.select("doc_id", "th", F.regexp_extract_all("t", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias("c"))
+    around = f"transform(c, (x, i) -> concat(coalesce(right(get(c, i - 1), {MARGIN}), ''), x, coalesce(left(get(c, i + 1), {MARGIN}), '')))"
+    each = cut.select("doc_id", "th", F.posexplode(F.expr(around)).alias("piece", "l"))
+    low = each.select("*", F.lower("l").alias("low"))
     held = F.array_compact(F.array(*[F.when(F.col("low").contains(k), F.lit(k)) for k in keywords]))
-    keyed = low.select("doc_id", "th", "line", "l", F.explode_outer(held).alias("keyword"))
+    keyed = low.select("doc_id", "th", "piece", "l", F.explode_outer(held).alias("keyword"))
     met = keyed.join(F.broadcast(rule_table(spark)), "keyword").filter(F.expr("l RLIKE pattern"))
     spans = met.select(
-        "doc_id", "th", "line", "rank", "label", "priority", "confidence",
+        "doc_id", "th", "piece", "rank", "label", "priority", "confidence",
         F.expr("regexp_extract_all(l, pattern, 0)").alias("m"), F.expr("split(l, pattern, -1)").alias("s"),
     )
     lengths = "aggregate(slice({}, 1, {}), 0, (a, x) -> a + char_length(x))"
     starts = lengths.format("s", "i") + " + " + lengths.format("m", "i - 1")
     hits = spans.select(
-        "doc_id", "th", "line",
+        "doc_id", "th", "piece",
         F.explode(F.expr(
             f"transform(sequence(1, size(m)), i -> named_struct('label', label, 'start', {starts}, 'end', {starts}"
             " + char_length(m[i - 1]), 'priority', priority, 'confidence', confidence, 'rank', rank))"
         )).alias("hit"),
     )
-    per = hits.groupBy("doc_id", "th", "line").agg(F.collect_list("hit").alias("h"))
+    per = hits.groupBy("doc_id", "th", "piece").agg(F.collect_set("hit").alias("h"))
     survive = (
         "filter(h, x -> NOT exists(h, y -> y.rank <> x.rank AND y.start <= x.start AND y.end >= x.end AND (y.priority > x.priority"
         " OR (y.priority = x.priority AND (y.end - y.start > x.end - x.start OR y.rank < x.rank)))))"
     )
-    return per.select("doc_id", "th", "line", F.expr(survive).alias("hits"))
+    begin = f"if(piece = 0, 0, {MARGIN})"
+    inside = f"filter({survive}, x -> x.start >= {begin} AND x.start < {begin} + {PIECE})"
+    return per.select("doc_id", "th", "piece", F.expr(inside).alias("hits"))
 
 
 def license_labels(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
