@@ -3,7 +3,7 @@ from tributary.llm.queries import QUERIES
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
 def test_stages_chain(spark, docs):
