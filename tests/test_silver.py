@@ -159,24 +159,41 @@ def test_mark_duplicates_groups_null_keys(spark, rows):
 
 
 def test_hot_keys_are_spread_and_results_whole(spark):
-    """One key holds a third of all rows; its rows land in many tasks and none is lost."""
+    """One key holds a third of all rows; the summary names it, and no row of it is shuffled or lost."""
     df = spark.range(9000).select(F.when(F.col("id") < 3000, 0).otherwise(F.col("id")).alias("k"), "id")
-    out = skew.with_group_stats(df, ["k"], min_rows=1000, n=F.count(F.lit(1)), top=F.max("id"))
-    assert out.count() == 9000
-    assert out.filter("k = 0").select("n", "top").distinct().collect() == [(3000, 2999)]
-    assert out.filter("k <> 0 and (n <> 1 or top <> id)").count() == 0
-    summary = df.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
-    hot = skew.hot_keys(summary, ["k"], "rows", 1000)
-    assert [tuple(r) for r in hot.collect()] == [(0, 3)]
-
-
-def test_exact_copies_are_spread_over_salts(spark):
-    """Identical rows from several tasks reach several salts, and all come back."""
-    df = spark.range(0, 4000, 1, 8).select(F.lit("k").alias("k"), F.lit("same").alias("v"))
-    out = skew.with_group_stats(df, ["k"], min_rows=500, n=F.count(F.lit(1)))
-    assert out.count() == 4000 and out.select("n").distinct().collect() == [(4000,)]
-    salts = df.select(F.pmod(F.xxhash64("k", "v", F.spark_partition_id()), F.lit(8)).alias("s")).distinct().count()
-    assert salts > 1
+    staged, hot, total = skew.staged_with_hot(df, ["k"])
+    key = spark.range(1).select(F.xxhash64(F.lit(0).cast("bigint"))).first()[0]
+    assert total == 9000 == staged.count() and hot == [key]
+    for least in (None, 1000):
+        out = skew.with_group_stats(df, ["k"], least, n=F.count(F.lit(1)), top=F.max("id"))
+        assert out.count() == 9000
+        assert out.filter("k = 0").select("n", "top").distinct().collect() == [(3000, 2999)]
+        assert out.filter("k <> 0 and (n <> 1 or top <> id)").count() == 0
+
+
+def test_group_facts_evaluate_their_input_once(spark, capsys):
+    """The input is written once; what remains reads that copy, with one shuffle for the window and none for hot rows."""
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(v):
+        runs.add(1)
+        return v
+
+    df = spark.range(2000).select(F.when(F.col("id") < 1000, 0).otherwise(counted("id")).alias("k"), counted("id").alias("v"))
+    for build in (lambda: dedup.mark_duplicates(df, ["k"]), lambda: dense_group_id(df, ["k"])):
+        before = runs.value
+        out = build()
+        out.write.format("noop").mode("overwrite").save()
+        assert runs.value - before <= 2 * 2000
+    out = dedup.mark_duplicates(df, ["k"])
+    capsys.readouterr()
+    out.explain("simple")
+    plan = capsys.readouterr().out
+    # The window's shuffle, and the one of the aggregate over hot keys, whose rows are partial results.
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Window") == 1 and "BroadcastExchange" in plan
+    rows = [tuple(r) for r in out.select("k", "is_duplicate").distinct().collect()]
+    assert len(rows) == 1001 and sorted(rows)[0] == (0, True)
 
 
 def test_dense_group_id_and_surrogate_key(spark, rows):
@@ -279,14 +296,13 @@ def test_formula_allow_list(spark):
 
 
 def test_every_heavy_key_is_hot_whatever_their_number(spark):
-    """The least rows of a hot key follow from the table, so no number of heavy keys is cut off."""
+    """The list of candidates grows with the number of keys that can be heavy, so none is cut off."""
     parts = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "1000")
         df = spark.range(24000).select((F.col("id") % 1200).alias("k"), "id")
-        least, most = skew.hot_share(df)
-        summary = df.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
-        assert skew.hot_keys(summary, ["k"], "rows", least, most).count() == 1200
+        _, hot, _ = skew.staged_with_hot(df, ["k"])
+        assert len(set(hot)) == 1200
         out = skew.with_group_stats(df, ["k"], n=F.count(F.lit(1)))
         assert out.count() == 24000 and out.filter("n <> 20").count() == 0
     finally:

@@ -16,16 +16,6 @@ class Relation:
     kind: str = "one_to_many"
 
 
-@dataclass(frozen=True)
-class EntitySpec:
-    name: str
-    bronze_prefix: str
-    silver_table: str
-    primary_key: tuple[str, ...] = ("id",)
-    order_column: str | None = None
-    relations: tuple[Relation, ...] = ()
-
-
 @dataclass(frozen=True)
 class FieldMap:
     """``target`` comes from ``source`` by the named transformation."""
@@ -84,6 +74,8 @@ class RuleSet:
     formats: dict[str, str] = field(default_factory=dict)
     expressions: dict[str, str] = field(default_factory=dict)
     threshold: float = 0.8
+    #: Sets of columns whose values may occur once: primary keys, or an id within its client.
+    unique: tuple[tuple[str, ...], ...] = ()
 
 
 @dataclass(frozen=True)

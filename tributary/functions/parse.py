@@ -17,9 +17,7 @@ TIMESTAMP_FORMATS = [
     "dd/MM/yyyy HH:mm:ss",
     "MM/dd/yyyy HH:mm:ss",
 ]
-DATE_SHAPE = r"^(\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{4}/\d{2}/\d{2})$"
 NUMBER_SHAPE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-TIMESTAMP_SHAPE = r"^(\d{4}-\d{2}-\d{2}(\s+|T)|\d{2}/\d{2}/\d{4}\s+)\d{2}:\d{2}:\d{2}"
 
 
 def bool_text(c: Column) -> Column:

@@ -62,8 +62,8 @@ def phone_digits(c: Column) -> Column:
 
 def phone_international(c: Column, country_code: str = COUNTRY_CODE) -> Column:
     """``+<country><digits>``; a number that already starts with the code keeps it."""
-    prefixed = F.regexp_replace(phone_digits(c), f"^(?=.)({country_code})?", f"+{country_code}")
-    return blank_to_null(prefixed)
+    digits = blank_to_null(phone_digits(c))
+    return F.when(digits.startswith(country_code), F.concat(F.lit("+"), digits)).otherwise(F.concat(F.lit("+" + country_code), digits))
 
 
 def title_case(c: Column) -> Column:

@@ -10,9 +10,10 @@ from tributary.config import AggSpec, Metric
 from tributary.functions.money import ratio
 
 # Names of the aggregate columns.
-PREFIX = {"sum": "total_", "avg": "promedio_", "min": "min_", "max": "max_"}
+PREFIX = {"sum": "total_", "avg": "promedio_", "min": "min_", "max": "max_", "count_distinct": "distintos_"}
 ROW_COUNT = "num_registros"
-_FUNCTIONS = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max}
+DISTINCT = "count_distinct"
+_FUNCTIONS = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, DISTINCT: F.count_distinct}
 
 
 def time_dims(df: DataFrame, column: str) -> DataFrame:

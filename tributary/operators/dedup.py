@@ -22,14 +22,16 @@ def _require(df: DataFrame, keys: list[str]) -> None:
         raise ValueError(f"key columns not found: {missing}")
 
 
-def mark_duplicates(df: DataFrame, keys: list[str], min_hot_rows: int | None = None) -> DataFrame:
+def mark_duplicates(df: DataFrame, keys: list[str], min_hot_rows: int | None = None, stored: bool = False) -> DataFrame:
     """Add ``is_duplicate`` and ``duplicate_group_id``; null keys form one group.
 
+    ``stored`` says that ``df`` only reads stored columns, which then need no staging (``skew.with_group_stats``).
+
     The group id is a hash of the key, so it needs no global order. See
     ``windows.dense_group_id`` for consecutive numbers.
     """
     _require(df, keys)
-    counted = with_group_stats(df, keys, min_hot_rows, _copies=F.count(F.lit(1)))
+    counted = with_group_stats(df, keys, min_hot_rows, stored, _copies=F.count(F.lit(1)))
     return counted.select(
         *df.columns,
         (F.col("_copies") > 1).alias("is_duplicate"),

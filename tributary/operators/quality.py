@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tributary.config import RuleSet, TableSpec
 from tributary.functions import ddl, text
 from tributary.functions.money import ratio
+from tributary.operators.skew import with_group_stats
+from tributary.session import materialize
 
 # Issue marks, in the order they are written.
 MARKS = {
@@ -19,6 +21,7 @@ MARKS = {
     "consistency": "CONSISTENCY_FAIL;",
     "format": "FORMAT_FAIL;",
     "expression": "RULE_FAIL;",
+    "uniqueness": "UNIQUENESS_FAIL;",
 }
 # Ranges implied by a column's type or name.
 SMALLINT_RANGE = (0, 32767)
@@ -36,6 +39,25 @@ def _ok(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(True))
 
 
+def _unique_name(columns: tuple[str, ...]) -> str:
+    return "_repeated_" + "_".join(columns)
+
+
+def mark_sets(df: DataFrame, rules: RuleSet | None) -> DataFrame:
+    """Evaluate the rules over groups of rows: one ``_repeated_…`` flag per set of columns that must be unique.
+
+    Every row of an offending group is marked, the first one too. Keys with a null part are not compared, as in SQL;
+    whether they may be null is for the completeness rules. Hot keys are found while the rows are staged, and their
+    rows are not shuffled. Sets with columns that do not exist are left out.
+    """
+    for columns in rules.unique if rules else ():
+        if columns and set(columns) <= set(df.columns):
+            whole = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in columns])
+            counted = with_group_stats(df, list(columns), _copies=F.count(F.lit(1)))
+            df = counted.withColumn(_unique_name(columns), whole & (F.col("_copies") > 1)).drop("_copies")
+    return df
+
+
 def _single_rules(df: DataFrame, rules: RuleSet) -> list[tuple[str, str, str, Column]]:
     """(dimension, column, message, passes) for every rule whose columns exist."""
     have = set(df.columns)
@@ -64,11 +86,16 @@ def _single_rules(df: DataFrame, rules: RuleSet) -> list[tuple[str, str, str, Co
             out.append(("format", c, "wrong format", _ok(F.col(c).rlike(pattern))))
     for name, expression in rules.expressions.items():
         out.append(("expression", name, expression, _ok(F.expr(expression))))
+    for columns in rules.unique:
+        if _unique_name(columns) in have:
+            out.append(("uniqueness", ",".join(columns), "is repeated", ~F.col(_unique_name(columns))))
     return out
 
 
 def check(df: DataFrame, rules: RuleSet | None) -> DataFrame:
-    """Add ``_quality_valid`` and ``_quality_issues``; neither is ever null."""
+    """Add ``_quality_valid`` and ``_quality_issues``; neither is ever null. Rules over groups are marked first."""
+    names = df.columns
+    df = mark_sets(df, rules)
     single = _single_rules(df, rules) if rules else []
     passes: dict[str, Column] = {}
     for dimension, _, _, ok in single:
@@ -76,11 +103,12 @@ def check(df: DataFrame, rules: RuleSet | None) -> DataFrame:
     valid = reduce(lambda a, b: a & b, passes.values(), F.lit(True))
     marks = [F.when(~passes[d], F.lit(m)) for d, m in MARKS.items() if d in passes]
     issues = F.concat_ws("", *marks) if marks else F.lit("")
-    return df.withColumns({"_quality_valid": valid, "_quality_issues": issues})
+    return df.select(*[F.col(f"`{c}`") for c in names], valid.alias("_quality_valid"), issues.alias("_quality_issues"))
 
 
 def issue_rows(df: DataFrame, rules: RuleSet, table: str, record_id: str, at: Column) -> DataFrame:
-    """One row per failed rule and record."""
+    """One row per failed rule and record; a repeated key gives one for each of its records."""
+    df = mark_sets(df, rules)
     failed = [
         F.when(
             ~ok,
@@ -111,21 +139,40 @@ def score(df: DataFrame) -> DataFrame:
     ).withColumn("score", ratio(F.col("valid"), F.col("total")))
 
 
+class GateError(ValueError):
+    """Too few valid rows. ``evidence`` is the path of the staged rows, with their issues."""
+
+    def __init__(self, total: int, valid: int, threshold: float, evidence: str | None = None):
+        self.total, self.valid, self.threshold, self.evidence = total, valid, threshold, evidence
+        share = "no rows" if not total else f"{valid / total:.1%} valid, {threshold:.1%} wanted, {total - valid} of {total} rows failed"
+        super().__init__(f"quality gate: {share}" + (f"; rows kept at {evidence}" if evidence else ""))
+
+
+def audited(checked: DataFrame, threshold: float, path: str) -> DataFrame:
+    """Write checked rows to ``path`` and return them if enough are valid; raise ``GateError`` otherwise.
+
+    The shares are observed by the write itself, so the rows are evaluated once and the gate judges exactly those
+    that will be published. An empty input does not pass.
+    """
+    seen = Observation()
+    counts = (F.count(F.lit(1)).alias("total"), F.count_if(F.col("_quality_valid")).alias("valid"))
+    staged = materialize(checked.observe(seen, *counts), path=path)
+    total, valid = seen.get["total"] or 0, seen.get["valid"] or 0
+    if not total or valid / total < threshold:
+        raise GateError(total, valid, threshold, path)
+    return staged
+
+
 def gate(df: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Return ``df`` when enough rows are valid; raise otherwise. Empty input raises."""
     row = score(df).first()
-    if row["total"] == 0:
-        raise ValueError("quality gate: no rows")
-    if row["score"] < threshold:
-        raise ValueError(
-            f"quality gate: {row['score']:.1%} valid, {threshold:.1%} wanted, "
-            f"{row['total'] - row['valid']} of {row['total']} rows failed"
-        )
+    if not row["total"] or row["score"] < threshold:
+        raise GateError(row["total"], row["valid"], threshold)
     return df
 
 
 def rules_from_table(spec: TableSpec, base: RuleSet | None = None) -> RuleSet:
-    """Rules implied by column types, names and nullability; explicit rules win."""
+    """Rules implied by column types, names, nullability and primary key; explicit rules win."""
     base = base or RuleSet()
     ranges: dict[str, tuple[float | None, float | None]] = {}
     formats: dict[str, str] = {}
@@ -152,9 +199,15 @@ def rules_from_table(spec: TableSpec, base: RuleSet | None = None) -> RuleSet:
         formats=base.formats or formats,
         expressions=base.expressions,
         threshold=base.threshold,
+        unique=base.unique or ((spec.primary_key,) if spec.primary_key else ()),
     )
 
 
+def unique_per_client(ident: str, client: str = "client_id") -> tuple[str, ...]:
+    """The Silver rule that an id occurs once within its client, for ``RuleSet.unique``."""
+    return (client, ident)
+
+
 # Rules of each layer, as Spark expressions.
 SILVER_RULES = {
     "positive_total": "total_amount > 0",
@@ -173,8 +226,6 @@ def anomalies(df: DataFrame, column: str, by: list[str], z: float = 3.0) -> Data
     Means and deviations come from one small aggregate joined back, not from a
     window over the group.
     """
-    from tributary.operators.skew import with_group_stats
-
     with_stats = with_group_stats(df, by, _mean=F.avg(column), _dev=F.stddev_pop(column))
     distance = F.try_divide(F.col(column) - F.col("_mean"), F.col("_dev"))
     return with_stats.withColumn("z_score", distance).filter(F.abs("z_score") > z).drop("_mean", "_dev")

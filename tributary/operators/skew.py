@@ -1,88 +1,86 @@
 """Group facts and lookups that stay balanced when one key holds most rows.
 
-A window over a key sends the whole key to one task. These helpers aggregate
-first (map-side, so a hot key shrinks to one row per task) and join the small
-result back with the hot keys salted.
+A window over a key sends the whole key to one task. A mergeable frequent-items
+summary, taken while the input is staged, names the keys too large for that;
+their rows are aggregated first (map-side, so a hot key shrinks to one row per
+task) and get the small result by broadcast. All other keys use a plain window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from tributary.session import materialize
+
 #: A key is hot when it holds more than one part in SHARES of an average shuffle partition.
 SHARES = 2
 
 
-def hot_share(df: DataFrame) -> tuple[Column, int]:
-    """The least rows of a hot key, as a fraction of all rows of ``df``, and how many keys can reach it at most."""
-    parts = SHARES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return F.greatest(F.ceil(total / F.lit(parts)), F.lit(1)), parts
+#: Items a frequent-items summary tracks for each key that could be hot; more items, fewer false candidates.
+TRACKED = 16
 
 
-def hot_keys(summary: DataFrame, keys: list[str], rows: str, min_rows: Column | int, most: int | None = None) -> DataFrame:
-    """The keys with at least ``min_rows`` rows, and over how many salts each is spread: one per ``min_rows`` rows.
+def staged_with_hot(df: DataFrame, keys: list[str], stored: bool = False) -> tuple[DataFrame, list[int], int]:
+    """``df`` written once, hashes of the keys that may be hot in it, and its number of rows.
 
-    ``most`` is the number of keys that can reach ``min_rows`` (see ``hot_share``), so the limit drops none. It is
-    there for the plan: ordering by every column of the summary keeps all of them, and Spark reuses the shuffle that
-    computes the summary for the lookup.
-    """
-    least = F.lit(min_rows) if isinstance(min_rows, int) else min_rows
-    others = [c for c in summary.columns if c != rows]
-    hot = summary.filter(F.col(rows) >= least)
-    if most is not None:
-        hot = hot.orderBy(F.col(rows).desc(), *others).limit(most)
-    return hot.select(*keys, F.ceil(F.col(rows) / least).cast("int").alias("_salts"))
-
-
-def salted_lookup(
-    big: DataFrame,
-    lookup: DataFrame,
-    keys: list[str],
-    hot: DataFrame,
-    rows: str,
-) -> DataFrame:
-    """Left join ``big`` to a ``lookup`` with one row per key, spreading the hot keys.
+    ``stored`` says that ``df`` only reads stored columns: then it is left where it is and only its keys are read.
 
-    The lookup row of a hot key is copied once per salt; rows of that key pick
-    one. Every other key keeps salt 0. The salt comes from the row's content
-    and its task's number, so exact copies spread too and a task that is run
-    again chooses the same salts. ``rows`` is the lookup's row count per key;
-    it is dropped from the result.
+    The one write that evaluates ``df`` also feeds a mergeable frequent-items summary, so hot keys need no pass or
+    count of their own. Every key with more rows than an average shuffle partition divided by ``SHARES`` is among the
+    candidates: the summary tracks ``TRACKED`` times as many items as keys of that weight can exist, whose error stays
+    far below that weight. A candidate
+    that is not hot costs nothing but its place in the list.
     """
-    marked = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.col("_salts"))
-
-    def flag(df: DataFrame) -> DataFrame:
-        condition = F.lit(True)
-        for k in keys:
-            condition = condition & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
-        return df.join(F.broadcast(marked), condition, "left").drop(*[f"_hot_{k}" for k in keys])
-
-    hashable = [f.name for f in big.schema.fields if not f.dataType.simpleString().startswith("map")]
-    mixed = F.xxhash64(*hashable, F.spark_partition_id())
-    spread = F.when(F.col("_salts").isNotNull(), F.pmod(mixed, F.col("_salts"))).otherwise(F.lit(0))
-    left = flag(big).withColumn("_salt", spread.cast("int")).drop("_salts")
-    # A key never has more salts than rows; naming ``rows`` keeps the lookup's shuffle equal to that of the hot keys.
-    busy = F.col("_salts").isNotNull() & (F.col(rows) >= F.col("_salts"))
-    copies = F.when(busy, F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(F.array(F.lit(0)))
-    kept = [c for c in lookup.columns if c not in keys and c != rows]
-    right = (
-        flag(lookup)
-        .withColumn("_rsalt", F.explode(copies))
-        .select(*[F.col(k).alias(f"_r_{k}") for k in keys], "_rsalt", *kept)
-    )
-    condition = F.col("_salt") == F.col("_rsalt")
+    parts = SHARES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = ", ".join(f"`{k}`" for k in keys)
+    summary = F.expr(f"approx_top_k(xxhash64({named}), {parts}, {max(1024, parts * TRACKED)})")
+    facts = (summary.alias("top"), F.count(F.lit(1)).alias("rows"))
+    if stored:
+        staged, found = df, df.agg(*facts).first()
+    else:
+        seen = Observation()
+        staged = materialize(df.observe(seen, *facts), "grouped")
+        found = seen.get
+    rows = found["rows"] or 0
+    return staged, [h["item"] for h in found["top"] or [] if h["count"] * parts >= rows], rows
+
+
+def _hashed_in(keys: list[str], hashes: list[int]) -> Column:
+    return F.xxhash64(*keys).isin(hashes)
+
+
+def joined_to_hot(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of hot keys with the facts of their keys. The summary names a bounded number of keys, so
+    the facts are broadcast and no row of a hot key is shuffled."""
+    right = facts.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
+    condition = F.lit(True)
     for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(right, condition, "left").drop("_salt", "_rsalt", *[f"_r_{k}" for k in keys])
+        condition = condition & F.col(f"`{k}`").eqNullSafe(F.col(f"`_hot_{k}`"))
+    return rows.join(F.broadcast(right), condition, "left").drop(*[f"_hot_{k}" for k in keys])
 
 
-def with_group_stats(df: DataFrame, keys: list[str], min_rows: int | None = None, **stats: Column) -> DataFrame:
-    """Add group aggregates to every row without a window over the group.
+def with_group_stats(
+    df: DataFrame, keys: list[str], min_rows: int | None = None, stored: bool = False, **stats: Column
+) -> DataFrame:
+    """Add group aggregates to every row; no group meets in one task if it is large.
 
-    ``min_rows`` names the least rows of a hot key; by default it follows from the rows of ``df`` (``hot_share``).
+    The input is staged once and its hot keys come with the write. Rows of hot keys are aggregated map-side and get
+    the result by broadcast; all others go through a plain window. ``stats`` are aggregate functions such as
+    ``F.count(...)``. ``min_rows`` counts the keys instead and takes those with so many rows as hot.
     """
-    summary = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()], F.count(F.lit(1)).alias("_rows"))
-    least, most = hot_share(df) if min_rows is None else (min_rows, None)
-    return salted_lookup(df, summary, keys, hot_keys(summary, keys, "_rows", least, most), "_rows")
+    if min_rows is None:
+        staged, hot, _ = staged_with_hot(df, keys, stored)
+    else:
+        staged = materialize(df, "grouped")
+        # At most rows / min_rows keys can have that many rows.
+        busy = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= min_rows)
+        hot = [r[0] for r in busy.select(F.xxhash64(*keys)).collect()]
+    window = Window.partitionBy(*keys)
+    if not hot:
+        return staged.select("*", *[c.over(window).alias(n) for n, c in stats.items()])
+    is_hot = _hashed_in(keys, hot)
+    rest = staged.filter(~is_hot).select("*", *[c.over(window).alias(n) for n, c in stats.items()])
+    mine = staged.filter(is_hot)
+    facts = mine.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
+    return rest.unionByName(joined_to_hot(mine, facts, keys))

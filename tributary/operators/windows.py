@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.operators.skew import hot_keys, hot_share, salted_lookup
+from tributary.operators.skew import joined_to_hot, staged_with_hot
 from tributary.session import materialize
 
 
@@ -52,9 +52,21 @@ def surrogate_key(df: DataFrame, order: list[str], name: str = "sk") -> DataFram
 
 
 def dense_group_id(df: DataFrame, keys: list[str], name: str = "duplicate_group_id") -> DataFrame:
-    """Smallest global row number of each key, attached to every row of the key."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    first = _numbered(sizes, keys, F.col("_rows")).select(
-        *keys, "_rows", (F.col("_end") - F.col("_rows") + 1).cast("bigint").alias(name)
-    )
-    return salted_lookup(df, first, keys, hot_keys(first, keys, "_rows", *hot_share(df)), "_rows")
+    """Smallest global row number of each key, attached to every row of the key.
+
+    The input is evaluated once. Keys are counted map-side, numbered in their order and joined back: the few hot keys
+    by broadcast, the others by an equi-join on the keys.
+    """
+    staged, hot, _ = staged_with_hot(df, keys)
+    sizes = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    first = _numbered(sizes, keys, F.col("_rows")).select(*keys, (F.col("_end") - F.col("_rows") + 1).cast("bigint").alias(name))
+    first = materialize(first, "numbered") if hot else first
+    is_hot = F.xxhash64(*keys).isin(hot) if hot else F.lit(False)
+    right = first.filter(~is_hot).withColumnsRenamed({k: f"_n_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"`_n_{k}`"))
+    rest = staged.filter(~is_hot).join(right, same, "left").drop(*right.columns[: len(keys)])
+    if not hot:
+        return rest
+    return rest.unionByName(joined_to_hot(staged.filter(is_hot), first.filter(is_hot), keys))

@@ -19,9 +19,12 @@ from tributary.operators import (
     lineage,
     mapping,
     nested,
+    partials,
     quality,
     typing,
 )
+from tributary.session import materialize, scratch_path
+from tributary.sources import writers
 
 
 def to_silver(
@@ -60,10 +63,35 @@ def to_silver(
 
 @dataclass
 class Gold:
-    """Accepted rows and dead letters of one run."""
+    """Checked rows of one run, before anything is published."""
 
-    rows: DataFrame
-    dead_letters: DataFrame | None
+    checked: DataFrame
+    spec: GoldSpec
+    as_of: Column
+    meter: lineage.StageMeter | None = None
+
+    @property
+    def rows(self) -> DataFrame:
+        """The accepted rows, as the recovery mode wants them."""
+        out = errors.split_bad(self.checked, self.spec.recovery)
+        return self.meter.watch(out, "split") if self.meter else out
+
+    @property
+    def dead_letters(self) -> DataFrame | None:
+        return errors.dead_letters(self.checked, self.as_of) if self.spec.rules else None
+
+    def staged(self, path: str | None = None) -> Gold:
+        """The same rows written once, if enough of them are valid; ``quality.GateError`` otherwise.
+
+        Rows and dead letters then read one copy instead of running the chain twice. A run that fails leaves the
+        copy behind as evidence, and the error says where it is.
+        """
+        path = path or scratch_path(self.checked.sparkSession, "gold-audit")
+        if self.spec.rules:
+            kept = quality.audited(self.checked, self.spec.rules.threshold, path)
+        else:
+            kept = materialize(self.checked, path=path)
+        return Gold(kept, self.spec, self.as_of, self.meter)
 
 
 def to_gold(
@@ -73,11 +101,16 @@ def to_gold(
     last_seen=None,
     dims: list[joins.Dimension] | None = None,
     meter: lineage.StageMeter | None = None,
+    totals: str | None = None,
+    run: str | None = None,
 ) -> Gold:
-    """Incremental filter, map, calculate, aggregate, denormalize, check, split.
+    """Incremental filter, map, calculate, aggregate, denormalize, check.
 
     The incremental filter comes first: it names a source column, so it prunes
-    the scan. The caller advances the watermark after writing.
+    the scan. The caller advances the watermark after writing. An aggregate of
+    an incremental run covers the new rows only, unless ``totals`` names the
+    folder in which the runs' partial aggregates are kept; ``run`` names this
+    one, and the result is the aggregate of all runs so far.
     """
 
     def watch(df: DataFrame, stage: str) -> DataFrame:
@@ -90,10 +123,29 @@ def to_gold(
     df = lineage.add_lineage(df, spec.pipeline_id, spec.source, as_of)
     df = watch(mapping.map_schema(df, list(spec.field_map)), "map")
     df = watch(mapping.calculate(df, dict(spec.formulas)), "calculate")
-    if spec.aggregate:
+    if spec.aggregate and totals:
+        if not run:
+            raise ValueError("totals over runs need a name for this run")
+        df = watch(partials.update(df, spec.aggregate, totals, run), "aggregate")
+    elif spec.aggregate:
         df = watch(aggregate.aggregate(df, spec.aggregate), "aggregate")
     if dims:
         df = watch(joins.join_dims(df, dims), "denormalize")
-    checked = quality.check(df, spec.rules)
-    letters = errors.dead_letters(checked, as_of) if spec.rules else None
-    return Gold(watch(errors.split_bad(checked, spec.recovery), "split"), letters)
+    return Gold(quality.check(df, spec.rules), spec, as_of, meter)
+
+
+def publish(gold: Gold, path: str, letters: str, run: str, by: list[str] | None = None, audit: str | None = None) -> DataFrame:
+    """Write, audit, publish: Gold at ``path`` changes only if the run passes its gate.
+
+    The rows are staged and judged first. Dead letters go to ``letters`` below the run's name, so a repeated run
+    replaces its own; then the accepted rows replace the partitions ``by`` that they fill, or the table.
+    """
+    kept = gold.staged(audit)
+    bad = kept.dead_letters
+    if bad is not None:
+        writers.write_dead_letters(bad, letters, run)
+    if by:
+        writers.overwrite_partitions(kept.rows, path, by)
+    else:
+        writers.full_replace(kept.rows, path)
+    return kept.rows

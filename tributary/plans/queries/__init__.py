@@ -1,3 +1,3 @@
 """Operators and reports applied to the driver's tables."""
 
-from tributary.plans.queries import columns, gold, layers, reports, silver, streams, tables  # noqa: F401
+from tributary.plans.queries import columns, gold, layers, reports, runs, silver, streams, tables  # noqa: F401

@@ -233,7 +233,7 @@ LINE_ORDER = [
 )
 def mark_duplicates(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return dedup.mark_duplicates(lines, ["l_orderkey", "l_linenumber"]).drop("duplicate_group_id")
+    return dedup.mark_duplicates(lines, ["l_orderkey", "l_linenumber"], stored=True).drop("duplicate_group_id")
 
 
 @query(

@@ -26,11 +26,11 @@ def discount_share(lines: DataFrame, keys: list[str] | None = None) -> DataFrame
     stats = with_group_stats(
         lines,
         keys,
-        discount_total=F.abs(F.sum("discount")),
+        discount_total=F.sum("discount"),
         margin_total=F.sum("margin"),
         quantity_total=F.sum("quantity"),
     )
-    share = _cents(F.coalesce(money.ratio(F.abs(F.col("discount")), F.col("discount_total")), F.lit(1.0)))
+    share = _cents(F.coalesce(money.ratio(F.abs(F.col("discount")), F.abs(F.col("discount_total"))), F.lit(1.0)))
     with_share = stats.withColumn("share", share)
     margin = _cents(F.col("margin_total").cast("double") / 100.0 * F.col("share"))
     scaled = F.col("promo_margin") / F.col("quantity_total") * F.col("quantity")

@@ -162,3 +162,8 @@ def initial_load(
 def day_window(days: DataFrame, column: str, first: int, last: int) -> DataFrame:
     """Rows of the day dimension between two day keys."""
     return days.filter(F.col(column).between(first, last))
+
+
+def read_dead_letters(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """The dead letters of all runs, with the name of each one's run."""
+    return spark.read.schema(T.StructType([*as_schema(schema).fields, T.StructField("run", T.StringType())])).json(path)

@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 from tributary.operators.nested import complex_to_json, flatten
 from tributary.operators.tables import date_partitions
 
-TARGET_FILE_ROWS = 2_000_000
-
-
 def write_json(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
     """JSON lines; one file only on request, for small exports."""
     (df.coalesce(1) if single_file else df).write.mode(mode).json(path)
@@ -87,17 +84,9 @@ def create_catalog_table(
     (writer.partitionedBy(*transforms) if transforms else writer).createOrReplace()
 
 
-def append_catalog_table(df: DataFrame, table: str) -> None:
-    df.writeTo(table).append()
-
-
-def overwrite_catalog_partitions(df: DataFrame, table: str) -> None:
-    """Replace the partitions that occur in ``df`` and no other."""
-    df.writeTo(table).overwritePartitions()
-
-
-def write_dead_letters(letters: DataFrame, path: str) -> None:
-    letters.write.mode("append").json(path)
+def write_dead_letters(letters: DataFrame, path: str, run: str) -> None:
+    """JSON below the run's name; a run that is repeated replaces its own letters and no others."""
+    letters.write.mode("overwrite").option("partitionOverwriteMode", "static").json(f"{path}/run={run}")
 
 
 # Audit tables.
