@@ -164,6 +164,41 @@ def test_range_join_against_brute_force(spark):
     assert outer.filter("r is null").count() == len({p for p, _, _ in pts} - {p for p, _ in want})
 
 
+def test_open_ranges_against_brute_force(spark):
+    import random
+
+    rnd = random.Random(7)
+    pts = [(n, rnd.choice(["a", "b", None]), rnd.choice([None, rnd.randint(-9000, 9000), rnd.randint(-10**9, 10**9)])) for n in range(400)]
+    rgs = []
+    for n in range(90):
+        lo = rnd.choice([None, rnd.randint(-9000, 9000), rnd.randint(-10**9, 10**9)])
+        rgs.append((n, rnd.choice(["a", "b", None]), lo, rnd.choice([None, (lo or 0) + rnd.randint(-5, 10 ** rnd.randint(1, 9))])))
+    ts = lambda c: F.timestamp_add("SECOND", F.col(c), F.expr("timestamp_ntz'2024-01-01'"))
+    left = spark.createDataFrame(pts, "p int, k string, s int").withColumn("t", ts("s"))
+    right = spark.createDataFrame(rgs, "r int, k string, a int, b int").withColumns({"lo": ts("a"), "hi": ts("b")})
+    want = sorted(
+        (p, r) for p, k, s in pts for r, j, a, b in rgs
+        if k is not None and k == j and s is not None and (a is None or a <= s) and (b is None or s < b) and (a is None or b is None or a < b)
+    )
+    for width in (1, 60, 86400):
+        got = joins.range_join_open(left, right, ["k"], "t", "lo", "hi", width).select("p", "r").collect()
+        assert sorted(tuple(x) for x in got) == want
+    outer = joins.range_join_open(left, right, ["k"], "t", "lo", "hi", 60, how="left")
+    assert outer.count() == len(want) + len({p for p, _, _ in pts} - {p for p, _ in want})
+    assert joins.range_join_open(left, right.limit(0), ["k"], "t", "lo", "hi", how="left").count() == 400
+
+
+def test_a_range_costs_few_rows_whatever_its_length(spark):
+    levels = joins._levels(60)
+    top = (1 << (joins.FAN_BITS * levels)) - 1
+    sizes = spark.createDataFrame([(17, top), (0, top - 5), (0, top), (12345, 12345), (777, 10**9 + 3)], "a bigint, b bigint")
+    rows = sizes.select("a", "b", joins.cover(F.col("a"), F.col("b"), levels).alias("c")).collect()
+    assert [len(r.c) < 64 for r in rows] == [True] * 5 and len(rows[2].c) == 1 and len(rows[3].c) == 1
+    for r in rows:
+        spans = sorted((n.place << (2 * n.level), (n.place + 1) << (2 * n.level)) for n in r.c)
+        assert spans[0][0] == r.a and spans[-1][1] == r.b + 1 and all(x[1] == y[0] for x, y in zip(spans, spans[1:]))
+
+
 def test_upsert_versions_and_rollback(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     v1 = spark.createDataFrame([("a", 1), ("b", 1)], "id string, counter int")

@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tributary.config import AggSpec, ColumnSpec, FieldMap, GoldSpec, Metric, RuleSet, TableSpec
-from tributary.operators import aggregate, partials, quality
+from tributary.config import AggSpec, ColumnSpec, FieldMap, GoldSpec, Metric, RuleSet, SilverSpec, TableSpec
+from tributary.operators import aggregate, partials, quality, type_plan, typing
 from tributary.plans import layers
 from tributary.sources import readers
 
@@ -98,3 +98,65 @@ def test_primary_key_rule_follows_from_the_schema(spark):
     assert quality.rules_from_table(table).unique == (("a", "b"),)
     assert quality.rules_from_table(table, RuleSet(unique=(("b",),))).unique == (("b",),)
     assert quality.rules_from_table(TableSpec("t", {"a": ColumnSpec("INT")})).unique == ()
+
+
+TYPES = [None, "int", "bigint", "decimal(18,2)", "decimal(20,0)", "decimal(38,4)", "double", "boolean", "date", "timestamp", "string"]
+
+
+def test_types_form_a_lattice():
+    for a in TYPES:
+        assert type_plan.join(a, a) == a and type_plan.join(a, None) == a
+        for b in TYPES:
+            assert type_plan.join(a, b) == type_plan.join(b, a)
+            for c in TYPES:
+                assert type_plan.join(type_plan.join(a, b), c) == type_plan.join(a, type_plan.join(b, c)), (a, b, c)
+    assert type_plan.join("bigint", "double") == "string" and type_plan.join("int", "decimal(18,2)") == "decimal(18,2)"
+    assert type_plan.join("bigint", "decimal(18,2)") == "decimal(21,2)" and type_plan.join("decimal(38,0)", "decimal(18,2)") == "string"
+
+
+def test_no_value_is_lost_over_runs(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "plan")
+    loads = [
+        [("1", "0007", "1.5", None, "yes"), ("2", "12", "2.25", None, "no")],
+        [("3000000000", "8", "1e3", "2024-01-01", "perhaps"), ("x", None, "12345678901234567890.125", None, "no")],
+        [("4", "x", "7", "2024-02-30", "yes")],
+    ]
+    schema = "a string, b string, c string, d string, e string"
+    profiled = []
+    full = typing.inference_profile
+    monkeypatch.setattr(typing, "inference_profile", lambda df, *a: profiled.append(df.columns) or full(df, *a))
+    plans = []
+    for n, data in enumerate(loads):
+        df = spark.createDataFrame(data, schema)
+        typed = type_plan.typed(df, path, f"r{n}")
+        kept = spark.createDataFrame(typed.collect(), typed.schema)
+        plans.append(type_plan.learn(kept, path, f"r{n}"))
+        # Every value is in its column or, as it was, beside it.
+        back = typed.select(*[F.coalesce(F.get_json_object("_untyped", f"$.{c}"), F.col(c).cast("string")).alias(c) for c in df.columns])
+        for got, was in zip(rows(back), sorted(data, key=lambda r: [(v is not None, str(v)) for v in r])):
+            for g, w in zip(got, was):
+                same = g == w or (w in ("yes", "no") and g == {"yes": "true", "no": "false"}[w]) or float(g) == float(w)
+                assert same, (got, was)
+    assert profiled == [list("abcde"), ["d"]]
+    assert plans[0] == {"a": "int", "b": "string", "c": "decimal(18,2)", "e": "boolean"}
+    assert plans[1]["a"] == "string" and plans[1]["c"] == "decimal(23,3)" and plans[1]["e"] == "string"
+    assert plans[1]["d"] == "date" and plans[2]["d"] == "string"
+    assert type_plan.load(spark, str(tmp_path / "none")) is None
+
+
+def test_silver_infers_without_loss_and_keeps_its_plan(spark, rows, tmp_path):
+    data = [(i, "0007" if i == 3 else "7", "7" if i % 20 == 3 else "1") for i in range(100)]
+    bronze = spark.createDataFrame(data, "id int, code string, quantity string")
+    spec = SilverSpec(keys=("id",))
+    silver = layers.to_silver(bronze, spec)
+    assert dict(silver.dtypes)["code"] == "string" and dict(silver.dtypes)["quantity"] == "int"
+    assert silver.filter("quantity is null or code is null").count() == 0
+    found = []
+    layers.to_silver(bronze.withColumn("quantity", F.when(F.col("id") == 5, "?").otherwise(F.col("quantity"))), spec, issues=found.append)
+    assert rows(found[0]) == [(5, "quantity", "?", "int")]
+    path = str(tmp_path / "plan")
+    first = layers.to_silver(bronze, spec, types=path, run="a")
+    again = layers.to_silver(bronze.withColumn("quantity", F.lit("9.5")), spec, types=path, run="b")
+    assert first.filter("_untyped is not null").count() == 0 and again.filter("quantity is null").count() == 100
+    type_plan.learn(again, path, "b")
+    assert dict(layers.to_silver(bronze, spec, types=path, run="c").dtypes)["quantity"] == "decimal(18,2)"

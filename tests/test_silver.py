@@ -196,6 +196,37 @@ def test_group_facts_evaluate_their_input_once(spark, capsys):
     assert len(rows) == 1001 and sorted(rows)[0] == (0, True)
 
 
+def test_fills_split_a_hot_key_hour_and_keep_fractions_of_a_second(spark, capsys):
+    """A third of all rows in one key and one hour lie in many ranges; both fills move the rows twice."""
+    hot = spark.range(3000).select(F.lit("hot").alias("k"), F.expr("timestamp_micros(1704067200000000 + id * 1000)").alias("ts"),
+                                   F.when(F.col("id") % 700 == 5, F.col("id") * 1.0).alias("v"), "id")
+    cold = spark.range(6000).select(F.concat(F.lit("k"), (F.col("id") % 600).cast("string")).alias("k"),
+                                    F.expr("timestamp_micros(1704067200000000 + id * 1500000)").alias("ts"),
+                                    F.when(F.col("id") % 13 == 0, F.col("id") * 2.0).alias("v"), (F.col("id") + 3000).alias("id"))
+    nulls = spark.range(3).select(F.lit(None).cast("string").alias("k"), F.expr("timestamp_micros(id)").alias("ts"),
+                                  F.when(F.col("id") != 1, F.col("id") * 1.0).alias("v"), (F.col("id") + 9000).alias("id"))
+    df = hot.unionByName(cold).unionByName(nulls)
+    data = {}
+    for r in df.withColumn("us", F.unix_micros("ts")).collect():
+        data.setdefault(r.k, []).append((r.us, r.id, r.v))
+    fill, line = {}, {}
+    for rows in data.values():
+        rows.sort()
+        for i, (at, ident, v) in enumerate(rows):
+            prev = next(((t, x) for t, _, x in reversed(rows[: i + 1]) if x is not None), None)
+            nxt = next(((t, x) for t, _, x in rows[i + 1 :] if x is not None), None)
+            fill[ident] = prev and prev[1]
+            line[ident] = v if v is not None or not (prev and nxt) else prev[1] + (nxt[1] - prev[1]) * ((at - prev[0]) / (nxt[0] - prev[0]))
+    assert {r.id: r.v for r in gaps.forward_fill(df, ["k"], "ts", "v", ["id"]).collect()} == fill
+    both = gaps.interpolate(df, ["k"], "ts", "v", ["id"])
+    assert {r.id: r.v for r in both.collect()} == line
+    capsys.readouterr()
+    both.explain("simple")
+    plan = capsys.readouterr().out.split("== Initial Plan ==")[0]
+    # One exchange of the staged rows for both windows; edges move as one row per key and range, or per range.
+    assert plan.count("Exchange hashpartitioning(_range#") <= 3 and "SortMergeJoin" not in plan and plan.count("BroadcastExchange") <= 2
+
+
 def test_dense_group_id_and_surrogate_key(spark, rows):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",), (None,)], "k string")
     assert rows(dense_group_id(df, ["k"], "g")) == [(None, 1), ("a", 2), ("b", 3), ("b", 3), ("c", 5)]

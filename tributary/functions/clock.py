@@ -52,6 +52,13 @@ def to_epoch(c: Column) -> Column:
     return days * 86400 + F.hour(wall) * 3600 + F.minute(wall) * 60 + F.second(wall)
 
 
+def to_micros(c: Column) -> Column:
+    """Microseconds since 1970 of a zone-less time."""
+    wall = c.cast("timestamp_ntz")
+    fraction = F.date_part(F.lit("SECOND"), wall) - F.second(wall)
+    return to_epoch(c) * 1_000_000 + (fraction * 1_000_000).cast("bigint")
+
+
 def utc_instant(c: Column) -> Column:
     """The instant at which a UTC clock showed the zone-less time ``c``, in whole seconds."""
     return F.timestamp_seconds(to_epoch(c))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,34 +23,52 @@ def bool_text(c: Column) -> Column:
     return F.when(word.isin(TRUE_WORDS), F.lit(True)).when(word.isin(FALSE_WORDS), F.lit(False))
 
 
-def _fixed_width(fmt: str) -> tuple[str, list[tuple[str, int]]]:
-    """Shape of a fixed-width format, and where each of its parts starts (from 1)."""
+def fixed_width(fmt: str) -> tuple[str, list[tuple[str, int]]]:
+    """Shape of a fixed-width format (see ``shape_of``), and where each of its parts starts (from 1)."""
     plain = fmt.replace("'", "")
-    shape = "".join("\\d" if ch in "yMdHms" else re.escape(ch) for ch in plain)
+    shape = "".join("0" if ch in "yMdHms" else ch for ch in plain)
     parts = [(p, plain.index(p) + 1) for p in ("yyyy", "MM", "dd", "HH", "mm", "ss") if p in plain]
-    return f"^{shape}$", parts
+    return shape, parts
 
 
-def _by_format(c: Column, fmt: str, target: str) -> Column:
-    """Text of exactly this shape, put into ISO order and cast; anything else is null.
+def shape_of(c: Column) -> Column:
+    """The text with every digit made 0: all values of a fixed-width format have one shape."""
+    return F.translate(c, "0123456789", "0000000000")
 
-    Checking the shape first keeps text that does not match away from the
-    parser, which is slow when it fails.
-    """
-    shape, parts = _fixed_width(fmt)
-    at = {p: F.substring(c, start, len(p)) for p, start in parts}
+
+def _iso(c: Column, fmt: str) -> Column:
+    """Text of this format in ISO order."""
+    at = {p: F.substring(c, start, len(p)) for p, start in fixed_width(fmt)[1]}
     iso = [at["yyyy"], F.lit("-"), at["MM"], F.lit("-"), at["dd"]]
     if "HH" in at:
         iso += [F.lit(" "), at["HH"], F.lit(":"), at["mm"], F.lit(":"), at["ss"]]
-    return F.when(c.rlike(shape), F.concat(*iso).try_cast(target))
+    return F.concat(*iso)
+
+
+def _by_shape(c: Column, formats: list[str], target: str, shape: Column | None) -> Column:
+    """Text whose shape is that of a format, put into ISO order and cast; anything else is null.
+
+    Checking the shape first keeps text that does not match away from the parser, which is slow when it fails.
+    Formats of one shape are tried in their order. ``shape`` is ``shape_of(c)`` where the caller has it already.
+    """
+    shape = shape_of(c) if shape is None else shape
+    by_shape: dict[str, list[str]] = {}
+    for fmt in formats:
+        by_shape.setdefault(fixed_width(fmt)[0], []).append(fmt)
+    out = None
+    for fits, same in by_shape.items():
+        tries = [_iso(c, f).try_cast(target) for f in same]
+        value = tries[0] if len(tries) == 1 else F.coalesce(*tries)
+        out = F.when(shape == fits, value) if out is None else out.when(shape == fits, value)
+    return out
 
 
-def date_text(c: Column, formats: list[str] = DATE_FORMATS) -> Column:
-    return F.coalesce(*[_by_format(c, f, "date") for f in formats])
+def date_text(c: Column, formats: list[str] = DATE_FORMATS, shape: Column | None = None) -> Column:
+    return _by_shape(c, formats, "date", shape)
 
 
-def timestamp_text(c: Column, formats: list[str] = TIMESTAMP_FORMATS) -> Column:
-    return F.coalesce(*[_by_format(c, f, "timestamp") for f in formats])
+def timestamp_text(c: Column, formats: list[str] = TIMESTAMP_FORMATS, shape: Column | None = None) -> Column:
+    return _by_shape(c, formats, "timestamp", shape)
 
 
 def flag_01(c: Column) -> Column:

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.config import TableSpec
-from tributary.functions.clock import to_epoch
+from tributary.functions.clock import to_micros
 from tributary.functions.ddl import spark_type
+from tributary.session import materialize
 
 # Fields the source does not offer, and how much each one matters.
 FIELD_IMPACT = {"items_substituted_qty": "medium", "items_qty_missing": "high", "total_changes": "low"}
@@ -144,54 +145,52 @@ def overall_impact(report: DataFrame) -> DataFrame:
     return report.agg(label.alias("impact_assessment"))
 
 
-CHUNK_SECONDS = 3600
+def _neighbours(df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str], both: bool) -> DataFrame:
+    """``_prev`` and, if ``both``, ``_next``: the nearest known (value, time) at or before each row, and after it.
 
-
-def _spans(
-    df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str], backward: bool, chunk_seconds: int
-) -> DataFrame:
-    """Nearest known (value, time) before each row, or after it when ``backward``.
-
-    A key's timeline is cut into chunks. Within a chunk a window looks back;
-    across chunks only one summary row per key and chunk is carried. So a key
-    that holds a third of all rows is still spread over its whole history.
+    A segmented scan. Rows are sorted into ranges over (key, time, tie) and written once with their range's number, so
+    a key with a third of all rows is spread over many ranges, down to the rows of one instant and tie. Windows work
+    inside a key's part of a range. Between ranges only edges move: a range shares at most its first and its last key
+    with other ranges, so there are at most two edges a range, which are carried along their key and broadcast back.
+    The rows are shuffled twice in all, whichever way is filled.
     """
-
-    tag = "next" if backward else "prev"
-    known = F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias("value"), F.col(ts).alias("at")))
-    order = [F.col(c).desc() if backward else F.col(c).asc() for c in [ts, *tie]]
-    inside = (
-        Window.partitionBy(*keys, "_chunk")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1 if backward else Window.currentRow)
+    order = [F.col(f"`{c}`") for c in [*keys, ts, *tie]]
+    ranged = materialize(
+        df.repartitionByRange(*[c.asc_nulls_first() for c in order]).withColumn("_range", F.spark_partition_id()), "ranged"
     )
-    base = df.withColumn("_chunk", F.floor(to_epoch(F.col(ts)) / F.lit(chunk_seconds)))
-    near = base.withColumn(f"_{tag}", F.last(known, ignorenulls=True).over(inside))
-    position = F.struct(F.col(ts), *tie)
-    pick = F.min_by if backward else F.max_by
-    edges = base.groupBy(*keys, "_chunk").agg(
-        pick(known, F.when(F.col(column).isNotNull(), position)).alias("_edge")
-    )
-    across = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col("_chunk").desc() if backward else F.col("_chunk").asc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    parts = [*keys, "_chunk"]
-    carried = edges.withColumn("_carry", F.last("_edge", ignorenulls=True).over(across)).select(
-        *[F.col(c).alias(f"_c_{c}") for c in parts], "_carry"
+    known = F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias("value"), F.col(ts).alias("at")))
+    inside = Window.partitionBy("_range", *keys)
+    place = [F.col(f"`{c}`") for c in [ts, *tie]]
+    so_far = inside.orderBy(*[c.asc_nulls_first() for c in place]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    to_come = inside.orderBy(*[c.desc_nulls_last() for c in place]).rowsBetween(Window.unboundedPreceding, -1)
+    near = {"_prev": F.last(known, ignorenulls=True).over(so_far)}
+    if both:
+        near["_next"] = F.last(known, ignorenulls=True).over(to_come)
+    filled = ranged.withColumns(near)
+
+    at = F.when(F.col(column).isNotNull(), F.struct(*place))
+    parts = ranged.groupBy("_range", *keys).agg(F.max_by(known, at).alias("_last"), F.min_by(known, at).alias("_first"))
+    ends = ranged.groupBy("_range").agg(F.min(F.struct(*keys)).alias("_low"), F.max(F.struct(*keys)).alias("_high"))
+    # Parts of keys at the ends of their range: the only ones that another range can continue.
+    at_end = (F.struct(*keys) == F.col("_low")) | (F.struct(*keys) == F.col("_high"))
+    edges = parts.join(F.broadcast(ends), "_range").filter(at_end).drop("_low", "_high")
+    along = Window.partitionBy(*keys)
+    before = along.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    after = along.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = edges.select(
+        F.col("_range").alias("_c_range"), *[F.col(f"`{k}`").alias(f"_c_{k}") for k in keys],
+        F.last("_last", ignorenulls=True).over(before).alias("_before"), F.last("_first", ignorenulls=True).over(after).alias("_after"),
     )
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in parts])
-    joined = near.join(carried, match, "left")
-    return joined.select(*df.columns, F.coalesce(F.col(f"_{tag}"), F.col("_carry")).alias(f"_{tag}_{column}"))
+    match = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_c_{k}`")) for k in keys], F.col("_range") == F.col("_c_range"))
+    joined = filled.join(F.broadcast(carried), match, "left")
+    found = [F.coalesce("_prev", "_before").alias("_prev")] + ([F.coalesce("_next", "_after").alias("_next")] if both else [])
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *found)
 
 
-def forward_fill(
-    df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str] | None = None, chunk_seconds: int = CHUNK_SECONDS
-) -> DataFrame:
+def forward_fill(df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str] | None = None) -> DataFrame:
     """Fill nulls with the last known value of the key and flag what was filled."""
-    spanned = _spans(df, keys, ts, column, tie or [], False, chunk_seconds)
-    filled = F.coalesce(F.col(column), F.col(f"_prev_{column}.value"))
+    spanned = _neighbours(df, keys, ts, column, tie or [], both=False)
+    filled = F.coalesce(F.col(column), F.col("_prev.value"))
     return spanned.select(
         *[c for c in df.columns if c != column],
         filled.alias(column),
@@ -199,15 +198,12 @@ def forward_fill(
     )
 
 
-def interpolate(
-    df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str] | None = None, chunk_seconds: int = CHUNK_SECONDS
-) -> DataFrame:
-    """Linear value between the nearest known neighbours in time; ends stay null."""
-    spanned = _spans(df, keys, ts, column, tie or [], False, chunk_seconds)
-    spanned = _spans(spanned, keys, ts, column, tie or [], True, chunk_seconds)
-    before, after = F.col(f"_prev_{column}"), F.col(f"_next_{column}")
-    width = to_epoch(after["at"]) - to_epoch(before["at"])
-    step = F.try_divide((to_epoch(F.col(ts)) - to_epoch(before["at"])).cast("double"), width.cast("double"))
+def interpolate(df: DataFrame, keys: list[str], ts: str, column: str, tie: list[str] | None = None) -> DataFrame:
+    """Linear value between the nearest known neighbours in time, to the microsecond; ends stay null."""
+    spanned = _neighbours(df, keys, ts, column, tie or [], both=True)
+    before, after = F.col("_prev"), F.col("_next")
+    width = to_micros(after["at"]) - to_micros(before["at"])
+    step = F.try_divide((to_micros(F.col(ts)) - to_micros(before["at"])).cast("double"), width.cast("double"))
     guess = before["value"] + (after["value"] - before["value"]) * F.coalesce(step, F.lit(0.0))
     filled = F.coalesce(F.col(column), guess)
     return spanned.select(

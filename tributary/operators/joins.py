@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.clock import to_epoch
 from tributary.operators.windows import top_per_key
+from tributary.session import materialize
 
 
 def enrich(
@@ -88,6 +89,87 @@ def range_join(
     return points.join(ranges, condition, how).drop("_bucket", "_rbucket", *[f"_r_{k}" for k in on])
 
 
+#: Children of a node of the interval tree, as a power of two: wider nodes mean fewer levels but more nodes a level.
+FAN_BITS = 2
+#: Whole seconds between the years 1 and 9999 and the origin fit below this many.
+_SECONDS = 1 << 39
+
+
+def _levels(bucket_seconds: int) -> int:
+    """Levels of the tree over all buckets that times can fall into."""
+    buckets, levels = 2 * _SECONDS // bucket_seconds + 2, 1
+    while 1 << (FAN_BITS * levels) < buckets:
+        levels += 1
+    return levels
+
+
+def cover(first: Column, last: Column, levels: int) -> Column:
+    """The fewest nodes (level, place) of the tree whose leaves are the buckets ``first`` to ``last``, both included.
+
+    On each level those of its nodes inside the range that no node of the next level inside the range contains: at most
+    2^FAN_BITS - 1 at either end, so the cover grows with the number of levels and not with the length of the range.
+    """
+    fan = 1 << FAN_BITS
+
+    def inside(level: int) -> tuple[Column, Column]:
+        """Nodes wholly in the range, from (included) to (not included)."""
+        shift = FAN_BITS * level
+        return F.shiftright(first + ((1 << shift) - 1), shift), F.shiftright(last + 1, shift)
+
+    def node_at(level: int):
+        return lambda n: F.struct(F.lit(level).alias("level"), n.alias("place"))
+
+    nodes = []
+    for level in range(levels + 1):
+        low, high = inside(level)
+        above_low, above_high = inside(level + 1)
+        whole = above_low >= above_high
+        ends = [(low, F.when(whole, high).otherwise(above_low * fan)), (F.when(whole, high).otherwise(above_high * fan), high)]
+        for start, stop in ends:
+            some = F.when(start < stop, F.sequence(start, stop - 1)).otherwise(F.array().cast("array<bigint>"))
+            nodes.append(F.transform(some, node_at(level)))
+    return F.concat(*nodes)
+
+
+def range_join_open(
+    left: DataFrame, right: DataFrame, on: list[str], point: str, lo: str, hi: str, bucket_seconds: int = 60, how: str = "inner"
+) -> DataFrame:
+    """Rows of ``left`` whose time lies in ``[lo, hi)`` of ``right``, for ranges of any length, open ones included.
+
+    A null ``lo`` or ``hi`` leaves that end open. Every range becomes the few tree nodes that cover its buckets and
+    every point the ancestors of its bucket on the levels that occur in a cover, so a range of years costs as much as
+    one of minutes and the join stays an equality. A pair meets in exactly one node; times are compared in
+    full afterwards. Points and keys that are null match nothing. ``how`` is ``inner`` or ``left``.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unknown join: {how}")
+    levels = _levels(bucket_seconds)
+    bucket = lambda c: F.floor((to_epoch(F.col(c)) + F.lit(_SECONDS)) / F.lit(bucket_seconds)).cast("bigint")
+    top = (1 << (FAN_BITS * levels)) - 1
+    some = F.col(lo).isNull() | F.col(hi).isNull() | (F.col(hi) > F.col(lo))
+    first, last = F.coalesce(bucket(lo), F.lit(0).cast("bigint")), F.coalesce(bucket(hi), F.lit(top).cast("bigint"))
+    ranges = right.filter(some).withColumns({"_first": first, "_last": last}).withColumn("_node", F.explode(cover(F.col("_first"), F.col("_last"), levels)))
+    ranges = ranges.drop("_first", "_last").withColumnsRenamed({k: f"_r_{k}" for k in on})
+    # One row per level of the tree at most.
+    used = sorted(r[0] for r in ranges.select("_node.level").distinct().collect())
+    numbered = left
+    if how == "left":
+        numbered = materialize(left.withColumn("_row", F.monotonically_increasing_id()), "points")
+    leaf = bucket(point)
+    ancestors = [F.struct(F.lit(n).alias("level"), F.shiftright(leaf, FAN_BITS * n).alias("place")) for n in used]
+    nodes = F.array(*ancestors) if ancestors else F.array().cast("array<struct<level:int,place:bigint>>")
+    points = numbered.filter(F.col(point).isNotNull()).withColumn("_at", F.explode(nodes))
+    within = (F.col(lo).isNull() | (F.col(point) >= F.col(lo))) & (F.col(hi).isNull() | (F.col(point) < F.col(hi)))
+    condition = (F.col("_at") == F.col("_node")) & within
+    for k in on:
+        condition = condition & (points[k] == ranges[f"_r_{k}"])
+    found = points.join(ranges, condition).drop("_at", "_node", *[f"_r_{k}" for k in on])
+    if how == "inner":
+        return found
+    alone = numbered.join(found.select("_row").distinct(), "_row", "left_anti")
+    return found.unionByName(alone, allowMissingColumns=True).drop("_row")
+
+
 def adjacent(df: DataFrame, on: list[str], start: str, end: str, cols: dict[str, str]) -> DataFrame:
     """Attach columns of the row that starts where this one ends.
 

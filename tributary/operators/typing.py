@@ -1,4 +1,7 @@
-"""Type conversion: by rule, or inferred from the data in one aggregate pass."""
+"""Type conversion: by rule, or inferred from the data in one aggregate pass.
+
+``type_plan`` keeps inferred types from run to run.
+"""
 
 from __future__ import annotations
 
@@ -18,6 +21,10 @@ FLAG_WORDS = (
 EXTRACT_NULLS = ("", "None", "nan", "NaN")
 
 
+def text_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
+
+
 def inference_profile(df: DataFrame, exclude: tuple[str, ...] = (), ints_as_bool: bool = True) -> DataFrame:
     """One row per string column with the share of its values that each type accepts.
 
@@ -25,62 +32,99 @@ def inference_profile(df: DataFrame, exclude: tuple[str, ...] = (), ints_as_bool
     with one set of tests serves any number of columns, and only one line per
     task and column is shuffled.
     """
-    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
+    names = text_columns(df, exclude)
     if not names:
-        return df.sparkSession.createDataFrame(
-            [],
-            "column string, filled bigint, boolean double, date double, timestamp double, number double, "
-            "any_decimal boolean, any_exponent boolean, max_abs double, whole_digits int, scale int",
-        )
+        return profile_values(df.sparkSession.createDataFrame([], "column string, value string"), ints_as_bool)
+    return profile_values(df.select(*[F.col(f"`{n}`") for n in names]).unpivot([], names, "column", "value"), ints_as_bool)
+
+
+def profile_values(tall: DataFrame, ints_as_bool: bool = True) -> DataFrame:
+    """The profile of (column, value) rows.
+
+    The shape of a value, its digits made 0, says which formats it can have; only those are tried.
+    """
     words = [w for w in parse.TRUE_WORDS + parse.FALSE_WORDS if ints_as_bool or w not in ("0", "1")]
-    tall = df.select(*[F.col(f"`{n}`") for n in names]).unpivot([], names, "column", "value")
-    value = F.trim("value")
-    tested = tall.select(
+    shapes = {
+        "date": [parse.fixed_width(f)[0] for f in parse.DATE_FORMATS],
+        "timestamp": [parse.fixed_width(f)[0] for f in parse.TIMESTAMP_FORMATS],
+    }
+    trimmed = tall.select("column", "value", F.trim("value").alias("text"))
+    shaped = trimmed.select("*", parse.shape_of(F.col("text")).alias("shape"))
+    numeric = F.substring("shape", 1, 1).isin("0", "+", "-", ".") & F.col("text").rlike(parse.NUMBER_SHAPE)
+    tested = shaped.select(
         "column",
         "value",
-        F.lower(value).isin(words).alias("boolean"),
-        *[_to_inferred(F.col("value"), t).isNotNull().alias(t) for t in ("date", "timestamp")],
-        parse.number_text(value).alias("number"),
+        "text",
+        ((F.length("text") <= 5) & F.lower("text").isin(words)).alias("boolean"),
+        *[(F.col("shape").isin(fits) & _to_inferred(F.col("text"), t).isNotNull()).alias(t) for t, fits in shapes.items()],
+        numeric.alias("is_number"),
+    )
+    # Where the parts of a number are, without another expression: sign, whole digits, fraction, exponent.
+    number = F.when(F.col("is_number"), F.lower("text"))
+    parts = tested.select("column", "value", "boolean", "date", "timestamp", "is_number", number.alias("n")).select(
+        "*", F.instr("n", "e").alias("e"), F.instr("n", ".").alias("dot"), F.substring("n", 1, 1).isin("+", "-").cast("int").alias("sign")
+    )
+    mantissa_end = F.when(F.col("e") > 0, F.col("e") - 1).otherwise(F.length("n"))
+    digits = parts.select(
+        "*",
+        (F.when(F.col("dot") > 0, F.col("dot") - 1).otherwise(mantissa_end) - F.col("sign")).alias("whole"),
+        F.when(F.col("dot") > 0, mantissa_end - F.col("dot")).otherwise(0).alias("behind"),
+        F.when(F.col("e") > 0, F.col("n").substr(F.col("e") + 1, F.lit(12)).try_cast("int")).otherwise(F.lit(0)).alias("power"),
     )
 
     def share(test: Column) -> Column:
         return F.avg(F.when(F.col("value").isNotNull(), F.coalesce(test, F.lit(False)).cast("int")))
 
-    number = F.col("number")
-    fraction = number.isNotNull() & F.col("value").contains(".")
-    part = F.when(number.isNotNull(), value)
-    whole = F.length(F.regexp_extract(part, r"^[+-]?(\d*)", 1))
-    behind = F.length(F.regexp_extract(part, r"\.(\d*)", 1))
-    return tested.groupBy("column").agg(
+    is_number = F.coalesce(F.col("is_number"), F.lit(False))
+    has_power = is_number & (F.col("e") > 0)
+    # An exponent that is no 32-bit number makes the value too wide for anything but text.
+    whole = F.greatest(F.col("whole") + F.coalesce("power", F.lit(1000)), F.lit(1))
+    behind = F.greatest(F.col("behind") - F.coalesce("power", F.lit(0)), F.lit(0))
+    leading = is_number & (F.col("whole") > 1) & (F.col("n").substr(F.col("sign") + 1, F.lit(1)) == "0")
+    return digits.groupBy("column").agg(
         F.count("value").alias("filled"),
         *[share(F.col(t)).alias(t) for t in ("boolean", "date", "timestamp")],
-        share(number.isNotNull()).alias("number"),
-        F.bool_or(fraction).alias("any_decimal"),
-        F.bool_or(F.coalesce(F.lower(part).contains("e"), F.lit(False))).alias("any_exponent"),
-        F.max(F.abs(number)).alias("max_abs"),
-        F.max(whole).alias("whole_digits"),
-        F.max(behind).alias("scale"),
+        share(F.col("is_number")).alias("number"),
+        F.bool_or(is_number & (F.col("dot") > 0)).alias("any_decimal"),
+        F.bool_or(has_power).alias("any_exponent"),
+        F.bool_or(is_number & (F.col("e") == 0)).alias("any_plain"),
+        F.bool_or(leading).alias("any_leading_zero"),
+        F.bool_or(is_number & ~F.coalesce(F.col("boolean"), F.lit(False))).alias("any_other_number"),
+        F.max(F.abs(F.when(is_number, F.col("n").try_cast("double")))).alias("max_abs"),
+        F.max(F.when(is_number, whole)).alias("whole_digits"),
+        F.max(F.when(is_number, behind)).alias("scale"),
+        F.max(F.when(is_number, F.col("whole") + F.col("behind"))).alias("significant"),
     )
 
 
+#: Digits that every double holds.
+DOUBLE_DIGITS = 15
+MAX_DIGITS = 38
+
+
 def decided_type(threshold: float = 0.9) -> Column:
     """Boolean, then date, then timestamp, then number; else text.
 
-    A number type holds every digit that was seen: wide or finely divided values widen the decimal, exponents make
-    a double, and values of more than 38 digits stay text.
+    A number type holds every digit that was seen. Wide or finely divided values widen the decimal, an exponent beside
+    plain numbers counts as the digits it stands for, exponents alone make a double if it holds their digits, and what
+    no number type holds stays text. A zero before other digits is part of a name, not of a number, so such a
+    column is text. Words that are also numbers make a boolean only if no other number was seen.
     """
-    scale = F.when(F.col("any_decimal"), F.greatest(F.col("scale"), F.lit(2))).otherwise(F.lit(0))
+    scale = F.when(F.col("any_decimal") | (F.col("scale") > 0), F.greatest(F.col("scale"), F.lit(2))).otherwise(F.lit(0))
     digits = F.greatest(F.col("whole_digits") + scale, F.lit(18))
-    exact = F.when(digits > 38, F.lit("string")).otherwise(F.format_string("decimal(%d,%d)", digits, scale))
+    fits_double = (F.col("significant") <= DOUBLE_DIGITS) & (F.col("whole_digits") < 300) & (F.col("scale") < 300)
+    wide = F.when(F.col("any_exponent") & fits_double, F.lit("double")).otherwise(F.lit("string"))
+    exact = F.when(digits > MAX_DIGITS, wide).otherwise(F.format_string("decimal(%d,%d)", digits, scale))
     number = (
-        F.when(F.col("any_exponent"), F.lit("double"))
-        .when(F.col("any_decimal") | (F.col("whole_digits") > 18), exact)
+        F.when(F.col("any_leading_zero"), F.lit("string"))
+        .when(F.col("any_exponent") & ~F.col("any_plain"), wide)
+        .when(F.col("any_exponent") | F.col("any_decimal") | (F.col("whole_digits") > 18), exact)
         .when(F.col("max_abs") > MAX_INT, F.lit("bigint"))
         .otherwise(F.lit("int"))
     )
     return (
         F.when(F.col("filled") == 0, F.lit("string"))
-        .when(F.col("boolean") >= threshold, F.lit("boolean"))
+        .when((F.col("boolean") >= threshold) & ~F.col("any_other_number"), F.lit("boolean"))
         .when(F.col("date") >= threshold, F.lit("date"))
         .when(F.col("timestamp") >= threshold, F.lit("timestamp"))
         .when(F.col("number") >= threshold, number)
@@ -91,7 +135,10 @@ def decided_type(threshold: float = 0.9) -> Column:
 def infer_types(
     df: DataFrame, threshold: float = 0.9, exclude: tuple[str, ...] = (), ints_as_bool: bool = True
 ) -> dict[str, str]:
-    """Column to target type. Runs one aggregate; the result has one row per column."""
+    """Column to target type. Runs one aggregate; the result has one row per column.
+
+    At the default threshold up to a tenth of a column may not fit its type; take ``misfits`` along, or infer at 1.0.
+    """
     profile = inference_profile(df, exclude, ints_as_bool)
     rows = profile.select("column", decided_type(threshold).alias("type")).collect()
     return {r["column"]: r["type"] for r in rows if r["type"] != "string"}
@@ -112,12 +159,24 @@ def _to_inferred(c: Column, target: str) -> Column:
 
 
 def apply_types(df: DataFrame, plan: dict[str, str]) -> DataFrame:
-    return df.select(
+    """Convert the planned text columns.
+
+    Dates and times take two steps, shapes first, so that the conversion names a column instead of repeating the
+    expression that makes it: methods that long are not compiled by the JVM.
+    """
+    planned = {c: plan[c] for c in text_columns(df) if c in plan}
+    timed = [c for c, t in planned.items() if t in ("date", "timestamp")]
+    readers = {"date": parse.date_text, "timestamp": parse.timestamp_text}
+    trimmed = df.withColumns({f"_text_{c}": F.trim(f"`{c}`") for c in timed}) if timed else df
+    shaped = trimmed.withColumns({f"_shape_{c}": parse.shape_of(F.col(f"`_text_{c}`")) for c in timed}) if timed else df
+    return shaped.select(
         *[
-            _to_inferred(F.col(f"`{f.name}`"), plan[f.name]).alias(f.name)
-            if f.name in plan and isinstance(f.dataType, T.StringType)
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
+            readers[planned[c]](F.col(f"`_text_{c}`"), shape=F.col(f"`_shape_{c}`")).alias(c)
+            if c in timed
+            else _to_inferred(F.col(f"`{c}`"), planned[c]).alias(c)
+            if c in planned
+            else F.col(f"`{c}`")
+            for c in df.columns
         ]
     )
 

@@ -21,6 +21,7 @@ from tributary.operators import (
     nested,
     partials,
     quality,
+    type_plan,
     typing,
 )
 from tributary.session import materialize, scratch_path
@@ -32,12 +33,18 @@ def to_silver(
     spec: SilverSpec,
     meter: lineage.StageMeter | None = None,
     issues: Callable[[DataFrame], None] | None = None,
+    types: str | None = None,
+    run: str = "first",
 ) -> DataFrame:
     """Flatten, clean, normalize, convert types, resolve duplicates, handle gaps.
 
     Types are converted before dates are compared, so an epoch is never parsed
-    as text. Only type inference runs a job of its own. ``issues`` is given
-    the values that did not fit their column's inferred type.
+    as text. Only type inference runs a job of its own, and only types that hold
+    every value are inferred. ``issues`` allows types that a tenth of a column
+    does not fit, and is given those values. ``types`` names the folder of a
+    stored plan: then only columns that no run has seen are profiled, values
+    that do not fit stay in ``_untyped``, and ``type_plan.learn`` on the written
+    rows widens the plan for the next run.
     """
 
     def watch(df: DataFrame, stage: str) -> DataFrame:
@@ -51,10 +58,13 @@ def to_silver(
         # Contacts are text whatever they look like: a phone number must not become a number.
         contacts = tuple(c for c, rule in spec.normalize.items() if rule["type"].startswith(("email", "phone")))
         fixed = tuple(spec.exclude) + contacts + tuple(spec.convert) + tuple(spec.keys)
-        plan = typing.infer_types(df, exclude=fixed)
-        if issues:
-            issues(typing.misfits(df, plan, list(spec.keys)))
-        df = typing.apply_types(df, plan)
+        if types:
+            df = type_plan.typed(df, types, run, fixed)
+        else:
+            plan = typing.infer_types(df, 0.9 if issues else 1.0, fixed)
+            if issues:
+                issues(typing.misfits(df, plan, list(spec.keys)))
+            df = typing.apply_types(df, plan)
     df = watch(df, "types")
     df = watch(dedup.resolve_conflicts(df, list(spec.keys), spec.order_column), "resolve")
     df = gaps.handle_gaps(df, list(spec.critical), dict(spec.defaults), spec.reject_incomplete)

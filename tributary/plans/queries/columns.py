@@ -348,6 +348,68 @@ def infer_wide_numbers(spark, sf):
     return typed.select("event_id", exact[0], exact[1], "power", F.date_format("day", "yyyy-MM-dd").alias("day"), exact[2])
 
 
+@query(
+    "infer_leading_zeros",
+    """
+    SELECT event_id, lpad(CAST(user_id AS VARCHAR), 7, '0') AS code, '-0' || event_id AS signed, CAST(event_id AS INTEGER) AS plain,
+           '0.' || event_id || '1' AS fraction
+    FROM events
+    """,
+)
+def infer_leading_zeros(spark, sf):
+    """A zero before other digits is part of a name: such columns stay text, character by character."""
+    key = F.col("event_id").cast("string")
+    raw = table(spark, sf, "events").select(
+        "event_id", F.lpad(F.col("user_id").cast("string"), 7, "0").alias("code"), F.concat(F.lit("-0"), key).alias("signed"),
+        key.alias("plain"), F.concat(F.lit("0."), key, F.lit("1")).alias("fraction"),
+    )
+    typed = typing.apply_types(raw, typing.infer_types(raw, 1.0))
+    # The scale of the decimal is that of the longest fraction.
+    return typed.withColumn("fraction", F.regexp_replace(F.col("fraction").cast("string"), "0+$", ""))
+
+
+@query(
+    "infer_mixed_exponents",
+    """
+    SELECT event_id, CASE WHEN event_id % 1000 = 7 THEN '1000.00' ELSE (event_id + 12345678901234567) || '.25' END AS exact,
+           CASE WHEN event_id % 1000 = 7 THEN '1e40' ELSE (event_id + 12345678901234567) || '.25' END AS too_wide,
+           CASE WHEN event_id % 1000 = 7 THEN '0.00' ELSE event_id || '.50' END AS small
+    FROM events
+    """,
+)
+def infer_mixed_exponents(spark, sf):
+    """A few exponents beside exact decimals: a decimal wide enough for both, or text where there is none."""
+    key, rare = F.col("event_id").cast("string"), F.col("event_id") % 1000 == 7
+    long = F.concat((F.col("event_id") + 12345678901234567).cast("string"), F.lit(".25"))
+    raw = table(spark, sf, "events").select(
+        "event_id", F.when(rare, "1e3").otherwise(long).alias("exact"), F.when(rare, "1e40").otherwise(long).alias("too_wide"),
+        F.when(rare, "0e0").otherwise(F.concat(key, F.lit(".50"))).alias("small"),
+    )
+    typed = typing.apply_types(raw, typing.infer_types(raw, 1.0))
+    return typed.select("event_id", *[F.col(c).cast("string").alias(c) for c in ("exact", "too_wide", "small")])
+
+
+@query(
+    "infer_mostly_flags",
+    """
+    SELECT event_id, CASE WHEN event_id % 20 = 3 THEN 7 ELSE 1 END::INTEGER AS quantity, event_id % 2 = 0 AS flag,
+           CASE WHEN event_id % 20 = 3 THEN 'maybe' ELSE 'yes' END AS answer
+    FROM events
+    """,
+)
+def infer_mostly_flags(spark, sf):
+    """Flags only if every value is one: a few other numbers make a number, a few other words leave text."""
+    rare = F.col("event_id") % 20 == 3
+    raw = table(spark, sf, "events").select(
+        "event_id", F.when(rare, "7").otherwise("1").alias("quantity"), (F.col("event_id") % 2 == 0).cast("int").cast("string").alias("flag"),
+        F.when(rare, "maybe").otherwise("yes").alias("answer"),
+    )
+    at_ninety = typing.infer_types(raw.select("quantity"))
+    if at_ninety != {"quantity": "int"}:
+        raise ValueError(f"quantities became {at_ninety}")
+    return typing.apply_types(raw, typing.infer_types(raw, 1.0))
+
+
 @query(
     "infer_document_types",
     r"""

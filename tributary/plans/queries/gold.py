@@ -300,6 +300,25 @@ def range_join(spark, sf):
     return out.select("event_id", "slot", "n")
 
 
+@query(
+    "range_join_open",
+    """
+    WITH r AS (SELECT user_id, date_trunc('second', min(ts) FILTER (WHERE event_type = 'purchase')) AS lo,
+                      date_trunc('second', max(ts) FILTER (WHERE event_type = 'error')) AS hi FROM events GROUP BY user_id)
+    SELECT e.event_id, r.lo IS NULL AS from_start, r.hi IS NULL AS to_end
+    FROM events e JOIN r ON e.user_id = r.user_id AND (r.lo IS NULL OR e.ts >= r.lo) AND (r.hi IS NULL OR e.ts < r.hi)
+      AND (r.lo IS NULL OR r.hi IS NULL OR r.hi > r.lo)
+    """,
+)
+def range_join_open(spark, sf):
+    """Events from each user's first purchase to the last error; without one or the other that end is open."""
+    e = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    when = lambda kind: F.when(F.col("event_type") == kind, F.date_trunc("second", "ts").cast("timestamp_ntz"))
+    spans = e.groupBy("user_id").agg(F.min(when("purchase")).alias("lo"), F.max(when("error")).alias("hi"))
+    out = joins.range_join_open(e.drop("event_type"), spans, ["user_id"], "ts", "lo", "hi", 3600)
+    return out.select("event_id", F.col("lo").isNull().alias("from_start"), F.col("hi").isNull().alias("to_end"))
+
+
 @query(
     "adjacent_slots",
     """

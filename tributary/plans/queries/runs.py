@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from tributary.config import AggSpec, ColumnSpec, FieldMap, GoldSpec, Metric, RuleSet, TableSpec
 from tributary.functions.money import minor
-from tributary.operators import quality
+from tributary.operators import quality, type_plan
 from tributary.plans.layers import publish, to_gold
 from tributary.plans.registry import query, table
-from tributary.session import scratch_path
+from tributary.session import materialize, scratch_path
 from tributary.sources import readers
 
 AT = "2002-01-01"
@@ -148,3 +148,32 @@ def unique_per_client(spark, sf):
     return found.select(
         parts[0].alias("client_id"), parts[1].cast("bigint").alias("id"), parts[2].cast("bigint").alias("line"), "error_message"
     )
+
+
+@query(
+    "type_plan_runs",
+    """
+    SELECT event_id, 'second' AS run, CASE WHEN event_id % 50 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS buyer,
+           CASE WHEN event_id % 50 = 0 THEN '{"buyer":"U' || user_id || '"}' END AS kept, 'int' AS plan FROM events
+    UNION ALL
+    SELECT event_id, 'third', CASE WHEN event_id % 50 = 0 THEN 'U' || user_id ELSE CAST(user_id AS VARCHAR) END, NULL, 'string' FROM events
+    """,
+)
+def type_plan_runs(spark, sf):
+    """The first run profiles; the second converts by its plan and keeps what does not fit; the third has the wider plan."""
+    path = scratch_path(spark, "types")
+    buyer = F.col("user_id").cast("string")
+    first = table(spark, sf, "events").select("event_id", buyer.alias("buyer"))
+    later = first.withColumn("buyer", F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("U"), "buyer")).otherwise(F.col("buyer")))
+    type_plan.typed(first, path, "first")
+    out = None
+    for run in ("second", "third"):
+        plan = type_plan.load(spark, path)
+        rows = materialize(type_plan.typed(later, path, run), "typed")
+        type_plan.learn(rows, path, run)
+        one = rows.select(
+            "event_id", F.lit(run).alias("run"), F.col("buyer").cast("string").alias("buyer"), F.col(type_plan.UNTYPED).alias("kept"),
+            F.lit(plan["buyer"]).alias("plan"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out

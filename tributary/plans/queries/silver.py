@@ -480,11 +480,11 @@ def forward_fill(spark, sf):
     "interpolate",
     f"""
     WITH n AS (
-      SELECT *, epoch_us(ts) // 1000000 AS s,
+      SELECT *, epoch_us(ts) AS s,
         last_value(v IGNORE NULLS) OVER b AS bv,
-        last_value(CASE WHEN v IS NOT NULL THEN epoch_us(ts) // 1000000 END IGNORE NULLS) OVER b AS bs,
+        last_value(CASE WHEN v IS NOT NULL THEN epoch_us(ts) END IGNORE NULLS) OVER b AS bs,
         first_value(v IGNORE NULLS) OVER a AS av,
-        first_value(CASE WHEN v IS NOT NULL THEN epoch_us(ts) // 1000000 END IGNORE NULLS) OVER a AS "as"
+        first_value(CASE WHEN v IS NOT NULL THEN epoch_us(ts) END IGNORE NULLS) OVER a AS "as"
       FROM ({_THIN})
       WINDOW b AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
              a AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
