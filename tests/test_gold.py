@@ -199,20 +199,38 @@ def test_a_range_costs_few_rows_whatever_its_length(spark):
         assert spans[0][0] == r.a and spans[-1][1] == r.b + 1 and all(x[1] == y[0] for x, y in zip(spans, spans[1:]))
 
 
-def test_upsert_versions_and_rollback(spark, tmp_path, rows):
+def test_history_reads_as_of_any_moment(spark, rows):
+    history = spark.createDataFrame([("a", 1, 10), ("b", 1, 10), ("b", 2, 20), ("c", 3, 20), ("a", 9, 30)], "id string, counter int, at int")
+    assert rows(tables.as_of(history, ["id"], "at", 10), "id", "counter") == [("a", 1), ("b", 1)]
+    assert rows(tables.as_of(history, ["id"], "at", 25), "id", "counter") == [("a", 1), ("b", 2), ("c", 3)]
+    assert rows(tables.as_of(history, ["id"], "at", 5)) == []
+
+
+def test_range_replace_removes_days_without_rows(spark, tmp_path, rows):
     path = str(tmp_path / "t")
-    v1 = spark.createDataFrame([("a", 1), ("b", 1)], "id string, counter int")
-    assert tables.snapshots(spark, path) is None
-    assert tables.save_version(v1, path, AT()) == 1
-    v2 = tables.upsert(tables.read_version(spark, path), spark.createDataFrame([("b", 2), ("c", 3)], v1.schema), ["id"])
-    assert tables.save_version(v2, path, AT()) == 2
-    assert rows(tables.read_version(spark, path)) == [("a", 1), ("b", 2), ("c", 3)]
-    assert tables.rollback(spark, path, 1, AT()) == 3
-    assert rows(tables.read_version(spark, path)) == rows(v1)
-    assert rows(tables.read_version(spark, path, 2)) == [("a", 1), ("b", 2), ("c", 3)]
-    assert [r.version for r in tables.snapshots(spark, path).collect()] == [3, 2, 1]
-    with pytest.raises(ValueError):
-        tables.read_version(spark, path, 9)
+    old = spark.createDataFrame([(n, d) for n, d in enumerate([1, 2, 3, 4, 4])], "n int, day int")
+    old.write.partitionBy("day").parquet(path)
+    new = spark.createDataFrame([(9, 2), (10, 4)], "n int, day int")
+    gone = tables.replace_range_path(spark, path, new, ["day"], F.col("day").between(2, 4))
+    assert [g.rsplit("/", 1)[1] for g in gone] == ["day=3"] and not (tmp_path / "t" / "day=3").exists()
+    assert rows(spark.read.parquet(path)) == [(0, 1), (10, 4), (9, 2)]
+    before = rows(spark.read.parquet(path))
+    with pytest.raises(ValueError, match="outside the range"):
+        tables.replace_range_path(spark, path, new, ["day"], F.col("day") == 2)
+    assert rows(spark.read.parquet(path)) == before
+    # No rows at all empty the range.
+    tables.replace_range_path(spark, path, new.limit(0), ["day"], F.col("day") >= 2)
+    assert rows(spark.read.parquet(path)) == [(0, 1)]
+    assert tables.replace_range_path(spark, path, new, ["day"]) == []
+
+
+def test_a_record_that_changes_its_partition_is_not_kept_twice(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "x", "a"), (2, "x", "b"), (3, "x", "b")], "k int, v string, p string").write.partitionBy("p").parquet(path)
+    moved = spark.createDataFrame([(1, "y", "b"), (4, "n", "c")], "k int, v string, p string")
+    tables.upsert_path(spark, path, moved, ["k"], ["p"], moving=True)
+    assert rows(spark.read.parquet(path)) == [(1, "y", "b"), (2, "x", "b"), (3, "x", "b"), (4, "n", "c")]
+    assert not (tmp_path / "t" / "p=a").exists()
 
 
 def test_upsert_path_rewrites_only_touched_partitions(spark, tmp_path, rows):
@@ -323,6 +341,31 @@ def test_prime_by_promotion_first(spark):
     assert [r[0] for r in df.select(kpi.prime_group(F.col("p"), F.col("o"))).collect()] == ["PRIME", "PRIME", "NO PRIME", "NO PRIME"]
 
 
+def test_allocation_conserves_margins(spark):
+    items = spark.createDataFrame(
+        [("o1", "m1", 10, 900, 1000), ("o1", "m2", 2, 900, 100), ("o2", "m1", 4, 50, 999), ("o3", "m", 5, 9, -70), ("o4", "none", 1, 1, 5)],
+        "order_id string, material_id string, quantity bigint, net bigint, margin bigint",
+    )
+    lines = spark.createDataFrame(
+        [("o1", "m1", "a", 10, -30, 900), ("o1", "m1", "b", 10, -30, 900), ("o1", "m1", "c", 10, -30, 900), ("o1", "m2", "a", 2, 0, 900),
+         ("o1", "m2", "b", 2, None, 900), ("o2", "m1", "a", 1, -5, 50), ("o3", "m", "a", 5, -1, 9), ("o3", "m", "b", 5, -2, 9), ("o9", "m", "a", 1, -1, 1)],
+        "order_id string, material_id string, promotion string, quantity bigint, discount bigint, net bigint",
+    )
+    got = promotions.allocate(items, lines).collect()
+    by_item = {}
+    for r in got:
+        by_item.setdefault((r.order_id, r.material_id), []).append(r)
+    assert set(by_item) == {("o1", "m1"), ("o1", "m2"), ("o2", "m1"), ("o3", "m")}
+    margins = {(r.order_id, r.material_id): r.margin for r in items.collect()}
+    for key, mine in by_item.items():
+        assert round(sum(r.share for r in mine), 9) == 1.0
+        assert sum(r.promo_margin + r.rest_margin for r in mine) == margins[key]
+    assert sorted(r.promo_margin for r in by_item["o1", "m1"]) == [333, 333, 334]
+    assert [r.share for r in by_item["o1", "m2"]] == [0.5, 0.5]
+    # Four were sold, one with the promotion, and 999 is over its net of 50: a quarter stays, the rest is the others'.
+    assert [(r.promo_margin, r.rest_margin) for r in by_item["o2", "m1"]] == [(250, 749)]
+
+
 def test_discount_share_small(spark):
     lines = spark.createDataFrame(
         [("o", "m", "p1", 1.0, -300, 100, 500), ("o", "m", "p2", 1.0, -100, 100, 500), ("o", "n", "p1", 2.0, 0, 100, 10)],
@@ -382,15 +425,10 @@ def test_ops_flags_pickup(spark):
     assert (got[2].provider, got[2].minutes_from_window, got[2].picked, got[2].collected) == ("own", None, 0, 0)
 
 
-def test_compact_keeps_partitions_and_unreadable_logs_fail(spark, tmp_path, rows):
-    from pyspark.errors import AnalysisException
-
-    source, target, broken = (str(tmp_path / n) for n in ("many", "few", "broken"))
+def test_compact_keeps_partitions(spark, tmp_path, rows):
+    source, target = (str(tmp_path / n) for n in ("many", "few"))
     df = spark.range(100).select(F.col("id"), (F.col("id") % 3).alias("day"))
     df.repartition(8).write.partitionBy("day").parquet(source)
     tables.compact(spark, source, target, by=["day"])
     assert sorted(p.name for p in (tmp_path / "few").glob("day=*")) == ["day=0", "day=1", "day=2"]
     assert rows(spark.read.parquet(target).select("id", "day")) == rows(df)
-    (tmp_path / "broken" / "log").mkdir(parents=True)
-    with pytest.raises(AnalysisException):
-        tables.snapshots(spark, broken)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.config import AggSpec, ColumnSpec, FieldMap, GoldSpec, Metric, RuleSet, SilverSpec, TableSpec
-from tributary.operators import aggregate, partials, quality, type_plan, typing
+from tributary.operators import aggregate, lineage, partials, quality, type_plan, typing
 from tributary.plans import layers
 from tributary.sources import readers
 
@@ -160,3 +160,19 @@ def test_silver_infers_without_loss_and_keeps_its_plan(spark, rows, tmp_path):
     assert first.filter("_untyped is not null").count() == 0 and again.filter("quantity is null").count() == 100
     type_plan.learn(again, path, "b")
     assert dict(layers.to_silver(bronze, spec, types=path, run="c").dtypes)["quantity"] == "decimal(18,2)"
+
+
+def test_durations_are_measured_and_ranked(spark, rows, tmp_path):
+    meter = lineage.StageMeter("p")
+    one = meter.timed(spark.range(50), "read", str(tmp_path / "copy"))
+    two = meter.watch(one.filter("id < 20"), "filter")
+    meter.timed(two, "keep")
+    for _ in range(2):
+        lineage.write_report(meter.report(spark, AT()), str(tmp_path / "r"), "run1")
+    back = lineage.read_reports(spark, str(tmp_path / "r"))
+    assert rows(back, "stage", "records_in", "records_out", "run") == [("filter", 50, 20, "run1"), ("keep", 20, 20, "run1"), ("read", 50, 50, "run1")]
+    seconds = {r.stage: r.duration_seconds for r in back.collect()}
+    assert seconds["filter"] is None and seconds["read"] > 0 and seconds["keep"] > 0
+    first = lineage.slowest(back, 1).first()
+    assert first.duration_seconds == max(seconds["read"], seconds["keep"])
+    assert spark.read.parquet(str(tmp_path / "copy")).count() == 50

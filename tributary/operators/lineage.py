@@ -1,11 +1,14 @@
-"""Where rows came from, and whether they changed."""
+"""Where rows came from, whether they changed, and how long each stage took."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tributary.functions.money import ratio
+from tributary.session import materialize
 
 
 def row_hash(df: DataFrame, null_mark: str | None = None) -> Column:
@@ -66,21 +69,38 @@ class StageMeter:
     def __init__(self, pipeline_id: str):
         self.pipeline_id = pipeline_id
         self._seen: list[tuple[str, Observation]] = []
+        #: Start and length of staged stages, by position.
+        self._clock: dict[int, tuple[float, float]] = {}
 
     def watch(self, df: DataFrame, stage: str) -> DataFrame:
         seen = Observation(f"{self.pipeline_id}:{len(self._seen)}:{stage}")
         self._seen.append((stage, seen))
         return df.observe(seen, F.count(F.lit(1)).alias("rows"))
 
+    def timed(self, df: DataFrame, stage: str, path: str | None = None) -> DataFrame:
+        """Count a stage and measure it: the rows are staged, and the clock runs around that write.
+
+        Spark runs unstaged operators together, so only what lies between two staged copies has a duration of its own.
+        """
+        position = len(self._seen)
+        watched = self.watch(df, stage)
+        started = time.time()
+        begin = time.perf_counter()
+        staged = materialize(watched, f"stage-{position}", path)
+        self._clock[position] = (started, time.perf_counter() - begin)
+        return staged
+
     def report(self, spark, at: Column, status: str = "success") -> DataFrame:
         """One row per stage: in, out, dropped and drop rate. Call after the write."""
         counts = [(n, s, o.get["rows"]) for n, (s, o) in enumerate(self._seen)]
         rows = []
         for n, stage, out in counts:
             came = counts[n - 1][2] if n else out
-            rows.append((self.pipeline_id, n, stage, came, out))
+            rows.append((self.pipeline_id, n, stage, came, out, *self._clock.get(n, (None, None))))
         df = spark.createDataFrame(
-            rows, "pipeline_id string, position int, stage string, records_in bigint, records_out bigint"
+            rows,
+            "pipeline_id string, position int, stage string, records_in bigint, records_out bigint, "
+            "started_epoch double, duration_seconds double",
         )
         dropped = F.col("records_in") - F.col("records_out")
         return df.withColumns(
@@ -93,6 +113,15 @@ class StageMeter:
         )
 
 
+def write_report(report: DataFrame, path: str, run: str) -> None:
+    """Add a run's report to the table of reports; a repeated run replaces its own."""
+    materialize(report.withColumn("run", F.lit(run)).coalesce(1), path=f"{path}/{run}")
+
+
+def read_reports(spark, path: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", "true").parquet(path)
+
+
 def slowest(metrics: DataFrame, k: int, column: str = "duration_seconds") -> DataFrame:
     """The ``k`` longest runs; this limit is the report itself."""
     return metrics.orderBy(F.col(column).desc(), *[c for c in metrics.columns if c != column]).limit(k)

@@ -1,4 +1,4 @@
-"""Changing a table: upsert, replace, history and layout, on plain files.
+"""Changing a table: upsert, replace, as-of reads and layout, on plain files.
 
 Functions on DataFrames say what the table becomes; functions with a path do
 it while touching only the partitions involved.
@@ -77,23 +77,77 @@ def _touched(source: DataFrame, by: list[str]) -> Column:
     return condition
 
 
-def upsert_path(spark: SparkSession, path: str, source: DataFrame, keys: list[str], by: list[str]) -> None:
-    """Upsert into partitioned Parquet: only the partitions of the source are rewritten.
+def upsert_path(
+    spark: SparkSession, path: str, source: DataFrame, keys: list[str], by: list[str], moving: bool = False
+) -> None:
+    """Upsert into partitioned Parquet: only the partitions involved are rewritten.
 
-    The partition must follow from the key (an order's creation day does), so a
-    record cannot sit in another partition.
+    Normally the partition follows from the key (an order's creation day does), and the partitions of the source are
+    those involved. Where a record may change its partition, say ``moving``: the keys of the whole table are then read
+    to find the partitions that hold the source's keys now, and those are rewritten too.
     """
     from tributary.session import materialize
 
     source = materialize(source, "upsert-source")
-    old = spark.read.parquet(path).filter(_touched(source, by))
+    table = spark.read.parquet(path)
+    involved = source.select(*by).distinct()
+    if moving:
+        wanted = source.select(*[F.col(f"`{k}`").alias(f"_w_{k}") for k in keys]).distinct()
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"`_w_{k}`"))
+        held = table.select(*dict.fromkeys([*keys, *by])).join(wanted, same, "left_semi").select(*by).distinct()
+        involved = involved.unionByName(held)
+    old = table.filter(_touched(involved, by))
     merged = materialize(upsert(old, source, keys), "upsert-merged")
+    # A partition that loses its last record gets no rows to overwrite it with.
+    emptied = stale_partitions(spark, path, merged, by, _touched(involved, by)) if moving else []
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    _remove(spark, emptied)
 
 
-def replace_range_path(spark: SparkSession, path: str, source: DataFrame, by: list[str]) -> None:
-    """Replace whole partitions by the source's rows for them."""
+def stale_partitions(spark: SparkSession, path: str, source: DataFrame, by: list[str], inside: Column) -> list[str]:
+    """Folders of the partitions that ``inside`` selects and that ``source`` has no row for.
+
+    Partition values come from the layout, so no data column is read; the list is as long as the range has partitions.
+    """
+    table = spark.read.parquet(path)
+    here = table.filter(inside).select(*[F.col(f"`{c}`") for c in by], F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder"))
+    filled = source.select(*[F.col(f"`{c}`").cast(table.schema[c].dataType).alias(f"_f_{c}") for c in by]).distinct()
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"`_f_{c}`"))
+    return sorted(r[0] for r in here.distinct().join(filled, same, "left_anti").select("_folder").distinct().collect())
+
+
+def _remove(spark: SparkSession, folders: list[str]) -> None:
+    """Remove folders through Spark's own file system client."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        place = jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(conf).delete(place, True)
+
+
+def replace_range_path(spark: SparkSession, path: str, source: DataFrame, by: list[str], inside: Column | None = None) -> list[str]:
+    """Replace the partitions of a range by the source's rows; returns the folders that became empty and were removed.
+
+    ``inside`` is a condition on the partition columns, such as days of a window. Source rows outside it are an error.
+    The source is staged first and written before anything is removed, so a failure leaves old rows, never a
+    hole, and the next run settles it. Without ``inside`` only the partitions of the source change.
+    """
+    from tributary.session import materialize
+
+    if inside is None:
+        source.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+        return []
+    source = materialize(source, "range-source")
+    outside = source.filter(~F.coalesce(inside, F.lit(False))).limit(1).count()
+    if outside:
+        raise ValueError("source rows outside the range that is replaced")
+    stale = stale_partitions(spark, path, source, by, inside)
     source.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    _remove(spark, stale)
+    return stale
 
 
 def as_of(history: DataFrame, keys: list[str], ts_col: str, ts, tie: list[Column] | None = None) -> DataFrame:
@@ -102,60 +156,6 @@ def as_of(history: DataFrame, keys: list[str], ts_col: str, ts, tie: list[Column
     return top_per_key(seen, keys, [F.col(ts_col).desc(), *(tie or [])])
 
 
-def save_version(df: DataFrame, path: str, at: Column, note: str = "") -> int:
-    """Write a full new version beside the old ones and log it. The log row makes it visible."""
-    spark = df.sparkSession
-    done = snapshots(spark, path)
-    last = done.agg(F.max("version")).first()[0] if done is not None else None
-    number = (last or 0) + 1
-    df.write.mode("overwrite").parquet(f"{path}/data/version={number}")
-    _log(spark, path, number, number, at, note or "write")
-    return number
-
-
-def _log(spark: SparkSession, path: str, version: int, data: int, at: Column, note: str) -> None:
-    row = spark.range(1).select(
-        F.lit(version).cast("bigint").alias("version"),
-        F.lit(data).cast("bigint").alias("data_version"),
-        at.alias("committed_at"),
-        F.lit(note).alias("note"),
-    )
-    row.coalesce(1).write.mode("append").parquet(f"{path}/log")
-
-
-def snapshots(spark: SparkSession, path: str) -> DataFrame | None:
-    """Versions, newest first; None before the first write. Any other failure to read the log is an error."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(f"{path}/log").orderBy(F.col("version").desc())
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    log = snapshots(spark, path)
-    if log is None:
-        raise ValueError(f"no versions at {path}")
-    wanted = log if version is None else log.filter(F.col("version") == version)
-    row = wanted.orderBy(F.col("version").desc()).first()
-    if row is None:
-        raise ValueError(f"no version {version} at {path}")
-    return spark.read.parquet(f"{path}/data/version={row['data_version']}")
-
-
-def rollback(spark: SparkSession, path: str, version: int, at: Column) -> int:
-    """Make an old version current by a new log row; nothing is copied or deleted."""
-    row = snapshots(spark, path).filter(F.col("version") == version).first()
-    if row is None:
-        raise ValueError(f"no version {version} at {path}")
-    newest = snapshots(spark, path).agg(F.max("version")).first()[0]
-    _log(spark, path, newest + 1, row["data_version"], at, f"rollback to {version}")
-    return newest + 1
-
-
 def compact(
     spark: SparkSession, source: str, target: str, target_bytes: int = 128 * 1024 * 1024, by: list[str] | None = None
 ) -> int:

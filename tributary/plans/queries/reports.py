@@ -261,6 +261,43 @@ def discount_share(spark, sf):
     )
 
 
+@query(
+    "promotion_allocation",
+    """
+    WITH l AS (SELECT l_orderkey AS order_id, l_returnflag AS material_id, l_linenumber AS line, CAST(l_quantity AS BIGINT) AS q,
+                 CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS net, CAST(floor(l_extendedprice * l_discount * 100 + 0.5) AS BIGINT) AS d,
+                 CAST(floor(l_extendedprice * l_tax * 100 + 0.5) AS BIGINT) AS t, CAST(floor(l_extendedprice * 250 + 0.5) AS BIGINT) AS m FROM lineitem),
+    i AS (SELECT order_id, material_id, CAST(sum(q) AS BIGINT) AS iq, CAST(sum(m) AS BIGINT) AS im FROM l GROUP BY ALL),
+    p AS (SELECT order_id, material_id, 'coupon' AS promotion, line, q, net, d AS discount FROM l
+          UNION ALL SELECT order_id, material_id, 'season', line, q, net, t FROM l),
+    w AS (SELECT *, CASE WHEN sum(discount) OVER it > 0 THEN discount ELSE 1 END AS wt FROM p WINDOW it AS (PARTITION BY order_id, material_id)),
+    c AS (SELECT w.*, iq, im, row_number() OVER o AS n, sum(wt) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS u, sum(wt) OVER (PARTITION BY order_id, material_id) AS a
+          FROM w JOIN i USING (order_id, material_id) WINDOW o AS (PARTITION BY order_id, material_id ORDER BY promotion, line, discount, q, net)),
+    s AS (SELECT *, (floor(100.0::DOUBLE * u::DOUBLE / a::DOUBLE + 0.5) - floor(100.0::DOUBLE * (u - wt)::DOUBLE / a::DOUBLE + 0.5)) / 100 AS share,
+                 floor(im::DOUBLE * u::DOUBLE / a::DOUBLE + 0.5) - floor(im::DOUBLE * (u - wt)::DOUBLE / a::DOUBLE + 0.5) AS m0 FROM c),
+    g AS (SELECT *, CASE WHEN iq > q AND m0 > net THEN floor(m0::DOUBLE * q / iq + 0.5) ELSE m0 END AS m1 FROM s)
+    SELECT order_id, material_id, promotion, line, share, CAST(m1 AS BIGINT) AS promo_margin,
+           CAST(CASE WHEN n = 1 THEN im - sum(m1) OVER (PARTITION BY order_id, material_id) ELSE 0 END AS BIGINT) AS rest_margin
+    FROM g
+    """,
+)
+def promotion_allocation(spark, sf):
+    """Two promotions on every sold line: item facts join once per item, shares add up to 1, margins to the item's."""
+    price = F.col("l_extendedprice")
+    sold = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_returnflag").alias("material_id"), F.col("l_linenumber").alias("line"),
+        F.col("l_quantity").cast("bigint").alias("quantity"), minor(price).alias("net"), minor(price * 250, 0).alias("margin"),
+        F.array(
+            F.struct(F.lit("coupon").alias("promotion"), minor(price * F.col("l_discount")).alias("discount")),
+            F.struct(F.lit("season").alias("promotion"), minor(price * F.col("l_tax")).alias("discount")),
+        ).alias("promotions"),
+    )
+    items = sold.groupBy("order_id", "material_id").agg(F.sum("quantity").alias("quantity"), F.sum("net").alias("net"), F.sum("margin").alias("margin"))
+    lines = sold.select("order_id", "material_id", "line", "quantity", "net", F.explode("promotions").alias("p")).select("*", "p.*").drop("p")
+    out = promotions.allocate(items, lines, tie=["line"])
+    return out.select("order_id", "material_id", "promotion", "line", "share", "promo_margin", "rest_margin")
+
+
 @query(
     "promotion_summary",
     """

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tributary.config import AggSpec, ColumnSpec, FieldMap, GoldSpec, Metric, RuleSet, TableSpec
 from tributary.functions.money import minor
-from tributary.operators import quality, type_plan
+from tributary.operators import lineage, quality, type_plan
 from tributary.plans.layers import publish, to_gold
 from tributary.plans.registry import query, table
 from tributary.session import materialize, scratch_path
@@ -177,3 +178,30 @@ def type_plan_runs(spark, sf):
         )
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@query(
+    "stage_durations",
+    """
+    WITH c AS (SELECT (SELECT count(*) FROM lineitem) AS a, (SELECT count(*) FROM lineitem WHERE l_returnflag <> 'R') AS b,
+                      (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_returnflag <> 'R') AS d)
+    SELECT run, stage, records_in, records_out, true AS measured, true AS in_order FROM c, (VALUES ('a'), ('b')) v(run),
+      LATERAL (VALUES ('read', a, a), ('filter', a, b), ('group', b, d)) s(stage, records_in, records_out)
+    """,
+)
+def stage_durations(spark, sf):
+    """Two runs with a clock around every staged write; the reports are written, read back and ranked by duration."""
+    path = scratch_path(spark, "reports")
+    for run in ("a", "b"):
+        meter = lineage.StageMeter("sales")
+        df = meter.timed(table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag"), "read")
+        df = meter.timed(df.filter("l_returnflag <> 'R'"), "filter")
+        meter.timed(df.groupBy("l_orderkey").count(), "group")
+        lineage.write_report(meter.report(spark, _now()), path, run)
+    reports = lineage.read_reports(spark, path)
+    ranked = lineage.slowest(reports, 6).withColumn("place", F.monotonically_increasing_id())
+    before = F.lag("duration_seconds").over(Window.orderBy("place"))
+    return ranked.select(
+        "run", "stage", "records_in", "records_out", (F.col("duration_seconds") > 0).alias("measured"),
+        (before.isNull() | (before >= F.col("duration_seconds"))).alias("in_order"),
+    )

@@ -113,25 +113,56 @@ def as_of(spark, sf):
 @query(
     "version_history",
     """
-    SELECT version, rows FROM (VALUES (1), (2), (3)) v(version),
-      (SELECT count(*) AS a, count(*) FILTER (WHERE o_orderstatus = 'F') AS f FROM orders),
-      LATERAL (SELECT CASE WHEN version = 2 THEN f ELSE a END AS rows)
-    """.replace("(VALUES (1), (2), (3))", "(VALUES (1::BIGINT), (2::BIGINT), (3::BIGINT))"),
+    SELECT t.day, count(*) AS users, CAST(sum(e.event_id) AS BIGINT) AS newest
+    FROM (VALUES (5), (15), (25)) t(day)
+    JOIN LATERAL (SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id FROM events
+                  WHERE ts <= make_timestamp(2024, 1, t.day, 12, 0, 0) GROUP BY user_id) e ON true
+    GROUP BY t.day
+    """,
 )
 def version_history(spark, sf):
-    """Write, shrink, roll back; then count each version."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    path, at = scratch_path(spark, "versions"), F.lit("2002-01-01").cast("timestamp")
-    tables.save_version(o, path, at)
-    tables.save_version(o.filter("o_orderstatus = 'F'"), path, at)
-    tables.rollback(spark, path, 1, at)
+    """The state of every user at three moments, read from the history of events: no versions are stored."""
+    e = table(spark, sf, "events").select("user_id", "event_id", "ts")
     out = None
-    for v in (1, 2, 3):
-        one = tables.read_version(spark, path, v).agg(
-            F.lit(v).cast("bigint").alias("version"), F.count(F.lit(1)).alias("rows")
-        )
+    for day in (5, 15, 25):
+        then = tables.as_of(e, ["user_id"], "ts", f"2024-01-{day:02d} 12:00:00", [F.col("event_id").desc()])
+        one = then.agg(F.count(F.lit(1)).alias("users"), F.sum("event_id").alias("newest")).select(F.lit(day).alias("day"), "users", "newest")
         out = one if out is None else out.unionByName(one)
-    return out
+    return out.filter("users > 0")
+
+
+@query(
+    "range_replace_files",
+    """
+    SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE year(o_orderdate) NOT BETWEEN 1994 AND 1996
+    UNION ALL SELECT o_orderkey, o_totalprice + 1, CAST(year(o_orderdate) AS INTEGER) FROM orders WHERE year(o_orderdate) IN (1994, 1996)
+    """,
+)
+def range_replace_files(spark, sf):
+    """Three years on files are replaced; the source lacks one of them, whose old rows must go."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    path = scratch_path(spark, "years")
+    writers.write_partitioned(o, path, ["year"])
+    new = o.filter("year in (1994, 1996)").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    tables.replace_range_path(spark, path, new, ["year"], F.col("year").between(1994, 1996))
+    return readers.read_parquet(spark, path)
+
+
+@query(
+    "upsert_moving",
+    f"""
+    WITH {_BATCH}
+    SELECT o_orderkey, o_orderstatus, o_totalprice FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)
+    UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM s
+    """,
+)
+def upsert_moving(spark, sf):
+    """An upsert that moves records: every order in progress changes its status, which is the partition."""
+    target, batch = target_and_source(spark, sf)
+    path, cols = scratch_path(spark, "orders"), ["o_orderkey", "o_totalprice", "o_orderstatus"]
+    writers.write_partitioned(target.select(*cols), path, ["o_orderstatus"])
+    tables.upsert_path(spark, path, batch.select(*cols), ["o_orderkey"], ["o_orderstatus"], moving=True)
+    return readers.read_parquet(spark, path)
 
 
 @query(
