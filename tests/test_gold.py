@@ -432,3 +432,17 @@ def test_compact_keeps_partitions(spark, tmp_path, rows):
     tables.compact(spark, source, target, by=["day"])
     assert sorted(p.name for p in (tmp_path / "few").glob("day=*")) == ["day=0", "day=1", "day=2"]
     assert rows(spark.read.parquet(target).select("id", "day")) == rows(df)
+
+
+def test_small_files_are_packed_and_large_ones_left(spark, rows):
+    files = [("d1", f"f{n}", 30) for n in range(5)] + [("d1", "big", 64), ("d2", "alone", 10), (None, "n1", 1), (None, "n2", 63)]
+    df = spark.createDataFrame(files, "day string, file string, bytes bigint")
+    plan = tables.compaction_plan(df, ["day"], 128, 64)
+    bins = {}
+    for r in plan.collect():
+        bins.setdefault(r.bin, set()).add(r.file)
+    sizes = {f: b for _, f, b in files}
+    assert sorted(len(b) for b in bins.values()) == [2, 2, 3]
+    assert all(sum(sizes[f] for f in b) <= 128 for b in bins.values())
+    assert not any({"big", "alone"} & b for b in bins.values()) and {"n1", "n2"} in bins.values()
+    assert tables.compaction_plan(df.limit(0), ["day"]).count() == 0

@@ -203,3 +203,22 @@ def test_freshness(spark):
     df = spark.sql("select timestamp'2024-01-01 00:00:00' at")
     assert jobs.freshness_lag(df, "at", F.lit("2024-01-01 00:15:00").cast("timestamp")).first() == (900, True)
     assert jobs.freshness_lag(df, "at", F.lit("2024-01-01 00:15:01").cast("timestamp")).first() == (901, False)
+
+
+def test_late_rows_are_kept_and_replays_change_nothing(spark, rows, tmp_path):
+    landing, out = str(tmp_path / "in"), str(tmp_path / "out")
+    batches = [
+        [(1, "2024-01-01 10:00:00"), (2, "2024-01-01 10:04:00"), (3, None)],
+        [(4, "2024-01-01 09:39:59"), (5, "2024-01-01 09:59:00"), (6, "2024-01-01 11:00:00")],
+        [(7, "2024-01-01 10:30:00"), (8, "2024-01-01 10:42:00")],
+    ]
+    for n, data in enumerate(batches):
+        df = spark.createDataFrame(data, "id int, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        df.coalesce(1).write.mode("append").parquet(landing)
+    stream = spark.readStream.schema("id int, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(landing)
+    for n in range(2):
+        # The second pass starts from an empty checkpoint, so every batch is replayed under its number.
+        jobs.stream_counts_keeping_late(stream, "ts", out, str(tmp_path / f"c{n}"), trigger=None).awaitTermination()
+        assert rows(jobs.late_rows(spark, out), "id", "_batch") == [(3, 0), (4, 1), (7, 2)]
+        counts = jobs.on_time_counts(spark, out)
+        assert rows(counts.select(F.date_format("window_start", "HH:mm"), "rows")) == [("09:55", 1), ("10:00", 2), ("10:40", 1), ("11:00", 1)]

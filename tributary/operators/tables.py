@@ -6,7 +6,7 @@ it while touching only the partitions involved.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary.operators.windows import top_per_key
@@ -177,6 +177,53 @@ def compact(
     return files
 
 
+SMALL_BYTES = 64 * 1024 * 1024
+TARGET_BYTES = 128 * 1024 * 1024
+
+
+def data_files(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
+    """``file``, ``bytes`` and the partition columns of every data file, from the listing; no content is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select(*[F.col(f"`{c}`") for c in by or []], F.col("path").alias("file"), F.col("length").alias("bytes"))
+
+
+def compaction_plan(files: DataFrame, by: list[str] | None = None, target_bytes: int = TARGET_BYTES, small_bytes: int = SMALL_BYTES) -> DataFrame:
+    """``file`` and ``bin``: small files packed into bins of at most ``target_bytes``, each within one partition.
+
+    Files of ``small_bytes`` or more are left alone, and so is a small file that would be alone in its bin. A bin is
+    filled up to half the target by files that each fit in the other half, so none overflows and all but the last of a
+    partition are at least a quarter full. The plan has one row per small file, not per row of data.
+    """
+    parts = [F.col(f"`{c}`") for c in by or []]
+    small = files.filter(F.col("bytes") < F.least(F.lit(small_bytes), F.lit(target_bytes // 2)))
+    upto = Window.partitionBy(*parts).orderBy("bytes", "file").rowsBetween(Window.unboundedPreceding, -1)
+    placed = small.withColumn("_slot", F.floor(F.coalesce(F.sum("bytes").over(upto), F.lit(0)) / (target_bytes // 2)).cast("bigint"))
+    named = placed.select("file", F.concat_ws("/", *[F.coalesce(c.cast("string"), F.lit("null")) for c in parts], F.col("_slot").cast("string")).alias("bin"))
+    return named.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("bin"))).filter("_n > 1").drop("_n")
+
+
+def compact_partitioned(
+    spark: SparkSession, source: str, target: str, by: list[str] | None = None, target_bytes: int = TARGET_BYTES, small_bytes: int = SMALL_BYTES
+) -> DataFrame:
+    """Write the small files' rows of ``source`` to ``target``, one file a bin; returns the plan (``file``, ``bin``).
+
+    ``target`` then holds what takes the place of the files named; large files stay where they are and are not read.
+    Which copy readers use is the catalog's decision, so both exist until the named files are removed.
+    """
+    from tributary.session import materialize
+
+    plan = materialize(compaction_plan(data_files(spark, source, by), by, target_bytes, small_bytes), "compaction")
+    bins = plan.select("bin").distinct().count()
+    rows = spark.read.option("basePath", source).parquet(source)
+    names = rows.columns
+    marked = rows.withColumn("_file", F.col("_metadata.file_path"))
+    packed = marked.join(plan, F.col("_file") == F.col("file")).drop("_file", "file")
+    out = packed.repartition(max(1, bins), "bin").sortWithinPartitions(*(by or ["bin"])).select(*names)
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*by) if by else writer).parquet(target)
+    return plan
+
+
 def date_partitions(df: DataFrame, column: str, parts: tuple[str, ...] = ("year", "month", "day")) -> DataFrame:
     """Partition columns from the event's own date."""
     builders = {"year": F.year, "month": F.month, "day": F.dayofmonth}

@@ -6,12 +6,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tributary.config import AggSpec, ColumnSpec, FieldMap, GoldSpec, Metric, RuleSet, TableSpec
+from tributary.functions import clock, parse
 from tributary.functions.money import minor
-from tributary.operators import lineage, quality, type_plan
+from tributary.operators import lineage, mapping, nested, quality, tables, type_plan, validate
 from tributary.plans.layers import publish, to_gold
 from tributary.plans.registry import query, table
 from tributary.session import materialize, scratch_path
-from tributary.sources import readers
+from tributary.sources import readers, writers
 
 AT = "2002-01-01"
 
@@ -205,3 +206,126 @@ def stage_durations(spark, sf):
         "run", "stage", "records_in", "records_out", (F.col("duration_seconds") > 0).alias("measured"),
         (before.isNull() | (before >= F.col("duration_seconds"))).alias("in_order"),
     )
+
+
+@query(
+    "compact_partitioned",
+    """
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS rows, true AS fewer_files, true AS large_left_alone FROM orders GROUP BY 1
+    """,
+)
+def compact_partitioned(spark, sf):
+    """Many small files a year and one larger one: the small ones are packed, the larger one keeps its name and size."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    source, target = scratch_path(spark, "many"), scratch_path(spark, "packed")
+    large, rest = o.filter("o_orderkey % 2 = 0"), o.filter("o_orderkey % 2 = 1")
+    large.repartition("year").write.partitionBy("year").parquet(source)
+    limit = tables.data_files(spark, source).agg(F.min("bytes")).first()[0]
+    rest.repartition(8).write.mode("append").partitionBy("year").parquet(source)
+    before = materialize(tables.data_files(spark, source, ["year"]), "files")
+    plan = tables.compact_partitioned(spark, source, target, ["year"], 2 * limit, limit)
+    # What a reader sees afterwards: the files that no bin took, with their old sizes, and the packed ones.
+    kept = before.join(plan, "file", "left_anti").withColumn("packed", F.lit(False))
+    after = kept.unionByName(tables.data_files(spark, target, ["year"]).withColumn("packed", F.lit(True)))
+    counts = after.groupBy("year").agg(F.count(F.lit(1)).alias("now")).join(before.groupBy("year").agg(F.count(F.lit(1)).alias("was")), "year")
+    alone = kept.filter(F.col("bytes") >= limit).groupBy("year").agg((F.count(F.lit(1)) == 1).alias("large_left_alone"))
+    whole = readers.read_parquet(spark, source).withColumn("_file", F.col("_metadata.file_path")).join(plan, F.col("_file") == F.col("file"), "left_anti")
+    rows = whole.select("year").unionByName(readers.read_parquet(spark, target).select("year")).groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(counts, "year").join(alone, "year").select("year", "rows", (F.col("now") < F.col("was")).alias("fewer_files"), "large_left_alone")
+
+
+@query(
+    "table_append",
+    """
+    SELECT o_orderkey, o_orderpriority, 'json' AS sink FROM orders
+    UNION ALL SELECT o_orderkey, o_orderpriority, 'append' FROM orders
+    """,
+)
+def table_append(spark, sf):
+    """Two halves appended to one partitioned table, and the whole written as one JSON file and overwritten."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    path, text = scratch_path(spark, "appended"), scratch_path(spark, "json")
+    for half in ("o_orderpriority <= '2-HIGH'", "o_orderpriority > '2-HIGH'"):
+        writers.append(o.filter(half), path, ["o_orderpriority"])
+    writers.write_json(o.limit(0), text)
+    writers.write_json(o, text, single_file=True)
+    if spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(text).count() != 1:
+        raise ValueError("one JSON file expected")
+    back = spark.read.schema("o_orderkey bigint, o_orderpriority string").json(text).withColumn("sink", F.lit("json"))
+    return back.unionByName(readers.read_parquet(spark, path).withColumn("sink", F.lit("append")))
+
+
+@query(
+    "epoch_and_precision",
+    """
+    SELECT event_id, CASE WHEN s BETWEEN 0 AND 4102444800 THEN strftime(TIMESTAMP '1970-01-01' + to_seconds(s), '%Y-%m-%d %H:%M:%S') END AS iso,
+           s BETWEEN 0 AND 4102444800 AS in_range, CASE WHEN NOT over THEN CAST(r AS VARCHAR) END AS price, over AS overflows
+    FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN -1 - event_id ELSE epoch_us(ts) // 1000000 END AS s,
+                 CAST(CAST(user_id AS DECIMAL(18,0)) * 1.25 AS DECIMAL(18,1)) AS r,
+                 abs(CAST(CAST(user_id AS DECIMAL(18,0)) * 1.25 AS DECIMAL(18,1))) >= 1000 AS over FROM events)
+    """,
+)
+def epoch_and_precision(spark, sf):
+    """Epochs out of range and numbers with too many digits are told apart from good ones, row by row."""
+    epoch = F.when(F.col("event_type") == "error", -1 - F.col("event_id")).otherwise(clock.to_epoch(F.col("ts")))
+    price = F.col("user_id").cast("decimal(18,0)") * F.lit("1.25").cast("decimal(3,2)")
+    rows = table(spark, sf, "events").select("event_id", epoch.alias("s"), price.alias("p"))
+    good = clock.epoch_in_range(F.col("s"))
+    return rows.select(
+        "event_id", F.when(good, F.date_format(clock.epoch_to_utc(F.col("s")), "yyyy-MM-dd HH:mm:ss")).alias("iso"), good.alias("in_range"),
+        parse.decimal_of(F.col("p"), 4, 1).cast("string").alias("price"), parse.decimal_overflows(F.col("p"), 4, 1).alias("overflows"),
+    )
+
+
+@query(
+    "lineage_columns",
+    """
+    SELECT o_orderkey, 'run-7' AS _lineage_pipeline_id, 'orders' AS _lineage_source, '2002-01-01 00:00:00' AS _lineage_timestamp,
+           md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), o_orderstatus)) AS _lineage_record_hash
+    FROM orders
+    """,
+)
+def lineage_columns(spark, sf):
+    """Pipeline, source, time and hash beside every row."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    out = lineage.add_lineage(o, "run-7", "orders", _now()).drop("o_orderstatus")
+    return out.withColumn("_lineage_timestamp", F.date_format("_lineage_timestamp", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query(
+    "mapping_failures",
+    """
+    SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN '1970-01-01 00:00:' || lpad(CAST(o_custkey % 60 AS VARCHAR), 2, '0') END AS at,
+           CASE WHEN o_orderstatus = 'O' THEN true END AS flag, 0::BIGINT AS pairs
+    FROM orders
+    """,
+)
+def mapping_failures(spark, sf):
+    """Text that is no epoch or flag makes the field null and leaves the row; a column that is no object has no pairs."""
+    raw = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderstatus") == "F", (F.col("o_custkey") % 60).cast("string")).otherwise("soon").alias("created"),
+        F.when(F.col("o_orderstatus") == "O", "1").otherwise("maybe").alias("gift"),
+    )
+    maps = [FieldMap("id", "id"), FieldMap("at", "created", "timestamp_to_iso8601"), FieldMap("flag", "gift", "tinyint_to_boolean")]
+    out = mapping.map_schema(raw, maps).withColumn("at", F.date_format("at", "yyyy-MM-dd HH:mm:ss"))
+    none = nested.key_value_table(raw, "created").groupBy("id").agg(F.count(F.lit(1)).alias("pairs"))
+    return out.join(none, "id", "left").withColumn("pairs", F.coalesce("pairs", F.lit(0).cast("bigint")))
+
+
+@query(
+    "layer_quality_score",
+    """
+    SELECT CAST(count(*) FILTER (WHERE n > 0) + count(*) FILTER (WHERE n > 0 AND good) AS DOUBLE) / (2 * count(*)) AS score
+    FROM (SELECT (SELECT count(*) FROM orders) AS n, true AS good UNION ALL SELECT (SELECT count(*) FROM customer), false
+          UNION ALL SELECT (SELECT count(*) FROM orders WHERE o_orderstatus = 'X'), true)
+    """,
+)
+def layer_quality_score(spark, sf):
+    """Half for tables that hold rows, half for those whose columns are as described: one is empty, one is wrong."""
+    wanted = TableSpec("t", {"o_orderkey": ColumnSpec("BIGINT", source_field="x"), "o_orderstatus": ColumnSpec("VARCHAR(1)", source_field="y")})
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    tables_ = {"orders": o, "customers": table(spark, sf, "customer").select("c_custkey"), "none": o.filter("o_orderstatus = 'X'")}
+    existing = [n for n, df in tables_.items() if not df.isEmpty()]
+    valid = [n for n in existing if validate.validate(tables_[n], wanted).filter("`check` = 'schema' and status = 'FAIL'").isEmpty()]
+    return spark.range(1).select(F.lit(validate.quality_score(len(existing), len(valid), len(tables_))).alias("score"))

@@ -124,3 +124,27 @@ def stream_rates(spark, sf):
     return final.select(
         _seconds(F.col("window_start")).alias("day"), "rows", ratio(F.col("errors"), F.col("rows")).alias("error_rate")
     )
+
+
+@query(
+    "stream_late_rows",
+    """
+    WITH s AS (SELECT *, ts >= TIMESTAMP '2024-01-16 00:00:00' AS first_batch, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS ends,
+                      (SELECT max(ts) FROM events WHERE ts >= TIMESTAMP '2024-01-16 00:00:00') AS newest FROM events)
+    SELECT event_type, CASE WHEN NOT first_batch AND ends <= newest - INTERVAL 20 MINUTE THEN 'late' ELSE 'on time' END AS arrival,
+           CAST(count(*) AS BIGINT) AS rows
+    FROM s GROUP BY 1, 2
+    """,
+)
+def stream_late_rows(spark, sf):
+    """The later half of the events arrives first, so the earlier half is late; both together are all rows."""
+    e = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "counts")
+    for half in ("ts >= '2024-01-16 00:00:00'", "ts < '2024-01-16 00:00:00'"):
+        # One file is one batch here; files are taken in the order of their times.
+        e.filter(half).coalesce(1).write.mode("append").parquet(landing)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    jobs.stream_counts_keeping_late(stream, "ts", out, scratch_path(spark, "checkpoint"), by=["event_type"], trigger=None).awaitTermination()
+    on_time = jobs.on_time_counts(spark, out, ["event_type"]).groupBy("event_type").agg(F.sum("rows").alias("rows"))
+    late = jobs.late_rows(spark, out).groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"))
+    return on_time.withColumn("arrival", F.lit("on time")).unionByName(late.withColumn("arrival", F.lit("late"))).select("event_type", "arrival", "rows")

@@ -141,6 +141,73 @@ def stream_window_counts(
     )
 
 
+def _batch_rows(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """What earlier batches wrote below ``path``; None if there is nothing."""
+    try:
+        rows = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return rows if before is None else rows.filter(F.col("_batch") < before)
+
+
+def stream_counts_keeping_late(
+    stream: DataFrame,
+    ts: str,
+    out: str,
+    checkpoint: str,
+    every: str = "5 minutes",
+    delay_seconds: int = 1200,
+    by: list[str] | None = None,
+    trigger: str | None = BUFFER,
+) -> StreamingQuery:
+    """Counts per tumbling window, with the rows that come after their window has closed kept in a table of their own.
+
+    A built-in windowed aggregate drops such rows without a trace. Here a batch's watermark is the newest time of all
+    earlier batches less the delay; a row is late if its window ended by then. Each batch writes three parts under its
+    number: partial counts of the rows on time, the late rows whole, and its newest time. A replayed batch sees the same
+    earlier batches, so it overwrites its parts with the same rows. ``on_time_counts`` merges the partial counts. Rows
+    without a time count as late, as no window is theirs.
+    """
+    by = by or []
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = _batch_rows(spark, f"{out}/newest", batch_id)
+        # As text of the session, so that no other clock comes between.
+        newest = seen.agg(F.max("newest").cast("string")).first()[0] if seen is not None else None
+        # F.window leaves out rows without a time.
+        placed = batch.withColumn("_window", F.window(ts, every))
+        no_time = batch.filter(F.col(ts).isNull()).withColumn("_window", F.lit(None).cast(placed.schema["_window"].dataType))
+        closed = F.lit(False)
+        if newest is not None:
+            closed = F.col("_window.end") <= F.timestamp_add("SECOND", F.lit(-delay_seconds), F.lit(newest).cast(batch.schema[ts].dataType))
+        judged = placed.withColumn("_late", closed).unionByName(no_time.withColumn("_late", F.lit(True)))
+        staged = materialize(judged, path=f"{out}/staging")
+        counts = staged.filter("not _late").groupBy(F.col("_window.start").alias("window_start"), *by).agg(F.count(F.lit(1)).alias("rows"))
+        parts = {
+            "windows": counts,
+            "late": staged.filter("_late").drop("_window", "_late"),
+            "newest": staged.agg(F.max(ts).alias("newest")),
+        }
+        for name, rows in parts.items():
+            materialize(rows.withColumn("_batch", F.lit(batch_id)), path=f"{out}/{name}/{batch_id}")
+
+    writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    return triggered(writer, trigger).start()
+
+
+def on_time_counts(spark: SparkSession, out: str, by: list[str] | None = None) -> DataFrame:
+    """Rows per window of everything that came on time so far."""
+    return _batch_rows(spark, f"{out}/windows").groupBy("window_start", *(by or [])).agg(F.sum("rows").alias("rows"))
+
+
+def late_rows(spark: SparkSession, out: str) -> DataFrame:
+    """The late rows as they came, with the number of their batch in ``_batch``."""
+    return _batch_rows(spark, f"{out}/late")
+
+
 def save_updates(counts: DataFrame, out: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
     """Write changed windows of every batch; ``latest_windows`` reads the current state."""
 
