@@ -35,6 +35,8 @@ FRAME = 256 * 1024
 #: Compressed bytes after which a task begins another bundle.
 BUNDLE = 64 * 1024 * 1024
 DATE = "1970-01-01T00:00:00Z"
+#: Uncompressed bytes of frames that one reading task takes.
+READ_BYTES = 128 * 1024 * 1024
 #: Record ids of pages.
 NAME = "urn:page:"
 
@@ -131,8 +133,10 @@ def _frames_of(folder: str, with_payload: bool):
 
 def read_archives(index: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     """All records of the bundles that ``index`` names, a row each; responses are checked against their digests."""
-    frames = index.select("file", "frame").distinct()
-    ordered = frames.repartition("file", "frame").sortWithinPartitions("file", "frame")
+    frames = index.groupBy("file", "frame").agg(F.sum("length").alias("length"))
+    # The rows are tiny and the work behind them is not, so the number of tasks follows the bytes to be read.
+    tasks = (frames.agg(F.sum("length")).first()[0] or 0) // READ_BYTES + 1
+    ordered = frames.repartition(tasks, "file", "frame").sortWithinPartitions("file", "frame").select("file", "frame")
     return ordered.mapInArrow(_frames_of(folder, with_payload), READ)
 
 
