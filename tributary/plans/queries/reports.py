@@ -256,7 +256,7 @@ def discount_share(spark, sf):
         (-minor(price * F.col("l_discount"))).alias("discount"),
         minor(price * 25, 0).alias("margin"),
     )
-    return promotions.discount_share(rows).select(
+    return promotions.discount_share(rows, stored=True).select(
         "order_id", "material_id", "l_linenumber", "l_partkey", "share", "quantity_total", "promo_margin"
     )
 

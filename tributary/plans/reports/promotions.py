@@ -14,18 +14,20 @@ def _cents(c):
     return money.minor(c).cast("double") / 100.0
 
 
-def discount_share(lines: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def discount_share(lines: DataFrame, keys: list[str] | None = None, stored: bool = False) -> DataFrame:
     """Share of each promotion line in its item's discount, and its margin.
 
     lines(order_id, material_id, promotion, quantity, discount, net, margin):
     discount, net and margin in hundredths. The share is 1 when the item has no
     discount. When the item sold more than the line and the margin exceeds the
-    line's net amount, the margin is scaled to the line's quantity.
+    line's net amount, the margin is scaled to the line's quantity. ``stored``
+    says that the lines only read stored columns, which then need no staging.
     """
     keys = keys or ["order_id", "material_id"]
     stats = with_group_stats(
         lines,
         keys,
+        stored=stored,
         discount_total=F.sum("discount"),
         margin_total=F.sum("margin"),
         quantity_total=F.sum("quantity"),
