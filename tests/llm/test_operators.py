@@ -128,6 +128,21 @@ def test_lines_in_crowds(spark, monkeypatch):
     assert tuples(lines.line_counts(df), "doc_id", "n_lines", "n_removed") == plain_lines(rows)
 
 
+def test_lines_of_shared_passages(spark):
+    """Every line holds two of six passages, so crowds share passages without being alike; some lines are near copies."""
+    passages = [[f"p{p}w{i}" for i in range(20)] for p in range(6)]
+    rows = []
+    for k in range(360):
+        own = [f"o{k // 2 if k % 5 == 0 else k}x{i}" for i in range(4)]
+        rows.append((k, " ".join(passages[k % 6] + own + passages[(k * 7 // 6 + 1) % 6])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert tuples(lines.line_counts(df), "doc_id", "n_lines", "n_removed") == plain_lines(rows)
+    # A passage that all lines share, in lines that are alike only now and then.
+    rows = [(k, " ".join(passages[0] + [f"o{k * k % 97}x{i}" for i in range(3 + k % 9)])) for k in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert tuples(lines.line_counts(df), "doc_id", "n_lines", "n_removed") == plain_lines(rows)
+
+
 # 3
 
 

@@ -14,8 +14,9 @@ out of the prefixes. The table of magnitudes has BUCKETS entries whatever the si
 
 A shingle that very many classes share. Only the existence of an earlier match counts, so each class is first
 verified against the first class with its shingle and the few before it, a number of pairs in proportion to the
-rows. Only classes that match none of these, in shingles with more classes than that, are then compared with all
-earlier ones.
+rows. Classes that match none of these, in shingles with more classes than that, go through a second join with all
+earlier ones there, whose shingles are ordered by their exact counts among the classes concerned. A passage too rare
+to stand out in its bucket is ordered behind the rest then, and no longer brings all its classes together.
 
 Only DataFrame functions are used. Defined cases: a null text has no lines; lines without a word are never
 compared and stay; rows with one doc_id and one text are one document and are treated alike; of rows with one
@@ -132,13 +133,29 @@ def removed_classes(docs: DataFrame, postings: DataFrame, doc_id: str, text: str
     tokens = stage(_tokens_of(docs, places, doc_id, text), "line-tokens")
 
     matched = stage(_verified(pairs, tokens).select("a").distinct(), "line-matched")
-    open_ = postings.filter(f"nth > {NEAR + 1}").join(matched, F.col("c") == F.col("a"), "left_anti")
-    far = open_.select(F.col("key"), F.col("c").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("nth").alias("ta"))
-    old = postings.filter(f"many > {NEAR + 1} AND nth > 1").select(
-        F.col("key"), F.col("c").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("nth").alias("tb")
-    )
-    left = far.join(old, "key").filter(f"tb < ta - {NEAR} AND {_possible('na', 'nb', 'pa', 'pb')}").select("a", "b").distinct()
-    return matched.union(_verified(left, tokens).select("a")).distinct()
+    return matched.union(_verified(_crowd_pairs(postings, matched, tokens), tokens).select("a")).distinct()
+
+
+def _crowd_pairs(postings: DataFrame, matched: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Pairs (open class a, earlier class b) that share a prefix shingle, classes being those of the shingles with an open class.
+
+    The shingles of these classes are ordered anew, by their exact counts: the classes of a passage that is common
+    here, but looked rare beside the whole corpus, no longer meet in its shingles.
+    """
+    late = postings.filter(f"nth > {NEAR + 1}").join(matched, F.col("c") == F.col("a"), "left_anti")
+    open_ = stage(late.select("key", "c"), "line-open")
+    members = postings.join(open_.select("key").distinct(), "key", "left_semi").select("c").distinct()
+    grams = tokens.join(members, "c", "left_semi").select("c", F.size("g").alias("n"), F.explode("g").alias("s"))
+    counts = grams.groupBy("s").count().filter("count > 1")
+    # Shingles of one class come first in the order: they take their places in the prefix, but are never met.
+    ranked = grams.join(counts, "s").groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("count", "s"))).alias("r"))
+    alone = ranked.withColumn("alone", F.col("n") - F.size("r"))
+    cut = alone.select("c", "n", "alone", F.posexplode(F.expr(f"slice(r, 1, greatest({_prefix_size('n')} - alone, 0))")).alias("i", "x"))
+    rows = stage(cut.select(F.col("x.s").alias("key"), "c", "n", (F.col("alone") + F.col("i")).alias("at")), "line-crowds")
+    far = rows.join(open_.select("c").distinct(), "c", "left_semi")
+    far = far.select("key", F.col("c").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"))
+    old = rows.select("key", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"))
+    return far.join(old, "key").filter(f"b < a AND {_possible('na', 'nb', 'pa', 'pb')}").select("a", "b").distinct()
 
 
 def _tokens_of(docs: DataFrame, places: DataFrame, doc_id: str, text: str) -> DataFrame:
