@@ -273,6 +273,28 @@ def test_language(spark, odd, nothing):
     assert {r["lang_pred"] for r in language.predict(odd, None).collect()} == {"und"}
 
 
+def test_language_of_short_and_unspaced_texts(spark):
+    """Languages whose texts all have six words, one without spaces, and one with blank texts alone."""
+    rng = np.random.default_rng(8)
+    letters = {"aa": "abcdefg", "bb": "hijklmn", "cc": "opqrstu", "zh": "天地玄黄宇宙洪荒日月盈昃", "ja": "いろはにほへとちりぬるを"}
+    lexicon = {k: ["".join(rng.choice(list(v), rng.integers(2, 6))) for _ in range(60)] for k, v in letters.items()}
+    rows = []
+    for i in range(1000):
+        lang = list(letters)[i % 5]
+        words = rng.choice(lexicon[lang], 40 if lang == "cc" else 6)
+        rows.append((i, ("" if lang in ("zh", "ja") else " ").join(words), lang))
+    rows += [(1000 + i, " ", "none") for i in range(10)] + [(None, "abc", "aa")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df)
+    assert model[0] == sorted(letters)
+    got = language.predict(df, model).join(df.select("doc_id", "lang"), "doc_id").filter("held_out AND lang <> 'none'").toPandas()
+    right = (got.lang == got.lang_pred).groupby(got.lang).mean()
+    assert len(right) == 5 and right.min() > 0.95
+    assert language.predict(df, model).filter("held_out IS NULL").isEmpty()
+    long = spark.createDataFrame([(1, "x" * 300_000, "aa"), (2, "天地" * 100_000, "zh")], df.schema)
+    assert {r["lang_pred"] for r in language.predict(long, model).collect()} <= set(letters)
+
+
 def test_chunks_equal_one_chain():
     rng = np.random.default_rng(5)
     move, emit = rng.normal(size=(3, 3)), rng.normal(size=(150, 3))

@@ -7,15 +7,19 @@ each word's posterior; a text's language is the one with the largest mean poster
 
 Training maximises the likelihood of label sequences by stochastic gradient steps. It uses at most ``PER_LANGUAGE``
 texts of each language, chosen by the hash of their ids, and at most ``SEGMENTS`` runs of ``RUN`` words of each;
-runs of different texts are joined into sequences, which is where the model sees switches. Prediction reads whole
+runs of different texts are joined into sequences, which is where the model sees switches. A text of fewer words is
+gone through again until it fills a run, so every chosen text trains. Prediction reads whole
 texts of all documents, in numpy over Arrow batches, in the tasks that read them; nothing is shuffled.
 
 Texts of any length are cut into chunks; a chunk's transition matrices are multiplied first, so all chunks of a batch
 are worked on side by side and the result is exactly that of one long chain.
 
+Scripts without spaces are cut into pieces of up to two characters, which then count as words, in training and in
+prediction. Words of a training run are cut into parts of ``PART`` characters, which bounds the model's input.
+
 Defined cases: a text that is null or has no letter is ``und`` with score 0; so is every text if nothing can be
-learned; rows with a null id are never training rows; a label seen only in held-out rows cannot be predicted; ties go
-to the label that sorts first; an empty table gives an empty result.
+learned; rows with a null id are never training rows and never held out; a label without a word in its chosen texts,
+or one seen only in held-out rows, cannot be predicted; ties go to the label that sorts first; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,9 +42,17 @@ SEGMENTS = 8
 RUN = 16
 SEQUENCE = 64
 EPOCHS = 6
+PART = 64
 CHUNK = 32
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
+#: Thai, Lao, Tibetan, Burmese, Khmer, kana and Han characters.
+UNSPACED = r"[\x{0E00}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
+
+
+def spaced(texts: pa.Array) -> pa.Array:
+    """The texts with blanks around pieces of up to two characters of scripts that write none."""
+    return pc.replace_substring_regex(texts, f"({UNSPACED}{{1,2}})", r" \1 ")
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -107,7 +120,8 @@ def train(texts: list[str], labels: list[int], n_labels: int, seed: int = 11) ->
     data, sizes = " ".join(texts).encode(), [len(t.encode()) + 1 for t in texts]
     offsets = np.minimum(np.concatenate([[0], np.cumsum(sizes)]), len(data))
     grams, begin, three, first = features(np.frombuffer(data, np.uint8), offsets)
-    full = np.flatnonzero(np.diff(first) >= RUN)
+    have = np.diff(first)
+    full = np.flatnonzero(have)
     if not len(full):
         return weights, move
     length = np.diff(np.append(begin, len(grams)))
@@ -116,7 +130,8 @@ def train(texts: list[str], labels: list[int], n_labels: int, seed: int = 11) ->
         order = rng.permutation(full)
         order = np.concatenate([order, order[: -len(order) % per]]) if len(order) % per and len(order) >= per else np.resize(order, -(-len(order) // per) * per)
         for part in np.array_split(order.reshape(-1, per), max(1, len(order) // per // 64)):
-            words = (first[part][:, :, None] + np.arange(RUN)).reshape(len(part), SEQUENCE)
+            # A short run is gone through again and again until it has RUN words.
+            words = (first[part][:, :, None] + np.arange(RUN) % have[part][:, :, None]).reshape(len(part), SEQUENCE)
             gold = np.repeat(known[part], RUN, axis=1)
             flat = words.ravel()
             spans = length[flat]
@@ -199,8 +214,10 @@ def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Up to SEGMENTS runs of RUN words, spread evenly over each text."""
     for b in batches:
         out = []
-        for label, text, seed in zip(b.lang, b.text, b.seed):
-            words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        for label, text, seed in zip(b.lang, spaced(pa.array(b.text, pa.string())).to_pylist(), b.seed):
+            words = re.findall(r"[^\x20\x09-\x0D]{1,%d}" % PART, text)
+            if not words:
+                continue
             n = max(1, min(SEGMENTS, len(words) // RUN))
             for k in range(n):
                 at = k * len(words) // n
@@ -209,13 +226,13 @@ def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def held_out(doc_id) -> F.Column:
-    return F.pmod(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")), F.lit(5)) == 0
+    return F.coalesce(F.pmod(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")), F.lit(5)) == 0, F.lit(False))
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray] | None:
     """Labels, weights and transitions from the documents that are not held out, or None without any."""
     own = docs.select(F.col(doc_id).alias("i"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    own = own.filter(~held_out(F.col("i")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    own = own.filter(~held_out(F.col("i")) & F.col("i").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["count"] for r in own.groupBy("lang").count().collect()}
     if not counts:
         return None
@@ -226,7 +243,9 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     picked = own.withColumn("place", best).filter(F.col("place") <= PER_LANGUAGE).select("lang", "text", "seed")
     runs = picked.mapInPandas(_runs, "lang string, run string, seed long, nth int").toPandas()
     runs = runs.sort_values(["lang", "seed", "nth", "run"])
-    labels = sorted(counts)
+    labels = sorted(set(runs.lang))
+    if not labels:
+        return None
     place = {k: i for i, k in enumerate(labels)}
     weights, move = train(runs.run.tolist(), [place[k] for k in runs.lang], len(labels))
     return labels, weights.astype(np.float32), move
@@ -238,7 +257,7 @@ def predict(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1)
+            texts = spaced(batch.column(1))
             for first, data, offsets in text_chunks(texts):
                 n = len(offsets) - 1
                 said, score = [UNKNOWN] * n, np.zeros(n)
