@@ -2,12 +2,13 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import numpy as np
 import pytest
 
-from tributary.llm import bpe, hashing, language, licenses, lines, mixing, near, quality, secrets, substrings, suffixes
+from tributary.llm import bpe, graph, hashing, language, licenses, lines, mixing, near, quality, secrets, substrings, suffixes
 
 UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 BLANK = r"[^\x20\x09-\x0D]+"
@@ -503,3 +504,22 @@ def test_joins_at_every_cut():
         assert own.decode(own.encode(t)) == t.encode()
         for cut in range(len(t) + 1):
             assert own.join(t, 0, cut, len(t), own.encode_leaf(t[:cut]), own.encode_leaf(t[cut:])) == own.encode_leaf(t)
+
+
+def test_components_of_any_shape(spark, monkeypatch):
+    chain = [(f"c{i:03}", f"c{i + 1:03}") for i in range(70)]
+    star = [("hub", f"s{i:03}") for i in range(90)]
+    rng = random.Random(5)
+    loose = [(f"n{rng.randrange(300):03}", f"n{rng.randrange(300):03}") for _ in range(170)]
+    rows = [(a.encode(), b.encode()) for a, b in chain + star + loose]
+    around = {x: {x} for ab in rows for x in ab if ab[0] != ab[1]}
+    for a, b in rows:
+        if a != b and around[a] is not around[b]:
+            both = around[a] | around[b]
+            around.update(dict.fromkeys(both, both))
+    want = {x: min(s) for x, s in around.items()}
+    df = spark.createDataFrame(rows + [(None, b"x"), (b"x", None), (b"y", b"y")], "a binary, b binary")
+    for chunk in (graph.CHUNK, 40):
+        monkeypatch.setattr(graph, "CHUNK", chunk)
+        assert {bytes(r.node): bytes(r.label) for r in graph.components(df).collect()} == want
+    assert graph.components(df.limit(0)).count() == 0

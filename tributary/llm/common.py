@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tributary.session import materialize
@@ -55,3 +55,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
             conf.unset(SHUFFLE_CLEANUP)
         else:
             conf.set(SHUFFLE_CLEANUP, before)
+
+
+def counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``stage``, and the number of rows as the write itself saw it."""
+    seen = Observation()
+    written = stage(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return written, seen.get["n"]

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import stage
+from tributary.llm.common import counted, stage
 from tributary.llm.graph import components
 from tributary.llm.shingles import PLACE, U, mixed, set_name, shingle_sets, text_chunks
 
@@ -203,20 +203,19 @@ def _confirm(nodes: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"])
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, dense: bool = False) -> DataFrame:
-    """The links ``a, b`` among candidate pairs that connect all that the pairs can connect.
+def confirmed(pairs: DataFrame, many: int, classes: DataFrame, texts: DataFrame, dense: bool = False) -> DataFrame:
+    """The links ``a, b`` among the ``many`` candidate pairs that connect all that the pairs can connect.
 
     A set may have any number of partners in ``dense`` pairs, so their blocks are bounded on both ends.
     ``texts`` has ``doc_id, text, th``; ``classes`` has ``node, rep, th`` with the doc_id and hash of one text of the class.
     """
-    groups = stage(components(pairs), "near-groups")
+    groups, total = counted(components(pairs), "near-groups")
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
     per = F.when(F.col("members") <= GROUP, F.lit(1)).otherwise(F.ceil(F.col("members") / (GROUP if dense else BLOCK)))
-    total = groups.count()
     blocks = max(1, -(-total // (2 * GROUP)))
     cell = [F.pmod(F.xxhash64("a"), "parts")]
     if dense:
-        blocks = max(blocks, -(-pairs.count() * 4 // GROUP**2))
+        blocks = max(blocks, -(-many * 4 // GROUP**2))
         cell.append(F.pmod(F.xxhash64("b"), "parts"))
     member = groups.join(sizes, "label").select("node", "label", per.alias("parts"))
     placed = pairs.join(member, pairs.a == member.node).select(
@@ -313,15 +312,16 @@ def _grouped(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
         first, F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("orders").alias("orders")
     )
     classes = stage(classes.select("node", F.col("of.doc_id").alias("rep"), F.col("of.th").alias("th"), "n", "keys", "orders"), "near-classes")
-    pairs = stage(candidates(classes), "near-candidates")
-    links = stage(confirmed(pairs, classes, texts), "near-links")
+    pairs, many = counted(candidates(classes), "near-candidates")
+    links = stage(confirmed(pairs, many, classes, texts), "near-links")
     found = components(links)
-    opened = stage(_open_sets(classes, found), "near-open")
-    if not opened.isEmpty():
-        far = stage(crowded_pairs(opened, classes, texts), "near-far")
-        more = stage(confirmed(far, classes, texts, dense=True), "near-far-links")
-        if not more.isEmpty():
-            found = components(links.union(more))
+    opened, apart = counted(_open_sets(classes, found), "near-open")
+    if apart:
+        far, many = counted(crowded_pairs(opened, classes, texts), "near-far")
+        if many:
+            more, new = counted(confirmed(far, many, classes, texts, dense=True), "near-far-links")
+            if new:
+                found = components(links.union(more))
     return signed, classes, found
 
 
