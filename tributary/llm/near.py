@@ -14,8 +14,9 @@ while components come out as if all its candidate pairs had been compared. Very
 pairs and joined again by the links that the blocks find.
 
 Crowded regions. In a region of more than ``NEIGHBOURS`` + 1 sets not all pairs are neighbours. Where such a region
-still holds sets of different components, its sets go through an exact join: shingles ordered by rarity, prefix,
-length and positional filters as in ``lines``, and verification of all pairs from different components.
+still holds sets of different components, its sets go through an exact join: shingles ordered by their exact counts
+among these sets, prefix, length and positional filters as in ``lines``, and verification of all pairs from
+different components. A passage that many of them share is ordered last, so it brings no sets together by itself.
 
 Exact copies, and texts with equal sets, are one node throughout: copies of any number cost one row each.
 
@@ -49,8 +50,8 @@ NEIGHBOURS = 3
 #: Nodes of a group that are confirmed together, and left ends of a block of pairs of a larger group.
 GROUP = 512
 BLOCK = 128
-#: Buckets in which shingles are counted for the rarity order; any fixed order keeps the exact join exact.
-BUCKETS = 1 << 16
+#: Shingles that leave a task in one batch.
+OUT = 1 << 16
 
 _random = np.random.default_rng(977)
 TURN = _random.integers(1, 2**63, HASHES, dtype=np.uint64)
@@ -249,51 +250,44 @@ def _sets_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
                 yield i, s
 
 
-def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(BUCKETS, np.int64)
-    for batch in batches:
-        for _, s in _sets_of(batch):
-            total += np.bincount((s & U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-    k = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(total[k], pa.int64())], names=["k", "n"])
-
+GRAM = "node binary, label long, n int, s long"
 
-POSTING = "key long, node binary, label long, n int, at int"
 
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each shingle of each set; sets go out together until they hold ``OUT`` shingles."""
 
-def _prefixes(counts: np.ndarray):
-    """Postings of the rarest |x| - ceil(0.75 |x|) + 1 shingles of each set, in one order for all sets."""
+    def out(batch: pa.RecordBatch, rows: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        sizes = np.array([len(s) for s in sets], np.int32)
+        at = pa.array(np.repeat(rows, sizes))
+        columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate(sets).view(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["node", "label", "n", "s"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, keys, sizes, ats = [], [], [], []
-            for i, s in _sets_of(batch):
-                cut = len(s) - -(-3 * len(s) // 4) + 1
-                # ``s`` is sorted, so a stable order by count is one by count, then hash.
-                keys.append(s[np.argsort(counts[(s & U(BUCKETS - 1)).astype(np.int64)], kind="stable")[:cut]].view(np.int64))
-                rows.append(np.full(cut, i))
-                sizes.append(np.full(cut, len(s), np.int32))
-                ats.append(np.arange(cut, dtype=np.int32))
-            if rows:
-                at = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(ats))],
-                    names=["key", "node", "label", "n", "at"],
-                )
-
-    return run
+    for batch in batches:
+        rows, sets, held = [], [], 0
+        for i, s in _sets_of(batch):
+            rows.append(i)
+            sets.append(s)
+            held += len(s)
+            if held >= OUT:
+                yield out(batch, rows, sets)
+                rows, sets, held = [], [], 0
+        if rows:
+            yield out(batch, rows, sets)
 
 
 def crowded_pairs(opened: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """``a, b, trees``: all pairs of ``opened`` (node, label) with different labels that may be similar, by prefix filter."""
     wanted = opened.join(classes.select("node", "rep", "th"), "node")
     sets = stage(texts.join(wanted, texts.doc_id.eqNullSafe(wanted.rep) & (texts.th == wanted.th)).select("node", "label", "text"), "near-open-texts")
-    counts = np.zeros(BUCKETS, np.int64)
-    for k, n in sets.mapInArrow(_bucket_counts, "k long, n long").groupBy("k").agg(F.sum("n")).collect():
-        counts[k] = n
-    postings = stage(sets.mapInArrow(_prefixes(counts), POSTING), "near-postings")
-    per = postings.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    live = stage(postings.join(per, "key", "left_semi"), "near-shared")
+    grams = sets.mapInArrow(_grams, GRAM)
+    labels = grams.groupBy("s").agg(F.count(F.lit(1)).alias("count"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    shared = labels.filter("lo <> hi").select("s", "count")
+    # Shingles of one component come first in the order: they take their places in the prefix, but are never met.
+    ranked = grams.join(shared, "s").groupBy("node", "label", "n").agg(F.sort_array(F.collect_list(F.struct("count", "s"))).alias("r"))
+    alone = ranked.withColumn("alone", F.col("n") - F.size("r"))
+    prefix = "greatest(n - CAST((3 * n + 3) DIV 4 AS INT) + 1 - alone, 0)"
+    cut = alone.select("node", "label", "n", "alone", F.posexplode(F.expr(f"slice(r, 1, {prefix})")).alias("i", "x"))
+    live = stage(cut.select(F.col("x.s").alias("key"), "node", "label", "n", (F.col("alone") + F.col("i")).alias("at")), "near-shared")
     # Pairs inside the largest component of a shingle are never formed: one end is always of another.
     main = live.groupBy("key", "label").count().groupBy("key").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
     a = live.join(main, "key").filter("label <> main").select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("at").alias("pa"))
