@@ -226,3 +226,16 @@ def test_labels_and_money(spark):
 
 def test_ratio_of_zero_is_null(spark):
     assert spark.range(1).select(money.ratio(F.lit(1), F.lit(0))).first()[0] is None
+
+
+@pytest.mark.parametrize(
+    "as_of, months, want",
+    [
+        (date(2025, 7, 15), 3, (date(2025, 4, 1), date(2025, 7, 1))),
+        (date(2025, 2, 1), 3, (date(2024, 11, 1), date(2025, 2, 1))),
+        (date(2024, 1, 31), 1, (date(2023, 12, 1), date(2024, 1, 1))),
+        (date(2024, 12, 31), 12, (date(2023, 12, 1), date(2024, 12, 1))),
+    ],
+)
+def test_closed_months(as_of, months, want):
+    assert clock.closed_months(as_of, months) == want

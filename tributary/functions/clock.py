@@ -6,6 +6,8 @@ time zone.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -94,6 +96,13 @@ def month_key(c: Column) -> Column:
     return (F.year(c) * 100 + F.month(c)).cast("int")
 
 
+def closed_months(as_of: date, months: int) -> tuple[date, date]:
+    """First day of the closed months before the one of ``as_of``, and the first day after them."""
+    end = as_of.replace(day=1)
+    year, month = divmod(end.year * 12 + end.month - 1 - months, 12)
+    return date(year, month + 1, 1), end
+
+
 def clock_label(c: Column) -> Column:
     return F.date_format(c, "HH:mm")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from tributary.functions import clock
@@ -589,6 +591,37 @@ def one_location_per_order(spark, sf):
     return sales.order_locations(orders, points).drop("pickup", "status_group")
 
 
+@query(
+    "closed_month_locations",
+    f"""
+    WITH p AS (SELECT l_orderkey, CASE WHEN l_suppkey % 5 = 0 THEN NULL WHEN l_suppkey % 7 = 0 THEN 0.0 ELSE s_acctbal / 100 END AS lat,
+                      CAST(l_suppkey AS DOUBLE) AS lng FROM lineitem JOIN supplier ON s_suppkey = l_suppkey),
+    one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY lat DESC, lng DESC) AS n FROM p
+                           WHERE lat IS NOT NULL) WHERE n = 1 AND lat <> 0),
+    sold AS (SELECT l_orderkey, sum(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)) / 100.0 AS gross FROM lineitem GROUP BY l_orderkey)
+    SELECT o_orderkey AS order_id, chain, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS month,
+           CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS day, CAST(gross AS DOUBLE) AS gross, lat, lng
+    FROM orders JOIN {_PLACES_SQL} ON c_custkey = o_custkey JOIN one ON one.l_orderkey = o_orderkey JOIN sold ON sold.l_orderkey = o_orderkey
+    WHERE {_GROUP_SQL} IN ('ENTREGADO', 'EN PROCESO') AND o_orderpriority <> '5-LOW'
+      AND o_orderdate >= DATE '1995-11-01' AND o_orderdate < DATE '1996-02-01'
+    """,
+)
+def closed_month_locations(spark, sf):
+    spots = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_acctbal")
+    key = F.col("l_suppkey")
+    lat = F.when(key % 5 == 0, F.lit(None)).when(key % 7 == 0, F.lit(0.0)).otherwise(F.col("s_acctbal") / 100)
+    lines = table(spark, sf, "lineitem")
+    points = lines.select("l_orderkey", "l_suppkey").join(spots, "l_suppkey").select(
+        F.col("l_orderkey").alias("order_id"), lat.alias("lat"), key.cast("double").alias("lng")
+    )
+    orders = table(spark, sf, "orders").join(places(spark, sf), "o_custkey").select(
+        F.col("o_orderkey").alias("order_id"), "chain", F.col("o_orderdate").alias("created"),
+        (F.col("o_orderpriority") == "5-LOW").alias("pickup"), status_group().alias("status_group"),
+    )
+    sold = lines.select(F.col("l_orderkey").alias("order_id"), minor(F.col("l_extendedprice")).alias("gross"))
+    return sales.closed_month_locations(orders, points, sold, date(1996, 2, 15)).drop("pickup", "status_group")
+
+
 @query(
     "ticket_sales",
     """

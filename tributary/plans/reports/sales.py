@@ -7,6 +7,7 @@ order of addition; they are divided once, at the end.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -181,3 +182,26 @@ def order_locations(
     ).filter(F.col("lat") != 0)
     chosen = orders.filter(F.col("status_group").isin(list(groups)) & ~F.col("pickup"))
     return chosen.join(one, "order_id")
+
+
+def closed_month_locations(
+    orders: DataFrame,
+    points: DataFrame,
+    lines: DataFrame,
+    as_of: date,
+    months: int = 3,
+    groups: tuple[str, ...] = labels.SOLD_GROUPS,
+) -> DataFrame:
+    """``order_locations`` of the last closed months, with the day and the gross amount of each order.
+
+    orders(order_id, created, …, pickup, status_group), points(order_id, lat, lng), lines(order_id, gross in
+    hundredths). The months bound ``created`` itself, so they reach the scan. Orders without lines are left out.
+    """
+    since, until = clock.closed_months(as_of, months)
+    created = F.col("created")
+    recent = orders.filter((created >= F.lit(since)) & (created < F.lit(until)))
+    dated = recent.withColumns({"month": clock.month_key(created), "day": clock.day_key(created)}).drop("created")
+    # Joined on the order and grouped by it: one shuffle of the lines serves both.
+    keys = dated.columns
+    sold = lines.select("order_id", "gross").join(dated, "order_id").groupBy(*keys).agg(money.exact_sum(F.col("gross")).alias("gross"))
+    return order_locations(sold, points, groups).withColumn("gross", money.major(F.col("gross")))
