@@ -652,3 +652,41 @@ def ticket_sales(spark, sf):
     )
     brands = table(spark, sf, "part").select(F.col("p_partkey").alias("material_id"), F.col("p_brand").alias("brand"))
     return sales.ticket_sales(sold, brands, documents, [F.col("folio").asc()])
+
+
+@query(
+    "ticket_refresh",
+    """
+    WITH l AS (SELECT 'S' || (o_custkey % 50) || '-' || o_orderkey AS ticket_key, l_linenumber, l_partkey AS material_id,
+                      CAST(o_orderdate AS DATE) AS sold_on, o_custkey % 3 AS channel, o_orderkey, o_orderpriority,
+                      CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS gross FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+    fresh AS (SELECT ticket_key, l_linenumber, material_id, sold_on, gross, p_brand AS brand,
+                     CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS document_type,
+                     CASE WHEN o_orderpriority <> '5-LOW' THEN 'F' || o_orderkey END AS folio,
+                     CASE WHEN o_orderkey % 4 <> 0 THEN substr(CAST(10000000 + o_orderkey AS VARCHAR) || '-01', 1, 8) END AS order_number
+              FROM l JOIN part ON p_partkey = material_id
+              WHERE channel = 2 AND sold_on >= DATE '1996-02-05' AND sold_on < DATE '1996-02-15'),
+    stored AS (SELECT ticket_key, l_linenumber, material_id, sold_on, CAST(0 AS BIGINT) AS gross, CAST(NULL AS VARCHAR) AS brand,
+                      CAST(NULL AS VARCHAR) AS document_type, CAST(NULL AS VARCHAR) AS folio, CAST(NULL AS VARCHAR) AS order_number
+               FROM l WHERE channel = 2 AND sold_on < DATE '1996-02-12')
+    SELECT * FROM stored WHERE ticket_key NOT IN (SELECT ticket_key FROM fresh) UNION ALL SELECT * FROM fresh
+    """,
+)
+def ticket_refresh(spark, sf):
+    key = F.concat(F.lit("S"), (F.col("o_custkey") % 50).cast("string"), F.lit("-"), F.col("o_orderkey").cast("string"))
+    tickets = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderpriority", key.alias("ticket_key"), F.to_date("o_orderdate").alias("sold_on"), (F.col("o_custkey") % 3).alias("channel")
+    )
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", F.col("l_partkey").alias("material_id"), minor(F.col("l_extendedprice")).alias("gross")
+    ).join(tickets.drop("o_orderpriority"), "o_orderkey")
+    documents = tickets.filter("o_orderpriority <> '5-LOW'").select(
+        "ticket_key", F.col("o_orderpriority").alias("document_type"), F.concat(F.lit("F"), F.col("o_orderkey").cast("string")).alias("folio")
+    )
+    number = F.concat((F.col("o_orderkey") + 10000000).cast("string"), F.lit("-01"))
+    numbers = tickets.filter("o_orderkey % 4 <> 0").select("ticket_key", number.alias("order_number"))
+    brands = table(spark, sf, "part").select(F.col("p_partkey").alias("material_id"), F.col("p_brand").alias("brand"))
+    unknown = [F.lit(None).cast("string").alias(c) for c in ("brand", "document_type", "folio", "order_number")]
+    known = ["ticket_key", "l_linenumber", "material_id", "sold_on"]
+    stored = lines.filter((F.col("channel") == 2) & (F.col("sold_on") < F.lit(date(1996, 2, 12)))).select(*known, F.lit(0).cast("bigint").alias("gross"), *unknown)
+    return sales.ticket_refresh(stored, lines.drop("o_orderkey"), brands, documents, numbers, date(1996, 2, 15))

@@ -7,13 +7,14 @@ order of addition; they are divided once, at the end.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions import clock, labels, money
 from tributary.operators.joins import enrich, latest_per_key
+from tributary.operators.tables import replace_keys
 from tributary.operators.windows import top_per_key
 
 
@@ -166,6 +167,30 @@ def ticket_sales(lines: DataFrame, materials: DataFrame, documents: DataFrame, o
     return enrich(named, documents, ["ticket_key"], ["document_type", "folio"], order_by)
 
 
+def ticket_refresh(
+    stored: DataFrame,
+    lines: DataFrame,
+    materials: DataFrame,
+    documents: DataFrame,
+    numbers: DataFrame,
+    as_of: date,
+    days: int = 10,
+    channel: int = 2,
+) -> DataFrame:
+    """``stored`` ticket lines with the last days' tickets replaced by what is known of them now.
+
+    lines(ticket_key, material_id, sold_on, channel, …) of one channel, from ``days`` before ``as_of`` up to the day
+    before it; documents as in ``ticket_sales``, the first folio counts; numbers(ticket_key, order_number), of which
+    the smallest counts and keeps eight characters. A ticket in that window replaces all its stored lines.
+    """
+    on = F.col("sold_on")
+    recent = lines.filter((on >= F.lit(as_of - timedelta(days=days))) & (on < F.lit(as_of)) & (F.col("channel") == channel))
+    named = ticket_sales(recent.drop("channel"), materials, documents, [F.col("folio").asc_nulls_last(), F.col("document_type")])
+    short = numbers.select("ticket_key", F.substring("order_number", 1, 8).alias("order_number"))
+    fresh = enrich(named, short, ["ticket_key"], ["order_number"], [F.col("order_number").asc_nulls_last()])
+    return replace_keys(stored, fresh.select(*stored.columns), ["ticket_key"])
+
+
 def order_locations(
     orders: DataFrame,
     points: DataFrame,
