@@ -1,11 +1,15 @@
 """Totals over runs, write-audit-publish and rules over groups."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from tributary.config import AggSpec, ColumnSpec, FieldMap, GoldSpec, Metric, RuleSet, SilverSpec, TableSpec
 from tributary.operators import aggregate, lineage, partials, quality, type_plan, typing
 from tributary.plans import layers
+from tributary.plans import queries as _registered  # noqa: F401
+from tributary.plans.registry import QUERIES
 from tributary.sources import readers
 
 SPEC = AggSpec(
@@ -176,3 +180,25 @@ def test_durations_are_measured_and_ranked(spark, rows, tmp_path):
     first = lineage.slowest(back, 1).first()
     assert first.duration_seconds == max(seconds["read"], seconds["keep"])
     assert spark.read.parquet(str(tmp_path / "copy")).count() == 50
+
+
+def test_silver_cleans_once_and_its_code_is_compiled(spark, capsys):
+    """The profile and the typed rows read one cleaned copy; no generated method is over the JVM's 8000 bytes."""
+    silver = QUERIES["bronze_to_silver"](spark, "/root/testdata/sf0.001")
+    assert all("silver-clean" in f for f in silver.inputFiles())
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        silver.select("*").explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_silver_keeps_columns_that_cannot_be_stored(spark):
+    bronze = spark.sql("select ' 1 ' as id, 1L as modified, '2.5' as amount, null as nothing, array() as list")
+    spec = SilverSpec(keys=("id",), order_column="modified", normalize={}, convert={}, critical=(), defaults={})
+    out = layers.to_silver(bronze, spec)
+    assert dict(out.dtypes)["nothing"] == "void" and dict(out.dtypes)["amount"] == "decimal(18,2)"
+    assert [r.id for r in out.collect()] == ["1"]

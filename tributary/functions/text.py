@@ -62,8 +62,9 @@ def phone_digits(c: Column) -> Column:
 
 def phone_international(c: Column, country_code: str = COUNTRY_CODE) -> Column:
     """``+<country><digits>``; a number that already starts with the code keeps it."""
-    digits = blank_to_null(phone_digits(c))
-    return F.when(digits.startswith(country_code), F.concat(F.lit("+"), digits)).otherwise(F.concat(F.lit("+" + country_code), digits))
+    digits = phone_digits(c)
+    # The digits stand outside the branches, where Spark finds them once.
+    return F.concat(F.when(digits.startswith(country_code), F.lit("+")).otherwise(F.lit("+" + country_code)), blank_to_null(digits))
 
 
 def title_case(c: Column) -> Column:

@@ -24,7 +24,7 @@ from tributary.operators import (
     type_plan,
     typing,
 )
-from tributary.session import materialize, scratch_path
+from tributary.session import materialize, scratch_path, storable
 from tributary.sources import writers
 
 
@@ -39,7 +39,9 @@ def to_silver(
     """Flatten, clean, normalize, convert types, resolve duplicates, handle gaps.
 
     Types are converted before dates are compared, so an epoch is never parsed
-    as text. Only type inference runs a job of its own, and only types that hold
+    as text. Before types are inferred, the cleaned rows are written once: the
+    profile, the issues and the typed rows read that copy, and the code of
+    either half stays short enough for the JVM to compile. Only types that hold
     every value are inferred. ``issues`` allows types that a tenth of a column
     does not fit, and is given those values. ``types`` names the folder of a
     stored plan: then only columns that no run has seen are profiled, values
@@ -58,6 +60,8 @@ def to_silver(
         # Contacts are text whatever they look like: a phone number must not become a number.
         contacts = tuple(c for c, rule in spec.normalize.items() if rule["type"].startswith(("email", "phone")))
         fixed = tuple(spec.exclude) + contacts + tuple(spec.convert) + tuple(spec.keys)
+        if storable(df):
+            df = materialize(df, "silver-clean")
         if types:
             df = type_plan.typed(df, types, run, fixed)
         else:

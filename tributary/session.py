@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -69,6 +70,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def storable(df) -> bool:
+    """Whether Parquet can hold every column: columns without a type, at any depth, and calendar intervals cannot be written."""
+    return not re.search(r'"(type|elementType|keyType|valueType)":"(void|interval)"', df.schema.json())
+
+
 def materialize(df, label: str = "stage", path: str | None = None):
     """Write ``df`` once and read it back.
 
