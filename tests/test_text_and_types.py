@@ -239,3 +239,9 @@ def test_ratio_of_zero_is_null(spark):
 )
 def test_closed_months(as_of, months, want):
     assert clock.closed_months(as_of, months) == want
+
+
+def test_profile_counts_rows_not_distinct_values(spark):
+    rows = [("1.5", None)] * 94 + [("9" * 50, None), ("a", None), ("1 " * 50, None), ("1" * 50 + "x", None), ("d", None), (None, None)]
+    got = {r.column: r for r in typing.inference_profile(spark.createDataFrame(rows, "v string, empty string")).collect()}
+    assert got["v"].filled == 99 and got["v"].number == 95 / 99 and got["v"].whole_digits == 50 and got["empty"].filled == 0 and got["empty"].number is None

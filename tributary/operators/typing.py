@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from tributary.functions import clock, parse, text
 
 MAX_INT = 2147483647
+#: Characters of the longest value that can be a flag, a date or a time, and some more; numbers may be longer.
+LONGEST = 40
 
 # Name parts that mark a 0/1 column as a flag in extract mode.
 FLAG_WORDS = (
@@ -29,8 +31,8 @@ def inference_profile(df: DataFrame, exclude: tuple[str, ...] = (), ints_as_bool
     """One row per string column with the share of its values that each type accepts.
 
     Columns become rows inside the scan's own task, so one grouped aggregate
-    with one set of tests serves any number of columns, and only one line per
-    task and column is shuffled.
+    with one set of tests serves any number of columns, and each task shuffles
+    a value of a column once.
     """
     names = text_columns(df, exclude)
     if not names:
@@ -41,19 +43,24 @@ def inference_profile(df: DataFrame, exclude: tuple[str, ...] = (), ints_as_bool
 def profile_values(tall: DataFrame, ints_as_bool: bool = True) -> DataFrame:
     """The profile of (column, value) rows.
 
-    The shape of a value, its digits made 0, says which formats it can have; only those are tried.
+    Equal values are counted first, so that each is tested once: flags, dates and amounts repeat by the thousand. Long
+    values that are no numbers fit no type and count as one value, so whole texts are not shuffled. The shape of a
+    value, its digits made 0, says which formats it can have; only those are tried.
     """
     words = [w for w in parse.TRUE_WORDS + parse.FALSE_WORDS if ints_as_bool or w not in ("0", "1")]
     shapes = {
         "date": [parse.fixed_width(f)[0] for f in parse.DATE_FORMATS],
         "timestamp": [parse.fixed_width(f)[0] for f in parse.TIMESTAMP_FORMATS],
     }
-    trimmed = tall.select("column", "value", F.trim("value").alias("text"))
-    shaped = trimmed.select("*", parse.shape_of(F.col("text")).alias("shape"))
+    trimmed = tall.select("column", F.trim("value").alias("text"))
+    plain = (F.length("text") > LONGEST) & ~F.col("text").rlike(parse.NUMBER_SHAPE)
+    short = trimmed.select("column", F.when(plain, F.lit("text")).otherwise(F.col("text")).alias("text"))
+    each = short.groupBy("column", "text").agg(F.count(F.lit(1)).alias("rows"))
+    shaped = each.select("*", parse.shape_of(F.col("text")).alias("shape"))
     numeric = F.substring("shape", 1, 1).isin("0", "+", "-", ".") & F.col("text").rlike(parse.NUMBER_SHAPE)
     tested = shaped.select(
         "column",
-        "value",
+        "rows",
         "text",
         ((F.length("text") <= 5) & F.lower("text").isin(words)).alias("boolean"),
         *[(F.col("shape").isin(fits) & _to_inferred(F.col("text"), t).isNotNull()).alias(t) for t, fits in shapes.items()],
@@ -61,7 +68,7 @@ def profile_values(tall: DataFrame, ints_as_bool: bool = True) -> DataFrame:
     )
     # Where the parts of a number are, without another expression: sign, whole digits, fraction, exponent.
     number = F.when(F.col("is_number"), F.lower("text"))
-    parts = tested.select("column", "value", "boolean", "date", "timestamp", "is_number", number.alias("n")).select(
+    parts = tested.select("column", "text", "rows", "boolean", "date", "timestamp", "is_number", number.alias("n")).select(
         "*", F.instr("n", "e").alias("e"), F.instr("n", ".").alias("dot"), F.substring("n", 1, 1).isin("+", "-").cast("int").alias("sign")
     )
     mantissa_end = F.when(F.col("e") > 0, F.col("e") - 1).otherwise(F.length("n"))
@@ -72,8 +79,11 @@ def profile_values(tall: DataFrame, ints_as_bool: bool = True) -> DataFrame:
         F.when(F.col("e") > 0, F.col("n").substr(F.col("e") + 1, F.lit(12)).try_cast("int")).otherwise(F.lit(0)).alias("power"),
     )
 
+    filled = F.sum(F.when(F.col("text").isNotNull(), F.col("rows")))
+
     def share(test: Column) -> Column:
-        return F.avg(F.when(F.col("value").isNotNull(), F.coalesce(test, F.lit(False)).cast("int")))
+        fit = F.when(F.coalesce(test, F.lit(False)), F.col("rows")).otherwise(F.lit(0))
+        return F.sum(F.when(F.col("text").isNotNull(), fit)) / filled
 
     is_number = F.coalesce(F.col("is_number"), F.lit(False))
     has_power = is_number & (F.col("e") > 0)
@@ -82,7 +92,7 @@ def profile_values(tall: DataFrame, ints_as_bool: bool = True) -> DataFrame:
     behind = F.greatest(F.col("behind") - F.coalesce("power", F.lit(0)), F.lit(0))
     leading = is_number & (F.col("whole") > 1) & (F.col("n").substr(F.col("sign") + 1, F.lit(1)) == "0")
     return digits.groupBy("column").agg(
-        F.count("value").alias("filled"),
+        F.coalesce(filled, F.lit(0)).alias("filled"),
         *[share(F.col(t)).alias(t) for t in ("boolean", "date", "timestamp")],
         share(F.col("is_number")).alias("number"),
         F.bool_or(is_number & (F.col("dot") > 0)).alias("any_decimal"),

@@ -36,7 +36,10 @@ SILVER = SilverSpec(
 
 def bronze_orders(spark, sf):
     """Each line as one arriving version of its order: nested, padded, all text."""
-    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", "o_orderdate")
+    # Texts of the order are made before the join, once an order instead of once a line.
+    o = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", F.date_format("o_orderdate", "dd/MM/yyyy").alias("created")
+    )
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     key = F.col("l_orderkey").cast("string")
     version = (F.col("l_linenumber") * 1000000 + F.col("l_partkey") * 100 + F.col("l_suppkey") % 100).cast("bigint")
@@ -49,7 +52,7 @@ def bronze_orders(spark, sf):
             F.concat(F.lit("(01) "), F.col("o_custkey").cast("string")).alias("phone"),
         ).alias("customer"),
         F.col("l_quantity").cast("string").alias("amount"),
-        F.date_format("o_orderdate", "dd/MM/yyyy").alias("created"),
+        "created",
         F.when(F.col("l_quantity") > 25, "yes").otherwise("no").alias("gift"),
     )
 
