@@ -144,6 +144,22 @@ def test_lines_of_shared_passages(spark):
     assert tuples(lines.line_counts(df), "doc_id", "n_lines", "n_removed") == plain_lines(rows)
 
 
+def test_line_ranks_tell_counts_apart(spark):
+    """Buckets whose counts have the same number of binary digits differ in rank: a passage need not double its bucket to stand out."""
+    rows = [(k, "a b c d e") for k in range(7)] + [(k, "f g h i j") for k in range(7, 12)]
+    each = lines._lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    ranks = spark.range(1).select(lines._ranks(each).alias("r")).first()["r"]
+    assert len(ranks) == lines.BUCKETS and len({r for r in ranks if r}) == 2 and min(ranks) == 0 and max(ranks) > 0
+
+
+def test_lines_of_repeated_rows_in_crowds(spark, monkeypatch):
+    """Rows of documents that occur twice do not count twice where crowded shingles are ordered anew."""
+    monkeypatch.setattr(lines, "NEAR", 2)
+    rows = [(k, " ".join([f"w{i}" if i != k % 20 else f"x{k}" for i in range(20)] + ["\x00" * (k % 3 + 1)])) for k in range(24)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert tuples(lines.line_counts(df), "doc_id", "n_lines", "n_removed") == plain_lines(rows)
+
+
 # 3
 
 

@@ -8,9 +8,10 @@ of similarity t must share one of the first |x| - ceil(t |x|) + 1 (prefix filter
 candidates if their sizes (length filter) and the places of the shared shingle (positional filter) still allow t;
 candidates are verified on the shingles of their whole lines.
 
-Rarity. All places of shingles in the corpus are counted in ``BUCKETS`` buckets; shingles are ordered by the
-magnitude of their bucket's count, then by hash. Any fixed order gives the exact join; this one keeps the shingles of frequent passages
-out of the prefixes. The table of magnitudes has BUCKETS entries whatever the size of the corpus.
+Rarity. All places of shingles in the corpus are counted in ``BUCKETS`` buckets; shingles are ordered by their
+bucket's count, in steps of 0.6 %, then by hash. Any fixed order gives the exact join; this one keeps the shingles of
+frequent passages out of the prefixes, also where a passage adds a fraction to its bucket only. The table has
+BUCKETS entries whatever the size of the corpus.
 
 A shingle that very many classes share. Only the existence of an earlier match counts, so each class is first
 verified against the first class with its shingle and the few before it, a number of pairs in proportion to the
@@ -66,13 +67,13 @@ def _shingles(lines: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def _ranks(lines: DataFrame) -> Column:
-    """A constant array: per bucket the number of binary digits of its count, moved to the top six bits; 0 if it is empty."""
+    """A constant array: per bucket the size of its count, 120 steps for each doubling, moved to the top twelve bits; 0 if it is empty."""
     # posexplode_outer: for posexplode Spark would add a filter that computes the words a second time.
     each = lines.select("h", F.posexplode_outer("h").alias("i", "x")).filter(f"i < {STARTS}")
     counted = each.select((F.expr(GRAM).bitwiseAND(BUCKETS - 1)).cast("int").alias("k")).groupBy("k").count()
-    digits = dict(map(tuple, counted.select("k", F.length(F.bin("count"))).collect()))
+    steps = dict(map(tuple, counted.select("k", F.floor(120 * F.log2(F.col("count") + 1)).cast("long")).collect()))
     # One constant text that the optimizer turns into an array; BUCKETS separate constants would take seconds.
-    return F.split(F.lit(",".join(str(digits.get(k, 0) << 57) for k in range(BUCKETS))), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(str(steps.get(k, 0) << 51) for k in range(BUCKETS))), ",").cast("array<bigint>")
 
 
 def _prefix_size(n: str) -> str:
@@ -91,12 +92,12 @@ def classes_and_postings(docs: DataFrame, doc_id: str, text: str) -> tuple[DataF
     order = _ranks(lines)
     grams = _shingles(lines, PLACE)
     # Every bucket of a shingle is in the table; coalesce tells Spark so, which then sorts plain longs.
-    digits = lambda h: F.coalesce(F.get(order, h.bitwiseAND(BUCKETS - 1).cast("int")), F.lit(0).cast("bigint"))
+    steps = lambda h: F.coalesce(F.get(order, h.bitwiseAND(BUCKETS - 1).cast("int")), F.lit(0).cast("bigint"))
     ranked = grams.select(
         *PLACE,
         F.xxhash64("g").alias("set"),
         F.size("g").alias("n"),
-        F.sort_array(F.transform("g", lambda h: digits(h).bitwiseOR(F.shiftrightunsigned(h, 7)))).alias("r"),
+        F.sort_array(F.transform("g", lambda h: steps(h).bitwiseOR(F.shiftrightunsigned(h, 13)))).alias("r"),
     )
     cut = ranked.select(F.struct(*PLACE).alias("c"), "set", "n", F.expr(f"slice(r, 1, {_prefix_size('n')})").alias("p"))
     whole = stage(cut.groupBy("set", "n").agg(F.min("c").alias("c"), F.first("p").alias("p")).drop("set"), "line-classes")
@@ -145,7 +146,8 @@ def _crowd_pairs(postings: DataFrame, matched: DataFrame, tokens: DataFrame) ->
     late = postings.filter(f"nth > {NEAR + 1}").join(matched, F.col("c") == F.col("a"), "left_anti")
     open_ = stage(late.select("key", "c"), "line-open")
     members = postings.join(open_.select("key").distinct(), "key", "left_semi").select("c").distinct()
-    grams = tokens.join(members, "c", "left_semi").select("c", F.size("g").alias("n"), F.explode("g").alias("s"))
+    once = tokens.join(members, "c", "left_semi").dropDuplicates(["c"])
+    grams = once.select("c", F.size("g").alias("n"), F.explode("g").alias("s"))
     counts = grams.groupBy("s").count().filter("count > 1")
     # Shingles of one class come first in the order: they take their places in the prefix, but are never met.
     ranked = grams.join(counts, "s").groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("count", "s"))).alias("r"))
@@ -159,23 +161,28 @@ def _crowd_pairs(postings: DataFrame, matched: DataFrame, tokens: DataFrame) ->
 
 
 def _tokens_of(docs: DataFrame, places: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``c, g`` for the lines named by ``places`` (c, doc, th, line), read from their documents again."""
+    """``c, g`` for the lines named by ``places`` (c, doc, th, line), read from their documents again; repeated rows of documents repeat them."""
     per = places.groupBy(F.col("doc").alias("d"), F.col("th").alias("h")).agg(F.collect_list(F.struct("line", "c")).alias("at"))
     own = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("t"))
     found = own.join(per, F.col("doc").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")))
     split = found.select("at", F.split(F.lower("t"), "\n", -1).alias("l"))
     # ``l`` is used twice, so it is split once.
     each = split.select(F.size("l"), F.explode_outer(F.transform("at", lambda p: F.struct(p["c"].alias("c"), F.get("l", p["line"]).alias("l")))).alias("x"))
-    lines = each.select("x.c", _words(F.col("x.l")).alias("h"))
-    return _shingles(lines, ["c"]).groupBy("c").agg(F.first("g").alias("g"))
+    return _shingles(each.select("x.c", _words(F.col("x.l")).alias("h")), ["c"])
 
 
-def kept_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc, th, kept``: per document that keeps any, the numbers of its lines that stay (those with a word)."""
+def _stays(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``doc, th, line, stays``: the first line of every class, and once more with ``stays`` false if it has an earlier match."""
     classes, postings = classes_and_postings(docs, doc_id, text)
     gone = stage(removed_classes(docs, postings, doc_id, text), "line-removed")
-    stay = classes.join(gone, F.col("c") == F.col("a"), "left_anti").select("c.*")
-    return stay.groupBy("doc", "th").agg(F.collect_list("line").alias("kept"))
+    return classes.select("c.*", F.lit(True).alias("stays")).union(gone.select("a.*", F.lit(False)))
+
+
+def kept_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc, th, kept``: per document that keeps any, the numbers of its lines that stay (those with a word)."""
+    of = lambda stays: F.collect_list(F.when(F.col("stays") == stays, F.col("line")))
+    per = _stays(docs, doc_id, text).groupBy("doc", "th").agg(F.array_except(of(True), of(False)).alias("kept"))
+    return per.filter(F.size("kept") > 0)
 
 
 def _with_kept(docs: DataFrame, doc_id: str, text: str, **own) -> DataFrame:
@@ -187,9 +194,10 @@ def _with_kept(docs: DataFrame, doc_id: str, text: str, **own) -> DataFrame:
 def line_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: lines with a word, how many go and how many stay."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    n = F.size(F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    n = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x20\x09-\x0D][^\n]*+"))
     counted = own.select("doc_id", F.xxhash64("text").alias("th"), n.cast("long").alias("n_lines"))
-    kept = kept_lines(own).select(F.col("doc").alias("d"), F.col("th").alias("h"), F.size("kept").cast("long").alias("k"))
+    stays = F.sum(F.when(F.col("stays"), 1).otherwise(-1))
+    kept = _stays(own, "doc_id", "text").groupBy(F.col("doc").alias("d"), F.col("th").alias("h")).agg(stays.alias("k"))
     both = counted.join(kept, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")), "left")
     stay = F.coalesce("k", F.lit(0).cast("long"))
     return both.select("doc_id", "n_lines", (F.col("n_lines") - stay).alias("n_removed"), stay.alias("n_kept"))
