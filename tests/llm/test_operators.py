@@ -152,6 +152,20 @@ def test_line_ranks_tell_counts_apart(spark):
     assert len(ranks) == lines.BUCKETS and len({r for r in ranks if r}) == 2 and min(ranks) == 0 and max(ranks) > 0
 
 
+def test_lines_settled_by_their_words_make_no_sets(spark):
+    """Equal lines and lines with nothing near them are settled by words; a match survives any lost quarter, repeated words and blanks."""
+    base = [f"word{i:02}" for i in range(40)]
+    lost = [" ".join(base[k:k + 31]) for k in range(0, 10, 3)] + [" ".join(base)]
+    few = ["la de la de la de la de", "la de la de  la de la de", "de la de la de la de la", "a b c d", "a b\tc d ", "a b c e"]
+    alone = [" ".join(f"only{k}x{i}" for i in range(30)) for k in range(20)]
+    rows = list(enumerate(lost + few + alone + alone))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert tuples(lines.line_counts(df), "doc_id", "n_lines", "n_removed") == plain_lines(rows)
+    classes, near = lines.near_lines(df, "doc_id", "text")
+    assert classes.count() == len(lost + few + alone)
+    assert len(lost) + 5 <= near.count() <= len(lost + few)
+
+
 def test_lines_of_repeated_rows_in_crowds(spark, monkeypatch):
     """Rows of documents that occur twice do not count twice where crowded shingles are ordered anew."""
     monkeypatch.setattr(lines, "NEAR", 2)

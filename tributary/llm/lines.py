@@ -3,12 +3,16 @@
 A line is the set of its five-word shingles, A-Z and other letters lower-cased; a line of fewer words is one shingle.
 A line is removed if an earlier line (by doc_id, then line number) has a Jaccard similarity of 0.75 or more with it.
 
-Equal lines are one class, represented by its first line. The shingles of a class are ordered by rarity; two sets
-of similarity t must share one of the first |x| - ceil(t |x|) + 1 (prefix filter). Classes that share one are
+Equal lines are one, represented by the first. A line without any match is told by its words alone: its shingles are
+put in descending order of their first words, and two lines of similarity t share a shingle that starts with one of the
+first |x| - ceil(t |x|) + 1 different words. Lines that share none of these with another one are settled; neither sets nor
+ranks are made for them. The others, near lines, go through the join.
+
+Equal lines are called a class below. The shingles of a near class are ordered by rarity; two sets of similarity t must share one of the first |x| - ceil(t |x|) + 1 (prefix filter). Classes that share one are
 candidates if their sizes (length filter) and the places of the shared shingle (positional filter) still allow t;
 candidates are verified on the shingles of their whole lines.
 
-Rarity. All places of shingles in the corpus are counted in ``BUCKETS`` buckets; shingles are ordered by their
+Rarity. All places of shingles in the near lines are counted in ``BUCKETS`` buckets; shingles are ordered by their
 bucket's count, in steps of 0.6 %, then by hash. Any fixed order gives the exact join; this one keeps the shingles of
 frequent passages out of the prefixes, also where a passage adds a fraction to its bucket only. The table has
 BUCKETS entries whatever the size of the corpus.
@@ -41,19 +45,23 @@ PLACE = ["doc", "th", "line"]
 
 
 def _words(line: Column) -> Column:
-    """Hashes of a line's words. All blanks become spaces first: splitting at one character needs no pattern matching."""
+    """A line's words. All blanks become spaces first: splitting at one character needs no pattern matching."""
     for blank in BLANKS.replace(" ", "").replace("\n", ""):
         line = F.replace(line, F.lit(blank), F.lit(" "))
-    return F.transform(F.array_remove(F.split(line, " "), ""), lambda w: F.xxhash64(w))
+    return F.array_remove(F.split(line, " "), "")
+
+
+def _hashes(line: Column) -> Column:
+    return F.transform(_words(line), lambda w: F.xxhash64(w))
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc, th, line, h``: one row per line with a word; ``h`` are the hashes of its words."""
+    """``doc, th, line, l, h``: one row per line with a word; ``l`` is the line, ``h`` are the hashes of its words."""
     own = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("th"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("t"))
     each = own.select("doc", "th", F.posexplode(F.split("t", "\n", -1)).alias("line", "l"))
     # Trimmed on the left only: that stops at the first word, while btrim walks the whole line.
     filled = each.filter(F.ltrim("l", F.lit(BLANKS)) != "")
-    return filled.select("doc", "th", "line", _words(F.col("l")).alias("h"))
+    return filled.select("doc", "th", "line", "l", _hashes(F.col("l")).alias("h"))
 
 
 #: The shingle that starts at word i, whose hash is x; words past the end of a short line are null and left out.
@@ -66,6 +74,25 @@ def _shingles(lines: DataFrame, keep: list[str]) -> DataFrame:
     return lines.select(*keep, F.expr(f"array_distinct(transform(slice(h, 1, {STARTS}), (x, i) -> {GRAM}))").alias("g"))
 
 
+def _near(whole: DataFrame) -> DataFrame:
+    """``id`` of the lines that share a shingle with another line where every match shares one: at their greatest first words.
+
+    Common shingles of a match start at a word that at most a quarter of either set's shingles come before, in descending
+    order of first words, so at most as many different words. Longer words are greater, as they repeat less often.
+    """
+    half = lambda w: F.shiftrightunsigned(F.xxhash64(w), 1)
+    worth = F.transform(_words(F.col("l")), lambda w: F.when(F.octet_length(w) > 4, half(w)).otherwise(-half(w)))
+    split = whole.select("id", worth.alias("h")).select("id", "h", F.expr(STARTS).alias("m"))
+    last = "get(sort_array(array_distinct(slice(h, 1, m)), false), m DIV 4)"
+    cut = split.select("id", "h", "m", F.expr(f"coalesce({last}, {-(1 << 63) + 1}L)").alias("last"))
+    each = cut.select("id", "h", "m", "last", F.posexplode_outer("h").alias("i", "x")).filter("i < m AND x >= last")
+    first = each.select(F.expr(GRAM).alias("key"), "id")
+    # A line that repeats a shingle stands twice at its key.
+    by_key = Window.partitionBy("key")
+    both = first.withColumn("a", F.min("id").over(by_key)).withColumn("b", F.max("id").over(by_key))
+    return stage(both.filter("a < b").select("id").distinct(), "line-near")
+
+
 def _ranks(lines: DataFrame) -> Column:
     """A constant array: per bucket the size of its count, 120 steps for each doubling, moved to the top twelve bits; 0 if it is empty."""
     # posexplode_outer: for posexplode Spark would add a filter that computes the words a second time.
@@ -86,27 +113,30 @@ def _possible(na: str, nb: str, pa: str, pb: str) -> str:
     return f"4 * least({na}, {nb}) >= 3 * greatest({na}, {nb}) AND 7 * (1 + least({na} - {pa}, {nb} - {pb}) - 1) >= 3 * ({na} + {nb})"
 
 
-def classes_and_postings(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Line classes ``c``, named by their first lines, and the places of shared prefix shingles (``key, c, n, at, nth, many``)."""
-    lines = _lines(docs, doc_id, text)
+def near_lines(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Line classes ``c``, named by their first lines, and ``c, h`` of those that may have a match in another class."""
+    each = _lines(docs, doc_id, text).groupBy(F.xxhash64("l").alias("id"))
+    whole = stage(each.agg(F.min(F.struct(*PLACE)).alias("c"), F.first("l").alias("l")), "line-texts")
+    # Only the near ids are held to be looked up; the texts stream past them unsorted.
+    found = whole.join(_near(whole).hint("shuffle_hash"), "id", "left_semi").select("c", _hashes(F.col("l")).alias("h"))
+    return whole.select("c"), stage(found, "line-near-words")
+
+
+def postings_of(lines: DataFrame) -> DataFrame:
+    """The places of shared prefix shingles of classes (c, h): ``key, c, n, at, nth, many``."""
     order = _ranks(lines)
-    grams = _shingles(lines, PLACE)
     # Every bucket of a shingle is in the table; coalesce tells Spark so, which then sorts plain longs.
     steps = lambda h: F.coalesce(F.get(order, h.bitwiseAND(BUCKETS - 1).cast("int")), F.lit(0).cast("bigint"))
-    ranked = grams.select(
-        *PLACE,
-        F.xxhash64("g").alias("set"),
+    ranked = _shingles(lines, ["c"]).select(
+        "c",
         F.size("g").alias("n"),
         F.sort_array(F.transform("g", lambda h: steps(h).bitwiseOR(F.shiftrightunsigned(h, 13)))).alias("r"),
     )
-    cut = ranked.select(F.struct(*PLACE).alias("c"), "set", "n", F.expr(f"slice(r, 1, {_prefix_size('n')})").alias("p"))
-    whole = stage(cut.groupBy("set", "n").agg(F.min("c").alias("c"), F.first("p").alias("p")).drop("set"), "line-classes")
-    rows = whole.select("c", "n", F.posexplode("p").alias("at", "key"))
+    rows = ranked.select("c", "n", F.posexplode_outer(F.expr(f"slice(r, 1, {_prefix_size('n')})")).alias("at", "key"))
     by_key = Window.partitionBy("key")
     # Most shingles belong to one class: they go before the order within a shingle is sought.
     shared = rows.withColumn("many", F.count(F.lit(1)).over(by_key)).filter("many > 1")
-    numbered = shared.withColumn("nth", F.row_number().over(by_key.orderBy("c")))
-    return whole.select("c"), stage(numbered, "line-postings")
+    return stage(shared.withColumn("nth", F.row_number().over(by_key.orderBy("c"))), "line-postings")
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -118,8 +148,8 @@ def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     return both.filter(7 * shared >= 3 * (F.size("ga") + F.size("gb"))).select("a", "b")
 
 
-def removed_classes(docs: DataFrame, postings: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``a``: classes whose first line has an earlier match in another class."""
+def removed_classes(lines: DataFrame, postings: DataFrame) -> DataFrame:
+    """``a``: classes whose first line has an earlier match in another class; ``lines`` are their words (c, h)."""
     by_key = Window.partitionBy("key").orderBy("nth")
     seen = F.struct("c", "n", "at")
     near = F.collect_list(seen).over(by_key.rowsBetween(-NEAR, -1))
@@ -130,8 +160,7 @@ def removed_classes(docs: DataFrame, postings: DataFrame, doc_id: str, text: str
 
     rest = postings.filter(f"many > {NEAR + 1}").select("c").distinct()
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).union(rest).distinct()
-    places = wanted.select("c", "c.*")
-    tokens = stage(_tokens_of(docs, places, doc_id, text), "line-tokens")
+    tokens = stage(_shingles(lines.join(wanted.hint("shuffle_hash"), "c", "left_semi"), ["c"]), "line-tokens")
 
     matched = stage(_verified(pairs, tokens).select("a").distinct(), "line-matched")
     return matched.union(_verified(_crowd_pairs(postings, matched, tokens), tokens).select("a")).distinct()
@@ -146,8 +175,8 @@ def _crowd_pairs(postings: DataFrame, matched: DataFrame, tokens: DataFrame) ->
     late = postings.filter(f"nth > {NEAR + 1}").join(matched, F.col("c") == F.col("a"), "left_anti")
     open_ = stage(late.select("key", "c"), "line-open")
     members = postings.join(open_.select("key").distinct(), "key", "left_semi").select("c").distinct()
-    once = tokens.join(members, "c", "left_semi").dropDuplicates(["c"])
-    grams = once.select("c", F.size("g").alias("n"), F.explode("g").alias("s"))
+    grams = tokens.join(members, "c", "left_semi")
+    grams = grams.select("c", F.size("g").alias("n"), F.explode("g").alias("s"))
     counts = grams.groupBy("s").count().filter("count > 1")
     # Shingles of one class come first in the order: they take their places in the prefix, but are never met.
     ranked = grams.join(counts, "s").groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("count", "s"))).alias("r"))
@@ -160,21 +189,10 @@ def _crowd_pairs(postings: DataFrame, matched: DataFrame, tokens: DataFrame) ->
     return far.join(old, "key").filter(f"b < a AND {_possible('na', 'nb', 'pa', 'pb')}").select("a", "b").distinct()
 
 
-def _tokens_of(docs: DataFrame, places: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``c, g`` for the lines named by ``places`` (c, doc, th, line), read from their documents again; repeated rows of documents repeat them."""
-    per = places.groupBy(F.col("doc").alias("d"), F.col("th").alias("h")).agg(F.collect_list(F.struct("line", "c")).alias("at"))
-    own = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("t"))
-    found = own.join(per, F.col("doc").eqNullSafe(F.col("d")) & (F.col("th") == F.col("h")))
-    split = found.select("at", F.split(F.lower("t"), "\n", -1).alias("l"))
-    # ``l`` is used twice, so it is split once.
-    each = split.select(F.size("l"), F.explode_outer(F.transform("at", lambda p: F.struct(p["c"].alias("c"), F.get("l", p["line"]).alias("l")))).alias("x"))
-    return _shingles(each.select("x.c", _words(F.col("x.l")).alias("h")), ["c"])
-
-
 def _stays(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc, th, line, stays``: the first line of every class, and once more with ``stays`` false if it has an earlier match."""
-    classes, postings = classes_and_postings(docs, doc_id, text)
-    gone = stage(removed_classes(docs, postings, doc_id, text), "line-removed")
+    classes, lines = near_lines(docs, doc_id, text)
+    gone = stage(removed_classes(lines, postings_of(lines)), "line-removed")
     return classes.select("c.*", F.lit(True).alias("stays")).union(gone.select("a.*", F.lit(False)))
 
 
