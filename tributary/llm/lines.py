@@ -3,16 +3,17 @@
 A line is the set of its five-word shingles, A-Z and other letters lower-cased; a line of fewer words is one shingle.
 A line is removed if an earlier line (by doc_id, then line number) has a Jaccard similarity of 0.75 or more with it.
 
-Equal lines are one, represented by the first. A line without any match is told by its words alone: its shingles are
-put in descending order of their first words, and two lines of similarity t share a shingle that starts with one of the
-first |x| - ceil(t |x|) + 1 different words. Lines that share none of these with another one are settled; neither sets nor
-ranks are made for them. The others, near lines, go through the join.
+Equal lines are one class, represented by the first line. Most classes have no match, which their words alone tell: the
+shingles of a line are put in descending order of their first words, and two lines of similarity t share a shingle that
+starts with one of the first |x| - ceil(t |x|) + 1 different words. Classes that share none of these with another one are
+settled; neither sets nor ranks are made for them. The others, near classes, go through the join.
 
-Equal lines are called a class below. The shingles of a near class are ordered by rarity; two sets of similarity t must share one of the first |x| - ceil(t |x|) + 1 (prefix filter). Classes that share one are
-candidates if their sizes (length filter) and the places of the shared shingle (positional filter) still allow t;
-candidates are verified on the shingles of their whole lines.
+The shingles of a near class are ordered by rarity; two sets of similarity t must share one of the first
+|x| - ceil(t |x|) + 1 (prefix filter). Classes that share one are candidates if their sizes (length filter) and the
+places of the shared shingle (positional filter) still allow t; candidates are verified on the shingles of their
+whole lines.
 
-Rarity. All places of shingles in the near lines are counted in ``BUCKETS`` buckets; shingles are ordered by their
+Rarity. All places of shingles in the near classes are counted in ``BUCKETS`` buckets; shingles are ordered by their
 bucket's count, in steps of 0.6 %, then by hash. Any fixed order gives the exact join; this one keeps the shingles of
 frequent passages out of the prefixes, also where a passage adds a fraction to its bucket only. The table has
 BUCKETS entries whatever the size of the corpus.
